@@ -12,13 +12,14 @@ both limits:
   adaptive execution splits a hot card or branch on either side.
 * idle: an anti join against the distinct keys of the transactions. The keys are
   made distinct within each task before they are shuffled, so a hot key arrives
-  once per task.
+  once per task; customers without a card do not meet in one task either.
 
 A filter on a transaction column removes the idle part from the plan."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from swipeledger.operators.skew import join_unique
 from swipeledger.schemas import BRANCH_TRANSACTIONS, CUSTOMER_TRANSACTIONS
 
 
@@ -46,7 +47,7 @@ def _keeping_idle(
     owners = owners.select(key, *owner_columns)
     matched = transactions.join(owners, key).select(*output)
     used_keys = transactions.select(key).filter(F.col(key).isNotNull()).distinct()
-    idle = owners.join(used_keys, key, "left_anti").select(
+    idle = join_unique(owners, used_keys, [key], "left_anti").select(
         *(
             F.col(field.name)
             if field.name in owner_columns

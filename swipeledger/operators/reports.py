@@ -107,7 +107,16 @@ def _totals(transactions: DataFrame, key: str) -> DataFrame:
 
 
 def _month_totals(transactions: DataFrame) -> DataFrame:
-    return _totals(transactions.withColumn("month", F.month(timeid_date(F.col("TIMEID")))), "month")
+    """Totals per day first, so that only distinct days are parsed as dates. Days that
+    do not exist are dropped by a count: Spark would move a test of the month itself
+    down to every transaction."""
+    days = _totals(transactions, "TIMEID").withColumn("month", F.month(timeid_date(F.col("TIMEID"))))
+    return (
+        days.groupBy("month")
+        .agg(F.sum("total_value").alias("total_value"), F.count("month").alias("days"))
+        .filter(F.col("days") > 0)
+        .drop("days")
+    )
 
 
 def _branch_totals(branch_transactions: DataFrame, transaction_type: str) -> DataFrame:

@@ -6,16 +6,16 @@ goes to the lowest SSN of the table as it was before the batch. Names cannot be
 edited and every edit touches one field, so the last valid edit of each field
 gives the same table as the edits made one by one. SSN is the key of the table.
 
-The frames that meet in a join are first brought down to one row per name, within
-each task and then across tasks, so neither a common name nor a name with very
-many edits gathers its rows in one task. Only ``match_updates``,
-``unmatched_updates`` and ``rejected_updates`` return edits row by row; there the edits
-are the left side, which adaptive execution can split."""
+Customers and edits are first brought down to one row per name, within each task and
+then across tasks. These rows meet the customers on the SSN as well and the edits in
+``join_unique``, so neither a common name nor a name with very many edits gathers
+its rows in one task."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swipeledger.operators.lookups import NAME
+from swipeledger.operators.skew import join_unique
 
 EDITABLE = [
     "CUST_PHONE",
@@ -54,12 +54,12 @@ def first_accounts(customers: DataFrame) -> DataFrame:
 
 def match_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     """Edits whose name exists, with the SSN they go to."""
-    return updates.join(first_accounts(customers), NAME)
+    return join_unique(updates, first_accounts(customers), NAME, "inner")
 
 
 def unmatched_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     """Edits whose name does not exist."""
-    return updates.join(first_accounts(customers), NAME, "left_anti")
+    return join_unique(updates, first_accounts(customers), NAME, "left_anti")
 
 
 def rejected_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def rejected_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     known = first_accounts(customers).select(*NAME, F.lit(True).alias("known"))
     reason = F.when(F.col("known").isNull(), "name not found").otherwise(_problem())
     return (
-        updates.join(known, NAME, "left")
+        join_unique(updates, known, NAME, "left")
         .withColumn("reason", reason)
         .filter(F.col("reason").isNotNull())
         .drop("known")

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from swipeledger import schemas
-from swipeledger.operators import skew, updates
+from swipeledger.operators import updates
 
 
 @pytest.fixture(scope="module")
@@ -124,8 +124,7 @@ def one_by_one(customers, table):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_random_batch_equals_edits_one_by_one(spark, customers, seed, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+def test_random_batch_equals_edits_one_by_one(spark, customers, seed):
     choose = random.Random(seed)
     names = ["Alec Hooper", "Mary-Ann O'Neil", "Etta Holman", "Zoe Null", "No Body"]
     data = [

@@ -11,14 +11,13 @@ raw_customers AS (
          c_mktsegment || ' Street' AS STREET_NAME,
          'City of ' || n_name AS CUST_CITY,
          n_name AS CUST_STATE,
-         r_name AS CUST_COUNTRY,
+         'United States' AS CUST_COUNTRY,
          CASE WHEN c_acctbal < 0 THEN 'n/a'
               ELSE lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END AS CUST_ZIP,
          c_custkey + 1000000 AS CUST_PHONE,
          lower(c_mktsegment) || '@example.com' AS CUST_EMAIL
   FROM customer
   JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey
 )"""
 
 

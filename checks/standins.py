@@ -1,156 +1,152 @@
 """The driver's tables in the layouts of the library. ``oracle.py`` states the same in
-SQL. Every table is used whole."""
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+SQL of its own. Every table is used whole."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Declared, so that no job is spent on reading the layout of each file.
+LAYOUTS = {
+    "nation": "n_nationkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
+    return spark.read.schema(LAYOUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some names are shared by several customers; customers in debt lack a usable
     zip and an apartment."""
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    customers = table(spark, sf_dir, "customer").join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    in_debt = F.col("c_acctbal") < 0
-    block = F.floor(F.col("c_custkey") / 100).cast("bigint").cast("string")
-    return customers.select(
-        F.col("c_custkey").alias("SSN"),
-        F.col("c_mktsegment").alias("FIRST_NAME"),
-        F.col("c_name").alias("MIDDLE_NAME"),
-        F.concat("n_name", F.lit("-O'"), "c_mktsegment", block).alias("LAST_NAME"),
-        _text("c_custkey").alias("CREDIT_CARD_NO"),
-        F.when(~in_debt, _text("c_nationkey")).alias("APT_NO"),
-        F.concat("c_mktsegment", F.lit(" Street")).alias("STREET_NAME"),
-        F.concat(F.lit("City of "), "n_name").alias("CUST_CITY"),
-        F.col("n_name").alias("CUST_STATE"),
-        F.col("r_name").alias("CUST_COUNTRY"),
-        F.when(in_debt, "n/a").otherwise(F.lpad(_text("c_nationkey"), 5, "0")).alias("CUST_ZIP"),
-        (F.col("c_custkey") + 1000000).alias("CUST_PHONE"),
-        F.concat(F.lower("c_mktsegment"), F.lit("@example.com")).alias("CUST_EMAIL"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS SSN",
+        "c_mktsegment AS FIRST_NAME",
+        "c_name AS MIDDLE_NAME",
+        "concat('NATION_', c_nationkey, '-O\\'', c_mktsegment, c_custkey div 100) AS LAST_NAME",
+        "string(c_custkey) AS CREDIT_CARD_NO",
+        "if(c_acctbal >= 0, string(c_nationkey), null) AS APT_NO",
+        "concat(c_mktsegment, ' Street') AS STREET_NAME",
+        "concat('City of NATION_', c_nationkey) AS CUST_CITY",
+        "concat('NATION_', c_nationkey) AS CUST_STATE",
+        "'United States' AS CUST_COUNTRY",
+        "if(c_acctbal < 0, 'n/a', lpad(string(c_nationkey), 5, '0')) AS CUST_ZIP",
+        "c_custkey + 1000000 AS CUST_PHONE",
+        "concat(lower(c_mktsegment), '@example.com') AS CUST_EMAIL",
     )
 
 
 def raw_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers, and a head office per nation that has no transactions."""
-    nations = table(spark, sf_dir, "nation")
-    suppliers = (
-        table(spark, sf_dir, "supplier")
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").cast("int").alias("BRANCH_CODE"),
-            F.col("n_name").alias("BRANCH_STATE"),
-            F.lpad(_text("s_suppkey"), 10, "5").alias("BRANCH_PHONE"),
-            F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey").cast("int")).alias("BRANCH_ZIP"),
-        )
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "int(s_suppkey) AS BRANCH_CODE",
+        "concat('NATION_', s_nationkey) AS BRANCH_STATE",
+        "lpad(string(s_suppkey), 10, '5') AS BRANCH_PHONE",
+        "if(s_acctbal >= 0, int(s_suppkey), null) AS BRANCH_ZIP",
     )
-    head_offices = nations.select(
-        (-1 - F.col("n_nationkey")).alias("BRANCH_CODE"),
-        F.col("n_name").alias("BRANCH_STATE"),
-        F.lit(None).cast("string").alias("BRANCH_PHONE"),
-        F.lit(None).cast("int").alias("BRANCH_ZIP"),
+    head_offices = table(spark, sf_dir, "nation").selectExpr(
+        "-1 - n_nationkey AS BRANCH_CODE",
+        "concat('NATION_', n_nationkey) AS BRANCH_STATE",
+        "string(null) AS BRANCH_PHONE",
+        "int(null) AS BRANCH_ZIP",
     )
     return suppliers.unionByName(head_offices)
 
 
 def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions of the customers."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("TRANSACTION_ID"),
-        _text("o_custkey").alias("CREDIT_CARD_NO"),
-        F.col("o_custkey").alias("CUST_SSN"),
-        (F.col("o_orderkey") % 1000).cast("int").alias("BRANCH_CODE"),
-        F.col("o_orderpriority").alias("TRANSACTION_TYPE"),
-        F.col("o_totalprice").alias("TRANSACTION_VALUE"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS TRANSACTION_ID",
+        "string(o_custkey) AS CREDIT_CARD_NO",
+        "o_custkey AS CUST_SSN",
+        "int(o_orderkey % 1000) AS BRANCH_CODE",
+        "o_orderpriority AS TRANSACTION_TYPE",
+        "o_totalprice AS TRANSACTION_VALUE",
         *_date_columns("o_orderdate"),
     )
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions of few customers; most customers have none."""
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("TRANSACTION_ID"),
-        _text("user_id").alias("CREDIT_CARD_NO"),
-        F.col("user_id").alias("CUST_SSN"),
-        (F.col("event_id") % 1000).cast("int").alias("BRANCH_CODE"),
-        F.col("event_type").alias("TRANSACTION_TYPE"),
-        F.col("value").alias("TRANSACTION_VALUE"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS TRANSACTION_ID",
+        "string(user_id) AS CREDIT_CARD_NO",
+        "user_id AS CUST_SSN",
+        "int(event_id % 1000) AS BRANCH_CODE",
+        "event_type AS TRANSACTION_TYPE",
+        "value AS TRANSACTION_VALUE",
         *_date_columns("ts"),
     )
 
 
 def line_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions of the branches."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("TRANSACTION_ID"),
-        _text("l_partkey").alias("CREDIT_CARD_NO"),
-        F.col("l_partkey").alias("CUST_SSN"),
-        F.col("l_suppkey").cast("int").alias("BRANCH_CODE"),
-        F.col("l_returnflag").alias("TRANSACTION_TYPE"),
-        F.col("l_extendedprice").alias("TRANSACTION_VALUE"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS TRANSACTION_ID",
+        "string(l_partkey) AS CREDIT_CARD_NO",
+        "l_partkey AS CUST_SSN",
+        "int(l_suppkey) AS BRANCH_CODE",
+        "l_returnflag AS TRANSACTION_TYPE",
+        "l_extendedprice AS TRANSACTION_VALUE",
         *_date_columns("l_shipdate"),
     )
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_linenumber") % 2 == 1, "Male").otherwise("Female").alias("Gender"),
-        F.when(F.col("l_quantity") > 25, "Yes").otherwise("No").alias("Married"),
-        F.when(F.col("l_linestatus") == "O", "Yes").otherwise("No").alias("Self_Employed"),
-        F.when(F.col("l_returnflag") == "R", "N").otherwise("Y").alias("Application_Status"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "if(l_linenumber % 2 = 1, 'Male', 'Female') AS Gender",
+        "if(l_quantity > 25, 'Yes', 'No') AS Married",
+        "if(l_linestatus = 'O', 'Yes', 'No') AS Self_Employed",
+        "if(l_returnflag = 'R', 'N', 'Y') AS Application_Status",
     )
 
 
 def updates(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
     """One edit per clean customer, in turn of every kind, valid or not, and one per
     supplier for a name that does not exist. Shared names get several edits."""
-    key = F.col("SSN")
-    nine_digits = F.concat(F.lit("9"), F.lpad(key.cast("string"), 8, "0"))
-    # (field, new value) by the remainder of the key
-    kinds = [
-        ("CUST_PHONE", F.concat(F.lit("(212)555-"), F.lpad(key.cast("string"), 9, "0"))),
-        ("CUST_EMAIL", F.concat(F.lit("new"), key.cast("string"), F.lit("@example.com"))),
-        ("CREDIT_CARD_NO", F.lpad(key.cast("string"), 16, "4")),
-        ("FULL_STREET_ADDRESS", F.concat(key.cast("string"), F.lit(" , Main Street"))),
-        ("CUST_CITY", F.concat(F.lit("New "), "CUST_CITY")),
-        ("CUST_STATE", F.lit("NY")),
-        ("CUST_ZIP", F.lpad((key % 100000).cast("string"), 5, "0")),
-        ("SSN", nine_digits),
-        ("CUST_STATE", F.lit("Ohio")),
-        ("CUST_ZIP", F.lit("n/a")),
-        ("SSN", F.lit("12345")),
-        ("FAX", F.lit("none")),
-    ]
-    field, value = F, F
-    for number, (name, new_value) in enumerate(kinds):
-        field = field.when(key % len(kinds) == number, F.lit(name))
-        value = value.when(key % len(kinds) == number, new_value)
-    of_customers = customers.select(
-        key.alias("seq"), "FIRST_NAME", "LAST_NAME", field.alias("field"), value.alias("new_value")
+    of_customers = customers.selectExpr(
+        "SSN AS seq",
+        "FIRST_NAME",
+        "LAST_NAME",
+        """
+        CASE SSN % 12
+          WHEN 0 THEN 'CUST_PHONE' WHEN 1 THEN 'CUST_EMAIL' WHEN 2 THEN 'CREDIT_CARD_NO'
+          WHEN 3 THEN 'FULL_STREET_ADDRESS' WHEN 4 THEN 'CUST_CITY' WHEN 5 THEN 'CUST_STATE'
+          WHEN 6 THEN 'CUST_ZIP' WHEN 7 THEN 'SSN' WHEN 8 THEN 'CUST_STATE'
+          WHEN 9 THEN 'CUST_ZIP' WHEN 10 THEN 'SSN' ELSE 'FAX' END AS field
+        """,
+        """
+        CASE SSN % 12
+          WHEN 0 THEN concat('(212)555-', lpad(string(SSN), 9, '0'))
+          WHEN 1 THEN concat('new', SSN, '@example.com')
+          WHEN 2 THEN lpad(string(SSN), 16, '4')
+          WHEN 3 THEN concat(SSN, ' , Main Street')
+          WHEN 4 THEN concat('New ', CUST_CITY)
+          WHEN 5 THEN 'NY'
+          WHEN 6 THEN lpad(string(SSN % 100000), 5, '0')
+          WHEN 7 THEN concat('9', lpad(string(SSN), 8, '0'))
+          WHEN 8 THEN 'Ohio'
+          WHEN 9 THEN 'n/a'
+          WHEN 10 THEN '12345'
+          ELSE 'none' END AS new_value
+        """,
     )
-    of_strangers = table(spark, sf_dir, "supplier").select(
-        (-1 - F.col("s_suppkey")).alias("seq"),
-        F.lit("Nobody").alias("FIRST_NAME"),
-        F.col("s_name").alias("LAST_NAME"),
-        F.lit("CUST_CITY").alias("field"),
-        F.lit("Nowhere").alias("new_value"),
+    of_strangers = table(spark, sf_dir, "supplier").selectExpr(
+        "-1 - s_suppkey AS seq",
+        "'Nobody' AS FIRST_NAME",
+        "s_name AS LAST_NAME",
+        "'CUST_CITY' AS field",
+        "'Nowhere' AS new_value",
     )
     return of_customers.unionByName(of_strangers)
 
 
-def _date_columns(timestamp: str) -> list[Column]:
-    return [
-        F.dayofmonth(timestamp).alias("DAY"),
-        F.month(timestamp).alias("MONTH"),
-        F.year(timestamp).alias("YEAR"),
-    ]
+def _date_columns(timestamp: str) -> list[str]:
+    return [f"day({timestamp}) AS DAY", f"month({timestamp}) AS MONTH", f"year({timestamp}) AS YEAR"]

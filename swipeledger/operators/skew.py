@@ -21,14 +21,13 @@ def join_unique(
     again), and the one row of ``right`` is repeated per share. Null keys, which match
     nothing, are spread the same way. What is broadcast are the common keys, at most
     one per ``hot_rows`` rows of ``left``."""
+    has_null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     hot = F.broadcast(
-        left.select(*keys)
-        .dropna()
+        left.filter(~has_null)
         .groupBy(*keys)
         .agg(F.ceil(F.count("*") / hot_rows).cast("int").alias("shares"))
         .filter(F.col("shares") > 1)
     )
-    has_null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     share = (
         F.when(has_null, F.spark_partition_id())
         .when(F.col("shares") > 1, F.pmod(F.spark_partition_id(), "shares"))

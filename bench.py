@@ -34,6 +34,7 @@ def main():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -94,11 +94,15 @@ def accepted_accounts(customers: DataFrame, updates: DataFrame) -> DataFrame:
 
 def apply_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     """The customer table after the edits. Transactions keep their card."""
-    changed = accepted_accounts(customers, updates)
+    return change_accounts(customers, accepted_accounts(customers, updates))
+
+
+def change_accounts(customers: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The customer table with the values of ``accepted_accounts``."""
     edited = {
         f: F.coalesce(F.col(f"new_{f}").cast(customers.schema[f].dataType), F.col(f))
         for f in EDITABLE
     }
     return (
-        customers.join(changed, [*NAME, "SSN"], "left").withColumns(edited).select(customers.columns)
+        customers.join(accepted, [*NAME, "SSN"], "left").withColumns(edited).select(customers.columns)
     )

@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField
 
-from swipeledger.operators.updates import accepted_accounts, apply_updates
+from swipeledger.operators.updates import accepted_accounts, change_accounts
+from swipeledger.plans.shared_folder import new_folder
 from swipeledger.sinks.files import write_clean
 from swipeledger.sinks.jdbc import CUSTOMER_TABLE, Database, write_jdbc
 from swipeledger.sources.readers import read_clean
@@ -20,13 +21,20 @@ def publish_customers(
     extra_fields: Sequence[StructField] = (),
 ) -> str:
     """Writes the edited customers of ``current`` to ``target``, a new folder, and
-    from there to the database: the edits are worked out once, and the database load
-    can be repeated without them. Returns the path of the table that is valid now:
-    ``current`` if no edit was accepted, in which case nothing is written."""
+    from there to the database. Returns the path of the table that is valid now:
+    ``current`` if no edit was accepted, in which case neither is written.
+
+    Each step starts from a written table: the accepted edits are worked out once, and
+    their stored size tells Spark whether they can be broadcast, so that a small batch
+    does not shuffle the customers."""
     customers = read_clean(spark, "customers", current, extra_fields=extra_fields)
-    if accepted_accounts(customers, updates).isEmpty():
+    accepted = accepted_accounts(customers, updates)
+    accepted_path = new_folder(spark)
+    accepted.write.parquet(accepted_path)
+    accepted = spark.read.schema(accepted.schema).parquet(accepted_path)
+    if accepted.isEmpty():
         return current
-    write_clean(apply_updates(customers, updates), target, mode="errorifexists")
+    write_clean(change_accounts(customers, accepted), target, mode="errorifexists")
     if database is not None:
         written = read_clean(spark, "customers", target, extra_fields=extra_fields)
         write_jdbc(written, CUSTOMER_TABLE, database, mode="overwrite")

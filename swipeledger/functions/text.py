@@ -47,6 +47,12 @@ def zip_number(text: Column) -> Column:
     return text.try_cast("int")
 
 
+def strict_zip_number(text: Column) -> Column:
+    """``zip_number``, but fails the job on a zip that is missing or no whole number."""
+    message = F.concat(F.lit("not a zip: "), F.coalesce(text, F.lit("missing")))
+    return F.coalesce(zip_number(text), F.raise_error(message).cast("int"))
+
+
 def zip_text(number: Column, default: str = "00000") -> Column:
     """Five characters, ``default`` where the zip is missing. The cast comes
     before the default: as a number, ``00000`` would turn into ``0``."""

@@ -14,10 +14,10 @@ def clean_customers(raw: DataFrame, area: str = "516", strict_zip: bool = False)
 
     A zip that is no whole number becomes null and is listed by
     ``rejected_zips``; with ``strict_zip`` it fails the job instead."""
-    zip_column = F.col("CUST_ZIP")
+    zip_number = text.strict_zip_number if strict_zip else text.zip_number
     return raw.withColumns(
         {
-            "CUST_ZIP": zip_column.cast("int") if strict_zip else text.zip_number(zip_column),
+            "CUST_ZIP": zip_number(F.col("CUST_ZIP")),
             "FIRST_NAME": text.title_case(F.col("FIRST_NAME")),
             "MIDDLE_NAME": F.lower("MIDDLE_NAME"),
             "LAST_NAME": text.title_case(F.col("LAST_NAME")),

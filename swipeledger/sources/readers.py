@@ -2,8 +2,8 @@
 
 Parquet and JSON Lines are split across tasks. A JSON array cannot be: Spark reads
 each such file (``multi_line``) or line in one task, so large arrays should arrive in many
-pieces. ``multi_line`` is for indented documents only: of a JSON Lines file it
-would read the first row and no more."""
+pieces, or indented and through ``read_indented_array``. ``multi_line`` is for indented
+documents only: of a JSON Lines file it would read the first row and no more."""
 
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -73,19 +73,40 @@ class PermissiveRead(NamedTuple):
 def read_json_permissive(
     spark: SparkSession, path: str, layout: StructType, multi_line: bool = True
 ) -> PermissiveRead:
-    """Indented JSON arrays, or other JSON without ``multi_line``, that may hold values
+    """Indented JSON documents, or other JSON without ``multi_line``, that may hold values
     of the wrong type.
 
     Read as text and cast column by column: under a typed layout, one bad value
     makes Spark give up every row of an indented array."""
-    names = layout.fieldNames()
-    as_text = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
     rows = (
-        spark.read.schema(as_text)
+        spark.read.schema(_as_text(layout))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path, multiLine=multi_line)
     )
+    return _sorted_out(rows, layout)
+
+
+def read_indented_array(
+    spark: SparkSession, path: str, layout: StructType, indent: int = 4
+) -> PermissiveRead:
+    """``read_json_permissive`` for large arrays whose records are indented by ``indent``
+    spaces. A line break cannot occur inside a JSON text, so a closing brace on a line of its
+    own at that depth ends a record. This lets Spark split the file across tasks, and a
+    broken record spoils only itself."""
+    end = "\n" + " " * indent + "}"
+    pieces = spark.read.text(path, lineSep=end).filter(~F.col("value").rlike(r"^\s*\[?\s*\]?\s*$"))
+    record = F.concat(F.regexp_replace("value", r"^\s*[\[,]?\s*", ""), F.lit("}"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = pieces.select(F.from_json(record, _as_text(layout), options).alias("r")).select("r.*")
+    return _sorted_out(rows, layout)
+
+
+def _as_text(layout: StructType) -> StructType:
+    return StructType([StructField(n, StringType()) for n in [*layout.fieldNames(), CORRUPT]])
+
+
+def _sorted_out(rows: DataFrame, layout: StructType) -> PermissiveRead:
     offending = F.array_compact(
         F.array(
             *(

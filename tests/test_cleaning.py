@@ -39,9 +39,17 @@ def test_rejected_zips(raw):
     assert rows(cleaning.rejected_zips(raw), "SSN", "CUST_ZIP") == [(2, "abc"), (3, None)]
 
 
-def test_strict_zip_fails(raw):
-    with pytest.raises(PySparkException):
-        cleaning.clean_customers(raw, strict_zip=True).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("ssn", [2, 3])
+def test_strict_zip_fails(raw, conf, ssn, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
+    with pytest.raises(PySparkException, match="not a zip"):
+        cleaning.clean_customers(raw.filter(F.col("SSN") == ssn), strict_zip=True).collect()
+
+
+def test_strict_zip_passes(raw):
+    good = cleaning.clean_customers(raw.filter("SSN = 1"), strict_zip=True)
+    assert rows(good, "CUST_ZIP") == [(6511,)]
 
 
 def test_clean_branches(spark):

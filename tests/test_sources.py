@@ -85,6 +85,47 @@ def test_permissive_read_keeps_the_good_rows(spark, tmp_path):
     ]
 
 
+def write_indented(path, data, newline="\n"):
+    with path.open("w", newline=newline) as file:
+        json.dump(data, file, indent=4)
+    return str(path)
+
+
+AWKWARD = [
+    {"SSN": 1, "CUST_ZIP": 6511, "FIRST_NAME": "brace }, {\n    }\n and [quote\""},
+    {"SSN": "12345678x", "CUST_ZIP": 6511, "FIRST_NAME": "Etta"},
+    {"SSN": "123456789", "CUST_ZIP": None, "FIRST_NAME": "Zoe"},
+]
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("data", [AWKWARD, AWKWARD[:1], []])
+def test_indented_array_is_read_as_a_document(spark, tmp_path, data, newline):
+    path = write_indented(tmp_path / "c.json", data, newline)
+    pieces = readers.read_indented_array(spark, path, schemas.CUSTOMER_CLEAN)
+    document = readers.read_json_permissive(spark, path, schemas.CUSTOMER_CLEAN)
+    assert rows(pieces.good) == rows(document.good)
+    assert rows(pieces.bad, "SSN", "bad_columns") == rows(document.bad, "SSN", "bad_columns")
+    assert pieces.good.count() + pieces.bad.count() == len(data)
+
+
+def test_indented_array_is_split(spark, tmp_path, conf):
+    conf(spark__sql__files__maxPartitionBytes="4KB", spark__sql__files__openCostInBytes="1KB")
+    data = [{"SSN": i, "FIRST_NAME": f"name {i}"} for i in range(2000)]
+    path = write_indented(tmp_path / "c.json", data)
+    read = readers.read_indented_array(spark, path, schemas.CUSTOMER_CLEAN)
+    assert read.good.rdd.getNumPartitions() > 4
+    assert rows(read.good.selectExpr("count(*)", "sum(SSN)")) == [(2000, sum(range(2000)))]
+
+
+def test_broken_record_of_an_indented_array(spark, tmp_path):
+    text = json.dumps(AWKWARD, indent=4).replace('"CUST_ZIP": null', '"CUST_ZIP": ')
+    path = write(tmp_path / "c.json", text)
+    read = readers.read_indented_array(spark, path, schemas.CUSTOMER_CLEAN)
+    assert rows(read.good, "SSN") == [(1,)]
+    assert read.bad.count() == 2
+
+
 def test_permissive_read_of_a_broken_document(spark, tmp_path):
     write(tmp_path / "bad.json", '[{"SSN": 1,')
     write(tmp_path / "good.json", json.dumps([{"SSN": 2}], indent=4))

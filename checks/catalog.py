@@ -373,9 +373,27 @@ def json_permissive(spark, sf_dir):
     """Raw customers with their zip declared as a number, so those in debt do not
     fit."""
     folder = new_folder(spark)
-    customers = standins.raw_customers(spark, sf_dir).drop("APT_NO", "STREET_NAME")
-    write_clean(customers, folder, "json")
-    read = readers.read_json_permissive(spark, folder, schemas.CUSTOMER_CLEAN, multi_line=False)
+    write_clean(_for_permissive_read(spark, sf_dir), folder, "json")
+    return _good_and_bad(
+        readers.read_json_permissive(spark, folder, schemas.CUSTOMER_CLEAN, multi_line=False)
+    )
+
+
+@query
+def json_indented_array(spark, sf_dir):
+    """The same rows as the indented records of an array."""
+    folder = new_folder(spark)
+    record = F.to_json(F.struct("*"), {"pretty": "true"})
+    indented = F.concat(F.lit("    "), F.regexp_replace(record, "\n", "\n    "))
+    _for_permissive_read(spark, sf_dir).select(indented).write.text(folder)
+    return _good_and_bad(readers.read_indented_array(spark, folder, schemas.CUSTOMER_CLEAN))
+
+
+def _for_permissive_read(spark, sf_dir):
+    return standins.raw_customers(spark, sf_dir).drop("APT_NO", "STREET_NAME")
+
+
+def _good_and_bad(read):
     good = read.good.select("SSN", "CUST_ZIP", F.lit(None).cast("string").alias("bad_column"))
     bad = read.bad.select(
         F.col("SSN").cast("bigint"),

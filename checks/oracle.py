@@ -198,6 +198,12 @@ BRANCH_T = f"{BRANCHES}, {LINES}, {branch_join('lines_t')}"
 TOTAL = "CAST(coalesce(sum(TRANSACTION_VALUE), 0) AS DOUBLE) AS total_value"
 COUNT_TOTAL = f"count(TRANSACTION_ID) AS transactions, {TOTAL}"
 
+GOOD_AND_BAD = f"""
+        WITH {RAW_CUSTOMERS}
+        SELECT SSN, TRY_CAST(CUST_ZIP AS INTEGER) AS CUST_ZIP,
+               CASE WHEN TRY_CAST(CUST_ZIP AS INTEGER) IS NULL THEN 'CUST_ZIP' END AS bad_column
+        FROM raw_customers"""
+
 ORACLE = {
     "customer_zip_int": f"""
         WITH {RAW_CUSTOMERS}
@@ -369,11 +375,8 @@ ORACLE = {
                   FROM loans WHERE Gender = 'Male' AND Married = 'Yes')
         SELECT rejected_pct, 100 - rejected_pct AS other_pct FROM share""",
     "json_round_trip": f"WITH {ORDERS} {as_double('orders_t')}",
-    "json_permissive": f"""
-        WITH {RAW_CUSTOMERS}
-        SELECT SSN, TRY_CAST(CUST_ZIP AS INTEGER) AS CUST_ZIP,
-               CASE WHEN TRY_CAST(CUST_ZIP AS INTEGER) IS NULL THEN 'CUST_ZIP' END AS bad_column
-        FROM raw_customers""",
+    "json_permissive": GOOD_AND_BAD,
+    "json_indented_array": GOOD_AND_BAD,
     "loans_json": f"""
         WITH {LOANS}
         SELECT Gender, Married, Self_Employed, Application_Status, count(*) AS applications

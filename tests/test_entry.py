@@ -8,7 +8,7 @@ import __spark_entry__ as entry_module
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-WRITING = {"json_round_trip", "json_permissive", "loans_json", "publish_customers",
+WRITING = {"json_round_trip", "json_permissive", "json_indented_array", "loans_json", "publish_customers",
            "stored_customer_transactions", "stored_branch_transactions"}
 
 

@@ -35,7 +35,7 @@ def test_json_keeps_null_fields(spark, tmp_path):
 def test_months_are_folders_and_pruned(spark, tmp_path, plan_of):
     path = f"{tmp_path}/t"
     write_clean(fixtures.transactions(spark), path)
-    assert len(list(Path(path).glob("YEAR_MONTH=*"))) == 6
+    assert len(list(Path(path).glob("YEAR_MONTH=*"))) == 5
     month = read_clean(spark, "transactions", path).filter("YEAR_MONTH = '201802'")
     assert month.count() == 6
     assert "PartitionFilters: [isnotnull(YEAR_MONTH" in plan_of(month)

@@ -2,12 +2,14 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import chat, quality
+from swipeledger.llm import chat, packing, quality
 from swipeledger.llm.common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -26,3 +28,8 @@ def op7_perspectives(spark, sf_dir):
     seen = chat.perspectives(table(spark, sf_dir, "conversations"))
     spans = F.transform("masks", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
     return seen.withColumn("masks", F.array_join(spans, " "))
+
+
+@query
+def op10_packed(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), TOKENIZER)

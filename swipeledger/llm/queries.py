@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import chat, packing, quality
+from swipeledger.llm import chat, mixing, packing, quality
 from swipeledger.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,3 +33,8 @@ def op7_perspectives(spark, sf_dir):
 @query
 def op10_packed(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query
+def op5_pivotal_mix(spark, sf_dir):
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))

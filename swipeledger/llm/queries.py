@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import chat, mixing, packing, quality
-from swipeledger.llm.common import table
+from swipeledger.llm import chat, mixing, packing, quality, toxicity
+from swipeledger.llm.common import held_out_by, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,10 @@ def op10_packed(spark, sf_dir):
 @query
 def op5_pivotal_mix(spark, sf_dir):
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_toxic_spans(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).select("doc_id", held_out_by(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted", "spans")

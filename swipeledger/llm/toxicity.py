@@ -1,6 +1,7 @@
 """Toxicity: a linear-chain conditional random field tags toxic words; documents are scored by its marginals."""
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,12 +30,21 @@ class Sample:
     chars: int = 20_000
 
 
+#: Lengths in bytes of the word beginnings that are features.
+STEMS = range(4, 11)
+
+
 def plain(word: bytes) -> bytes:
-    return word.lower().strip(EDGES)
+    return word.strip(EDGES)
+
+
+def features_of(word: bytes) -> list[bytes]:
+    """The word itself, then its proper beginnings, longest first."""
+    return [b"=" + word, *(word[:k] for k in reversed(STEMS) if k < len(word))]
 
 
 class Lookup(dict):
-    """Feature numbers of raw words, found once each: 0 for a word that is no feature."""
+    """Feature numbers of raw words, found once each: that of the word or its longest beginning, 0 if none is a feature."""
 
     def __init__(self, features: dict[bytes, int], remembered: int = 300_000):
         super().__init__()
@@ -43,7 +53,8 @@ class Lookup(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > self.remembered:
             self.clear()
-        found = self[word] = self.features.get(plain(word), 0)
+        found = next((self.features[f] for f in features_of(plain(word)) if f in self.features), 0)
+        self[word] = found
         return found
 
 
@@ -56,30 +67,40 @@ def chains(text: bytes, lookup: Lookup) -> list[list[int]]:
     return out
 
 
-def word_weights(texts: list[bytes], toxic: np.ndarray, steps: int = 150, l2: float = 2.0) -> dict[bytes, float]:
-    """Weights of words in a logistic regression of the documents' labels on the words they have. Words that
-    always come together share their weight, so the words of one copied text stay low."""
-    seen = Counter()
-    sets = []
-    for text in texts:
-        words = {plain(w) for w in text.split()} - {b""}
-        sets.append(words)
-        seen.update(words)
-    index = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= 3))}
-    pairs = [(r, index[w]) for r, words in enumerate(sets) for w in words if w in index]
-    if not pairs:
+def feature_weights(texts: list[bytes], toxic: np.ndarray, steps: int = 200, l2: float = 2.0, least: int = 4) -> dict[bytes, float]:
+    """Weights of words and beginnings in a logistic regression of the documents' labels on how often they occur, up to
+    three times. Features that always come together share their weight, so the words of one copied
+    text stay low; of beginnings of the same documents only the longest is a feature."""
+    documents = [Counter(filter(None, map(plain, text.split()))) for text in texts]
+    seen: Counter = Counter()
+    for words in documents:
+        seen.update({f for w in words for f in features_of(w)})
+    longer = {f[:-1]: n for f, n in sorted(((f, n) for f, n in seen.items() if f[:1] != b"="), key=lambda x: x[1])}
+    kept = sorted(f for f, n in seen.items() if n >= least and (f[:1] == b"=" or longer.get(f, 0) < n))
+    index = {f: i for i, f in enumerate(kept)}
+    row, col, value = array("i"), array("i"), array("d")
+    for r, words in enumerate(documents):
+        times: Counter = Counter()
+        for w, n in words.items():
+            for f in features_of(w):
+                if f in index:
+                    times[index[f]] += n
+        row.extend([r] * len(times))
+        col.extend(times)
+        value.extend(min(n, 3) / 3 for n in times.values())
+    if not row:
         return {}
-    row, col = np.array(sorted(pairs)).T
+    row, col, value = np.array(row), np.array(col), np.array(value)
     weight = np.where(toxic, 0.5 / max(1, toxic.sum()), 0.5 / max(1, (~toxic).sum())) * len(toxic)
     w, m, v, bias = np.zeros(len(index)), np.zeros(len(index)), np.zeros(len(index)), 0.0
     for step in range(1, steps + 1):
-        z = np.bincount(row, weights=w[col], minlength=len(toxic)) + bias
+        z = np.bincount(row, weights=w[col] * value, minlength=len(toxic)) + bias
         error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic)
-        slope = (np.bincount(col, weights=error[row], minlength=len(index)) + l2 * w) / len(toxic)
+        slope = (np.bincount(col, weights=error[row] * value, minlength=len(index)) + l2 * w) / len(toxic)
         bias -= 0.5 * error.mean()
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return {word: float(w[i]) for word, i in index.items()}
+    return {f: float(w[i]) for f, i in index.items()}
 
 
 def padded(sequences: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +169,7 @@ def train_crf(ids: np.ndarray, lengths: np.ndarray, gold: np.ndarray, n_features
 
 @dataclass(frozen=True)
 class Model:
-    """``features``: numbers of the words that can be toxic, from 1 on; 0 is any other word. ``rate``: the answer
+    """``features``: numbers of the words and beginnings that can be toxic, from 1 on; 0 is any other word. ``rate``: the answer
     if there was nothing to learn from."""
 
     features: dict
@@ -157,14 +178,10 @@ class Model:
     scale: np.ndarray
     rate: float | None = None
 
-    def plain_chain(self) -> np.ndarray:
-        """By length, the expected number of toxic words in a chain without any feature."""
-        ids = np.zeros((CHAIN, CHAIN), np.int64)
-        return np.concatenate([[0.0], marginals(ids, np.arange(1, CHAIN + 1), self.emit, self.move)[0].sum(1)])
-
-    def expected(self, texts: list[bytes], lookup: Lookup, plain_chain: np.ndarray) -> tuple[np.ndarray, list]:
-        """The expected number of toxic words in each text, and (text, first word of the chain, chances)
-        for the chains that have a feature. Chains without are all alike for their length."""
+    def expected(self, texts: list[bytes], lookup: Lookup) -> tuple[np.ndarray, list]:
+        """The expected number of toxic words in each text, of those that have a feature, and (text, first word of
+        the chain, chances) for the chains that have such words. Other words add nothing, or a
+        long text would add up to something by its length alone."""
         total = np.zeros(len(texts))
         marked, origin = [], []
         for i, text in enumerate(texts):
@@ -173,15 +190,13 @@ class Model:
                 if any(chain):
                     marked.append(chain)
                     origin.append((i, at))
-                else:
-                    total[i] += plain_chain[len(chain)]
                 at += len(chain)
         found = []
         for first in range(0, len(marked), 4096):
             ids, lengths = padded(marked[first : first + 4096])
             chance = marginals(ids, lengths, self.emit, self.move)[0]
-            for (i, at), row, n in zip(origin[first : first + 4096], chance, lengths):
-                total[i] += row.sum()
+            for (i, at), numbers, row, n in zip(origin[first : first + 4096], ids, chance, lengths):
+                total[i] += row[numbers > 0].sum()
                 found.append((i, at, row[:n]))
         return total, found
 
@@ -223,14 +238,14 @@ def train(documents: DataFrame, labels: DataFrame, sample: Sample = Sample(), id
     ids = [drawn.where(F.col("toxic") == t).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample.rows) for t in (True, False)]
     ids = ids[0].union(ids[1])
     rows = drawn.join(F.broadcast(ids), "id", "left_semi").orderBy(*order).limit(4 * sample.rows).select("text", "toxic").collect()
-    texts = [r["text"].encode() for r in rows]
+    texts = [r["text"].lower().encode() for r in rows]
     toxic = np.array([r["toxic"] for r in rows], bool)
     if toxic.all() or not toxic.any():
         return Model({}, np.zeros(1), np.zeros((2, 2)), np.zeros(5), rate=counts[True] / sum(counts.values()))
-    weights = word_weights(texts, toxic)
+    weights = feature_weights(texts, toxic)
     least = 0.3 * max(weights.values(), default=0.0)
-    words = sorted(w for w, x in weights.items() if x >= least > 0)
-    features = {w: i for i, w in enumerate(words, 1)}
+    chosen = sorted(f for f, x in weights.items() if x >= least > 0)
+    features = {f: i for i, f in enumerate(chosen, 1)}
     lookup = Lookup(features)
     ids, gold, others = [], [], []
     for text, bad in zip(texts, toxic):
@@ -246,7 +261,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: Sample = Sample(), id
     table, lengths = padded(ids)
     emit, move = train_crf(table, lengths, padded(gold)[0], len(features) + 1)
     model = Model(features, emit, move, np.zeros(5))
-    total, _ = model.expected(texts, lookup, model.plain_chain())
+    total, _ = model.expected(texts, lookup)
     weight = np.where(toxic, counts[True] / toxic.sum(), counts[False] / (~toxic).sum())
     weight *= len(toxic) / weight.sum()
     return Model(features, emit, move, calibrated(total, toxic, weight))
@@ -284,10 +299,10 @@ def score(documents: DataFrame, model: Model, text_column: str = "text") -> Data
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, plain_chain = Lookup(model.features), model.plain_chain()
+        lookup = Lookup(model.features)
         for batch in batches:
             texts = bytes_of(batch.column(at))
-            total, found = model.expected(texts, lookup, plain_chain)
+            total, found = model.expected([t.decode().lower().encode() for t in texts], lookup)
             scores = model.scores(total)
             toxic: dict[int, list[int]] = {}
             for i, first, chance in found:

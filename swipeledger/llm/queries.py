@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import chat, mixing, packing, quality, toxicity
+from swipeledger.llm import brown, chat, mixing, packing, quality, toxicity
 from swipeledger.llm.common import held_out_by, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,3 +45,11 @@ def op8_toxic_spans(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(documents, table(spark, sf_dir, "labels"))
     return toxicity.score(documents, model).select("doc_id", held_out_by(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted", "spans")
+
+
+@query
+def op6_class_ngrams(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = brown.train(documents.where(brown.trained_on(F.col("doc_id"))))
+    held_out = (~brown.trained_on(F.col("doc_id"))).alias("held_out")
+    return brown.score(documents, model).select("doc_id", held_out, "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")

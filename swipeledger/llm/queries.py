@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import brown, chat, mixing, packing, quality, toxicity
+from swipeledger.llm import brown, chat, line_dedup, mixing, packing, quality, toxicity
 from swipeledger.llm.common import held_out_by, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,3 +53,9 @@ def op6_class_ngrams(spark, sf_dir):
     model = brown.train(documents.where(brown.trained_on(F.col("doc_id"))))
     held_out = (~brown.trained_on(F.col("doc_id"))).alias("held_out")
     return brown.score(documents, model).select("doc_id", held_out, "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    removed = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return removed.select(F.col("id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", "links")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import brown, chat, line_dedup, mixing, packing, quality, toxicity
+from swipeledger.llm import brown, chat, line_dedup, mixing, packing, quality, toxicity, weighted_minhash
 from swipeledger.llm.common import held_out_by, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,3 +59,9 @@ def op6_class_ngrams(spark, sf_dir):
 def op9_line_dedup(spark, sf_dir):
     removed = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
     return removed.select(F.col("id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", "links")
+
+
+@query
+def op3_weighted_minhash(spark, sf_dir):
+    found = weighted_minhash.classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id")

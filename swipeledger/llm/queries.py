@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import brown, chat, line_dedup, mixing, packing, quality, toxicity, weighted_minhash
+from swipeledger.llm import brown, chat, line_dedup, main_text, mixing, packing, quality, toxicity, weighted_minhash
 from swipeledger.llm.common import held_out_by, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,3 +65,8 @@ def op9_line_dedup(spark, sf_dir):
 def op3_weighted_minhash(spark, sf_dir):
     found = weighted_minhash.classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id")
+
+
+@query
+def op4_host_runs(spark, sf_dir):
+    return main_text.main_texts(table(spark, sf_dir, "pages"))

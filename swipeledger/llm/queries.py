@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import brown, chat, line_dedup, main_text, mixing, packing, quality, toxicity, weighted_minhash
+from swipeledger.llm import brown, chat, edit_fingerprint, line_dedup, main_text, mixing, packing, quality, toxicity, weighted_minhash
 from swipeledger.llm.common import held_out_by, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,3 +70,8 @@ def op3_weighted_minhash(spark, sf_dir):
 @query
 def op4_host_runs(spark, sf_dir):
     return main_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_edit_fingerprint(spark, sf_dir):
+    return edit_fingerprint.fingerprinted(table(spark, sf_dir, "documents"))

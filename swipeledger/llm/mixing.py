@@ -173,3 +173,24 @@ def mixed_sizes(documents: DataFrame, id_column: str = "doc_id", text_column: st
     are left out; an empty table gives an empty result."""
     sized = documents.select(F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), size_of(F.col(text_column)).alias("size"))
     return copies(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
+    """``documents`` as the mix takes them: every row as many times as it has copies, none to three times, with all its columns.
+
+    Rows with equal id, source and text share the copies that such rows got together, as evenly as
+    whole numbers allow. Null and empty texts are copied as their source's rate says."""
+    text_id = F.md5(F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
+    keys = {"_m_id": F.col(f"`{id_column}`"), "_m_source": F.col(f"`{source_column}`"), "_m_text": text_id}
+    sized = documents.select(
+        F.col(f"`{id_column}`").alias("id"), F.col(f"`{source_column}`").alias("source"), size_of(F.col(f"`{text_column}`")).alias("size"), text_id.alias("text_id")
+    )
+    totals = copies(sized).groupBy("id", "source", "text_id").agg(F.sum("copies").alias("_m_copies"), F.count("*").alias("_m_rows"))
+    keyed = documents.withColumns(keys)
+    same = F.col("_m_id").eqNullSafe(F.col("id_")) & F.col("_m_source").eqNullSafe(F.col("source_")) & (F.col("_m_text") == F.col("text_id_"))
+    totals = totals.select(F.col("id").alias("id_"), F.col("source").alias("source_"), F.col("text_id").alias("text_id_"), "_m_copies", "_m_rows").where("_m_copies > 0")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    rest = F.when(number <= F.col("_m_copies") % F.col("_m_rows"), 1).otherwise(0)
+    taken = keyed.join(totals, same).withColumn("_m_times", (F.floor(F.col("_m_copies") / F.col("_m_rows")) + rest).cast("int"))
+    repeated = taken.where("_m_times > 0").withColumn("_m_time", F.explode(F.sequence(F.lit(1), F.col("_m_times"))))
+    return repeated.select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -312,3 +312,16 @@ def score(documents: DataFrame, model: Model, text_column: str = "text") -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
 
     return kept.mapInArrow(judge, schema)
+
+
+def without_toxic(documents: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows of ``documents`` that are not predicted toxic, with all their columns."""
+    at = documents.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(model.features)
+        for batch in batches:
+            total, _ = model.expected([t.decode().lower().encode() for t in bytes_of(batch.column(at))], lookup)
+            yield batch.filter(pa.array(model.scores(total) < THRESHOLD))
+
+    return documents.mapInArrow(keep, documents.schema)

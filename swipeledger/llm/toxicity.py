@@ -69,7 +69,7 @@ def chains(text: bytes, lookup: Lookup) -> list[list[int]]:
 
 def feature_weights(texts: list[bytes], toxic: np.ndarray, steps: int = 200, l2: float = 2.0, least: int = 4) -> dict[bytes, float]:
     """Weights of words and beginnings in a logistic regression of the documents' labels on how often they occur, up to
-    three times. Features that always come together share their weight, so the words of one copied
+    three times; 0 for those that are not at least five times as common in toxic documents, or not surely so. Features that always come together share their weight, so the words of one copied
     text stay low; of beginnings of the same documents only the longest is a feature."""
     documents = [Counter(filter(None, map(plain, text.split()))) for text in texts]
     seen: Counter = Counter()
@@ -100,7 +100,13 @@ def feature_weights(texts: list[bytes], toxic: np.ndarray, steps: int = 200, l2:
         bias -= 0.5 * error.mean()
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return {f: float(w[i]) for f, i in index.items()}
+    there = np.bincount(col[toxic[row]], minlength=len(index)), np.bincount(col[~toxic[row]], minlength=len(index))
+    n_toxic, n_clean = toxic.sum(), (~toxic).sum()
+    lift = ((there[0] + 0.5) / (n_toxic + 1)) / ((there[1] + 0.5) / (n_clean + 1))
+    share = (there[0] + there[1]) / len(toxic)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / max(1, n_toxic) + 1 / max(1, n_clean)))
+    sure = (lift >= 5) & ((there[0] / max(1, n_toxic) - there[1] / max(1, n_clean)) / error >= 3.5)
+    return {f: float(w[i]) if sure[i] else 0.0 for f, i in index.items()}
 
 
 def padded(sequences: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +249,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: Sample = Sample(), id
     if toxic.all() or not toxic.any():
         return Model({}, np.zeros(1), np.zeros((2, 2)), np.zeros(5), rate=counts[True] / sum(counts.values()))
     weights = feature_weights(texts, toxic)
-    least = 0.3 * max(weights.values(), default=0.0)
+    least = 0.15 * max(weights.values(), default=0.0)
     chosen = sorted(f for f, x in weights.items() if x >= least > 0)
     features = {f: i for i, f in enumerate(chosen, 1)}
     lookup = Lookup(features)

@@ -1,50 +1,39 @@
-"""Raw JSON and stored tables, always with a declared layout.
+"""Raw JSON and stored tables.
 
-Parquet and JSON Lines are split across tasks. A JSON array cannot be: Spark reads
-each such file (``multi_line``) or line in one task, so large arrays should arrive in many
-pieces, or indented and through ``read_indented_array``. ``multi_line`` is for indented
-documents only: of a JSON Lines file it would read the first row and no more."""
+Raw input is read record by record, whatever form a file has: JSON Lines, arrays on one line, arrays with a
+record per line, and indented arrays of any indent, which the first record of each file tells. Large files of all
+forms but the one-line array are split across tasks. All values are read as text and cast, so a value of the wrong
+type or a broken record spoils that record only, and none is lost: what cannot be read is in ``bad``."""
 
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from swipeledger import schemas
 
 CORRUPT = "_corrupt_record"
+BAD_COLUMNS = "bad_columns"
 
 
-def read_customers(
-    spark: SparkSession, path: str, extra_fields: Sequence[StructField] = ()
-) -> DataFrame:
-    return _read_json(spark, path, schemas.CUSTOMER_RAW, extra_fields)
+def read_customers(spark: SparkSession, path: str, extra_fields: Sequence[StructField] = ()) -> DataFrame:
+    """All columns of the input: the declared ones, ``extra_fields`` with their types, any other as
+    text. A record that cannot be read fails the job; so it is for the next three."""
+    return strictly(read_records(spark, path, schemas.CUSTOMER_RAW, extra_fields))
 
 
-def read_branches(
-    spark: SparkSession, path: str, extra_fields: Sequence[StructField] = ()
-) -> DataFrame:
-    return _read_json(spark, path, schemas.BRANCH_RAW, extra_fields)
+def read_branches(spark: SparkSession, path: str, extra_fields: Sequence[StructField] = ()) -> DataFrame:
+    return strictly(read_records(spark, path, schemas.BRANCH_RAW, extra_fields))
 
 
-def read_transactions(
-    spark: SparkSession, path: str, extra_fields: Sequence[StructField] = ()
-) -> DataFrame:
-    return _read_json(spark, path, schemas.TRANSACTION_RAW, extra_fields)
+def read_transactions(spark: SparkSession, path: str, extra_fields: Sequence[StructField] = ()) -> DataFrame:
+    return strictly(read_records(spark, path, schemas.TRANSACTION_RAW, extra_fields))
 
 
-def read_loans(
-    spark: SparkSession,
-    path: str,
-    extra_fields: Sequence[StructField] = (),
-    multi_line: bool = False,
-) -> DataFrame:
-    """Loan applications landed as JSON Lines or one-line arrays, or, with
-    ``multi_line``, as indented arrays."""
-    layout = schemas.LOAN_APPLICATION
-    return _read_json(spark, path, layout, extra_fields, multiLine=multi_line)
+def read_loans(spark: SparkSession, path: str, extra_fields: Sequence[StructField] = ()) -> DataFrame:
+    return strictly(read_records(spark, path, schemas.LOAN_APPLICATION, extra_fields))
 
 
 def read_clean(
@@ -56,10 +45,18 @@ def read_clean(
 ) -> DataFrame:
     """A table written by ``write_clean``. Stored transactions come with the
     ``YEAR_MONTH`` they are partitioned by."""
-    layout = _extended(schemas.CLEAN_TABLES[table], extra_fields)
-    if file_format == "parquet" and "TIMEID" in layout.fieldNames():
-        layout = _extended(layout, [StructField("YEAR_MONTH", StringType())])
-    return spark.read.schema(layout).format(file_format).load(path)
+    declared = [*schemas.CLEAN_TABLES[table].fields, *extra_fields]
+    if file_format == "parquet":
+        declared += _stored_extras(spark, path, {f.name for f in declared})
+        if "TIMEID" in {f.name for f in declared}:
+            declared.append(StructField("YEAR_MONTH", StringType()))
+    return spark.read.schema(StructType(declared)).format(file_format).load(path)
+
+
+def _stored_extras(spark: SparkSession, path: str, known: set[str]) -> list[StructField]:
+    """The further columns that a stored table came with."""
+    stored = spark.read.parquet(path).schema
+    return [f for f in stored if f.name not in known and f.name != "YEAR_MONTH"]
 
 
 class PermissiveRead(NamedTuple):
@@ -67,73 +64,126 @@ class PermissiveRead(NamedTuple):
     """Rows whose values all have the declared types."""
     bad: DataFrame
     """The others, all columns as text, with the names of the offending columns
-    in ``bad_columns`` and an unreadable document in ``_corrupt_record``."""
+    in ``bad_columns`` and an unreadable record in ``_corrupt_record``."""
 
 
-def read_json_permissive(
-    spark: SparkSession, path: str, layout: StructType, multi_line: bool = True
-) -> PermissiveRead:
-    """Indented JSON documents, or other JSON without ``multi_line``, that may hold values
-    of the wrong type.
-
-    Read as text and cast column by column: under a typed layout, one bad value
-    makes Spark give up every row of an indented array."""
-    rows = (
-        spark.read.schema(_as_text(layout))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path, multiLine=multi_line)
-    )
-    return _sorted_out(rows, layout)
-
-
-def read_indented_array(
-    spark: SparkSession, path: str, layout: StructType, indent: int = 4
-) -> PermissiveRead:
-    """``read_json_permissive`` for large arrays whose records are indented by ``indent``
-    spaces. A line break cannot occur inside a JSON text, so a closing brace on a line of its
-    own at that depth ends a record. This lets Spark split the file across tasks, and a
-    broken record spoils only itself."""
-    end = "\n" + " " * indent + "}"
-    pieces = spark.read.text(path, lineSep=end).filter(~F.col("value").rlike(r"^\s*\[?\s*\]?\s*$"))
-    record = F.concat(F.regexp_replace("value", r"^\s*[\[,]?\s*", ""), F.lit("}"))
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rows = pieces.select(F.from_json(record, _as_text(layout), options).alias("r")).select("r.*")
-    return _sorted_out(rows, layout)
-
-
-def _as_text(layout: StructType) -> StructType:
-    return StructType([StructField(n, StringType()) for n in [*layout.fieldNames(), CORRUPT]])
-
-
-def _sorted_out(rows: DataFrame, layout: StructType) -> PermissiveRead:
-    offending = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), f.name
-                )
-                for f in layout
-            )
-        )
-    ).cast(ArrayType(StringType()))
-    checked = rows.withColumn("bad_columns", offending)
-    is_good = (F.size("bad_columns") == 0) & F.col(CORRUPT).isNull()
-    good = checked.filter(is_good).select(
-        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in layout)
-    )
-    return PermissiveRead(good, checked.filter(~is_good))
-
-
-def _read_json(
-    spark: SparkSession,
-    path: str,
-    layout: StructType,
-    extra_fields: Sequence[StructField],
-    **options,
-) -> DataFrame:
-    return spark.read.schema(_extended(layout, extra_fields)).json(path, **options)
+class Records(NamedTuple):
+    """Records of raw input, parsed once."""
+
+    checked: DataFrame
+    """A row per record: all columns as text, ``bad_columns`` and ``_corrupt_record``."""
+    layout: StructType
+    """The columns with the types that good rows have."""
 
+    def typed(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in self.layout))
 
-def _extended(layout: StructType, extra_fields: Sequence[StructField]) -> StructType:
-    return StructType([*layout.fields, *extra_fields])
+    @property
+    def good(self) -> DataFrame:
+        return self.typed(self.checked.filter(_is_good()))
+
+    @property
+    def bad(self) -> DataFrame:
+        return self.checked.filter(~_is_good())
+
+
+def read_permissive(
+    spark: SparkSession, path: str, layout: StructType, extra_fields: Sequence[StructField] = (), keep_undeclared: bool = True
+) -> PermissiveRead:
+    """Good and bad records of JSON files that may hold values of the wrong type. Each of the two parses
+    the input; ``read_records(..).checked`` has both from one pass."""
+    records = read_records(spark, path, layout, extra_fields, keep_undeclared)
+    return PermissiveRead(records.good, records.bad)
+
+
+def strictly(records: Records) -> DataFrame:
+    """The good rows; a bad record fails the job when it is met."""
+    shown = F.coalesce(F.col(CORRUPT), F.concat_ws(", ", BAD_COLUMNS))
+    met = F.when(_is_good(), True).otherwise(F.raise_error(F.concat(F.lit("bad record: "), shown)).cast("boolean"))
+    return records.typed(records.checked.filter(met))
+
+
+def read_records(
+    spark: SparkSession, path: str, layout: StructType, extra_fields: Sequence[StructField] = (), keep_undeclared: bool = True
+) -> Records:
+    """The records of all files below ``path``, with the columns of ``layout`` and ``extra_fields`` and, as text, every
+    other column that any record has; these are found in a pass over the whole input."""
+    parsed = _parsed(_pieces(spark, path))
+    declared = StructType([*layout.fields, *extra_fields])
+    if keep_undeclared:
+        names = parsed.select(F.explode(F.map_keys("record")).alias("name")).distinct()
+        known = {*declared.fieldNames(), CORRUPT, BAD_COLUMNS}
+        more = sorted(r["name"] for r in names.collect() if r["name"] not in known)
+        declared = StructType([*declared.fields, *(StructField(n, StringType()) for n in more)])
+    values = [F.element_at("record", f.name).alias(f.name) for f in declared]
+    rows = parsed.select(*values, CORRUPT)
+    offending = F.array_compact(F.array(*(_offends(f) for f in declared))).cast(ArrayType(StringType()))
+    return Records(rows.withColumn(BAD_COLUMNS, offending), declared)
+
+
+def _offends(field: StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    return F.when(value.isNotNull() & value.try_cast(field.dataType).isNull(), field.name)
+
+
+def _is_good() -> Column:
+    return (F.size(BAD_COLUMNS) == 0) & F.col(CORRUPT).isNull()
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(text, whole, raw): JSON texts of one or more records, without the commas and brackets around them;
+    not ``whole`` where the text cannot be what the file's form demands; and what stands in the file.
+
+    An indented array is cut where its records begin: at a line break, the indent of its first record and a
+    brace. A line break cannot occur inside a JSON text, so this is no part of a value. Only where the indent is
+    nothing at all can an object within a record look like one; that record then is bad."""
+    by_indent: dict[str | None, list[str]] = {}
+    for row in _forms(spark, path).collect():
+        by_indent.setdefault(row["indent"], []).append(row["file"])
+    pieces = []
+    for indent, files in by_indent.items():
+        if indent is None:
+            lines = spark.read.text(path if len(by_indent) == 1 else files).select(F.trim(F.regexp_replace("value", r"\s+$", "")).alias("v"))
+            lines = lines.filter(~F.col("v").isin("", "[", "]", "],", "[]"))
+            text = F.regexp_replace(F.regexp_replace("v", r",$", ""), r"^\s+", "")
+            pieces.append(lines.select(text.alias("text"), F.lit(True).alias("whole"), F.col("v").alias("raw")))
+            continue
+        parts = spark.read.text(files, lineSep=f"\n{indent}{{").filter(~F.col("value").rlike(r"^\s*\[\s*$"))
+        end = F.locate(f"\n{indent}}}", F.col("value"))
+        size = len(indent) + 2
+        body = F.concat(F.lit("{"), F.col("value").substr(F.lit(1), end + size - 1))
+        rest = F.col("value").substr(end + size, F.length("value"))
+        whole = (end > 0) & rest.rlike(r"^\s*[,\]]?\s*$")
+        pieces.append(parts.select(F.when(whole, body).otherwise(F.col("value")).alias("text"), whole.alias("whole"), F.concat(F.lit("{"), "value").alias("raw")))
+    if not pieces:
+        return spark.createDataFrame([], "text string, whole boolean, raw string")
+    out = pieces[0]
+    for more in pieces[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _forms(spark: SparkSession, path: str) -> DataFrame:
+    """(file, indent) of every file with text: the indent of an indented array, null for records that are
+    whole lines. The first two lines of a file tell: a bracket alone, then a brace alone."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\s+$", "").alias("line"), F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    told = lines.filter((F.col("block") == 0) & (F.col("line") != ""))
+    first = F.min(F.struct("at", "line"))["line"]
+    second = F.min(F.when(F.trim("line") != "[", F.struct("at", "line")))["line"]
+    heads = told.groupBy("file").agg(first.alias("first"), second.alias("second"))
+    indented = (F.trim("first") == "[") & F.col("second").rlike(r"^[ \t]*\{$")
+    return heads.select("file", F.when(indented, F.regexp_extract("second", r"^([ \t]*)\{$", 1)).alias("indent"))
+
+
+def _parsed(pieces: DataFrame) -> DataFrame:
+    """(record, _corrupt_record): a map per record, or the text that is none. The text is parsed inside one more pair of
+    brackets, because what follows a complete JSON text would be overlooked."""
+    array = F.when(F.col("text").startswith("["), F.col("text")).otherwise(F.concat(F.lit("["), "text", F.lit("]")))
+    parsed = F.from_json(F.concat(F.lit("["), array, F.lit("]")), "array<array<map<string,string>>>")
+    usable = F.col("whole") & (F.size("all") == 1) & ~F.exists(F.col("all")[0], lambda r: r.isNull())
+    none = F.array(F.lit(None).cast("map<string,string>"))
+    records = pieces.withColumn("all", parsed).withColumn("ok", F.coalesce(usable, F.lit(False)))
+    return records.select(F.explode(F.when(F.col("ok"), F.col("all")[0]).otherwise(none)).alias("record"), F.when(~F.col("ok"), F.col("raw")).alias(CORRUPT))

@@ -3,7 +3,7 @@ import json
 import fixtures
 import pytest
 from conftest import rows
-from pyspark.sql.types import DoubleType, StringType, StructField
+from pyspark.sql.types import DoubleType, StructField
 
 from swipeledger import schemas
 from swipeledger.sources import readers
@@ -29,26 +29,37 @@ def customer_file(request, tmp_path):
 
 def test_read_customers(spark, customer_file):
     df = readers.read_customers(spark, customer_file)
-    assert df.schema == schemas.CUSTOMER_RAW
-    assert rows(df, "SSN", "FIRST_NAME", "CUST_ZIP", "CUST_PHONE") == [
-        (1, "ALEC", "06511", 1237818),
-        (2, None, None, None),
+    assert df.schema.fields[:-1] == schemas.CUSTOMER_RAW.fields
+    assert rows(df, "SSN", "FIRST_NAME", "CUST_ZIP", "CUST_PHONE", "NOTE") == [
+        (1, "ALEC", "06511", 1237818, "x"),
+        (2, None, None, None, None),
     ]
 
 
-def test_extra_fields_pass_through(spark, customer_file):
-    df = readers.read_customers(spark, customer_file, [StructField("NOTE", StringType())])
-    assert rows(df, "SSN", "NOTE") == [(1, "x"), (2, None)]
+def test_extra_fields_have_their_type(spark, tmp_path):
+    path = write(tmp_path / "c.json", '{"SSN": 1, "SCORE": 1.5}\n{"SSN": 2}')
+    df = readers.read_customers(spark, path, [StructField("SCORE", DoubleType())])
+    assert rows(df, "SSN", "SCORE") == [(1, 1.5), (2, None)]
+
+
+def test_columns_that_few_records_have_are_kept(spark, tmp_path):
+    lines = ['{"SSN": %d}' % i for i in range(3000)] + ['{"SSN": 3000, "RARE": [1, {"x": 2}]}']
+    df = readers.read_customers(spark, write(tmp_path / "c.json", "\n".join(lines)))
+    assert rows(df.filter("RARE is not null"), "SSN", "RARE") == [(3000, '[1,{"x":2}]')]
+    assert df.count() == 3001
 
 
 def test_read_branches_and_transactions(spark, tmp_path):
-    branch = {"BRANCH_CODE": 1, "BRANCH_STATE": "CT", "BRANCH_PHONE": "1234565276", "BRANCH_ZIP": 6511}
-    path = write(tmp_path / "b.json", json.dumps(branch))
-    assert rows(readers.read_branches(spark, path)) == [(1, "CT", "1234565276", 6511)]
+    data = [
+        {"BRANCH_CODE": 1, "BRANCH_STATE": "CT", "BRANCH_PHONE": "1234565276", "BRANCH_ZIP": 6511},
+        {"BRANCH_CODE": 2, "BRANCH_STATE": "CT", "BRANCH_PHONE": "1234565277", "BRANCH_ZIP": "06512"},
+    ]
+    path = write(tmp_path / "b.json", json.dumps(data))
+    assert rows(readers.read_branches(spark, path)) == [(1, "CT", "1234565276", "6511"), (2, "CT", "1234565277", "06512")]
     bought = {"TRANSACTION_ID": 1, "CREDIT_CARD_NO": "4210", "CUST_SSN": 5, "BRANCH_CODE": 1,
               "TRANSACTION_TYPE": "Bills", "TRANSACTION_VALUE": 78.9, "DAY": 14, "MONTH": 2, "YEAR": 2018}
-    path = write(tmp_path / "t.json", json.dumps(bought))
-    assert rows(readers.read_transactions(spark, path)) == [tuple(bought.values())]
+    path = write(tmp_path / "t.json", json.dumps([bought, bought | {"TRANSACTION_VALUE": "78.90"}]))
+    assert rows(readers.read_transactions(spark, path)) == [tuple(bought.values())] * 2
 
 
 LOANS = [
@@ -57,89 +68,111 @@ LOANS = [
 ]
 
 
-@pytest.mark.parametrize(("indent", "multi_line"), [(None, False), (4, True)])
-def test_read_loans(spark, tmp_path, indent, multi_line):
+@pytest.mark.parametrize("indent", [None, 0, 1, 2, 4, "\t"])
+def test_read_loans(spark, tmp_path, indent):
     path = write(tmp_path / "l.json", json.dumps(LOANS, indent=indent))
-    extra = [StructField("Application_ID", StringType())]
-    df = readers.read_loans(spark, path, extra, multi_line=multi_line)
+    df = readers.read_loans(spark, path)
     assert rows(df, "Application_ID", "Gender", "Application_Status") == [
         ("LP1", "Male", "Y"),
         ("LP2", "Female", "N"),
     ]
 
 
-def test_permissive_read_keeps_the_good_rows(spark, tmp_path):
-    edited = [
-        {"SSN": 1, "CUST_ZIP": 6511, "FIRST_NAME": "Alec"},
-        {"SSN": "12345678x", "CUST_ZIP": 6511, "FIRST_NAME": "Etta"},
-        {"SSN": "123456789", "CUST_ZIP": None, "FIRST_NAME": "Zoe"},
-        {"SSN": "x", "CUST_ZIP": "y", "FIRST_NAME": "Bob"},
-    ]
-    path = write(tmp_path / "c.json", json.dumps(edited, indent=4))
-    read = readers.read_json_permissive(spark, path, schemas.CUSTOMER_CLEAN)
-    assert read.good.schema == schemas.CUSTOMER_CLEAN
-    assert rows(read.good, "SSN", "CUST_ZIP", "FIRST_NAME") == [(1, 6511, "Alec"), (123456789, None, "Zoe")]
-    assert rows(read.bad, "SSN", "FIRST_NAME", "bad_columns") == [
-        ("12345678x", "Etta", ["SSN"]),
-        ("x", "Bob", ["SSN", "CUST_ZIP"]),
-    ]
-
-
-def write_indented(path, data, newline="\n"):
-    with path.open("w", newline=newline) as file:
-        json.dump(data, file, indent=4)
-    return str(path)
-
-
 AWKWARD = [
     {"SSN": 1, "CUST_ZIP": 6511, "FIRST_NAME": "brace }, {\n    }\n and [quote\""},
     {"SSN": "12345678x", "CUST_ZIP": 6511, "FIRST_NAME": "Etta"},
     {"SSN": "123456789", "CUST_ZIP": None, "FIRST_NAME": "Zoe"},
+    {"SSN": "x", "CUST_ZIP": "y", "FIRST_NAME": "Bob", "NOTE": {"a": [{"b": 1}]}},
 ]
+FORMS = {
+    "lines": lambda data: "\n".join(map(json.dumps, data)),
+    "one line": json.dumps,
+    "line per record": lambda data: "[\n" + ",\n".join(map(json.dumps, data)) + "\n]\n",
+    "indent 0": lambda data: json.dumps(data, indent=0),
+    "indent 1": lambda data: json.dumps(data, indent=1),
+    "indent 2": lambda data: json.dumps(data, indent=2),
+    "indent 4": lambda data: json.dumps(data, indent=4),
+    "tabs": lambda data: json.dumps(data, indent="\t"),
+}
 
 
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
-@pytest.mark.parametrize("data", [AWKWARD, AWKWARD[:1], []])
-def test_indented_array_is_read_as_a_document(spark, tmp_path, data, newline):
-    path = write_indented(tmp_path / "c.json", data, newline)
-    pieces = readers.read_indented_array(spark, path, schemas.CUSTOMER_CLEAN)
-    document = readers.read_json_permissive(spark, path, schemas.CUSTOMER_CLEAN)
-    assert rows(pieces.good) == rows(document.good)
-    assert rows(pieces.bad, "SSN", "bad_columns") == rows(document.bad, "SSN", "bad_columns")
-    assert pieces.good.count() + pieces.bad.count() == len(data)
+@pytest.mark.parametrize("form", FORMS)
+def test_every_form_gives_the_same_records(spark, tmp_path, form, newline):
+    awkward = [r if form != "indent 0" or "NOTE" not in r else r | {"NOTE": [1]} for r in AWKWARD]
+    for data in (awkward, awkward[:1], []):
+        path = tmp_path / f"c{len(data)}.json"
+        with path.open("w", newline=newline) as file:
+            file.write(FORMS[form](data))
+        read = readers.read_permissive(spark, str(path), schemas.CUSTOMER_CLEAN)
+        assert read.good.count() + read.bad.count() == len(data)
+    read = readers.read_permissive(spark, str(tmp_path / "c4.json"), schemas.CUSTOMER_CLEAN)
+    assert rows(read.good, "SSN", "CUST_ZIP", "FIRST_NAME") == [
+        (1, 6511, AWKWARD[0]["FIRST_NAME"]),
+        (123456789, None, "Zoe"),
+    ]
+    assert rows(read.bad, "SSN", "NOTE", "bad_columns") == [
+        ("12345678x", None, ["SSN"]),
+        ("x", "[1]" if form == "indent 0" else '{"a":[{"b":1}]}', ["SSN", "CUST_ZIP"]),
+    ]
+
+
+def test_files_of_different_forms_side_by_side(spark, tmp_path):
+    for k, form in enumerate(FORMS):
+        write(tmp_path / f"{k}.json", FORMS[form]([{"SSN": 10 * k}, {"SSN": 10 * k + 1}]))
+    read = readers.read_permissive(spark, str(tmp_path), schemas.CUSTOMER_RAW)
+    assert [r[0] for r in sorted(read.good.select("SSN").collect())] == [10 * k + i for k in range(len(FORMS)) for i in (0, 1)]
+    assert read.bad.count() == 0
 
 
-def test_indented_array_is_split(spark, tmp_path, conf):
+@pytest.mark.parametrize("indent", [2, 4])
+def test_indented_array_is_split(spark, tmp_path, conf, indent):
     conf(spark__sql__files__maxPartitionBytes="4KB", spark__sql__files__openCostInBytes="1KB")
     data = [{"SSN": i, "FIRST_NAME": f"name {i}"} for i in range(2000)]
-    path = write_indented(tmp_path / "c.json", data)
-    read = readers.read_indented_array(spark, path, schemas.CUSTOMER_CLEAN)
+    path = write(tmp_path / "c.json", json.dumps(data, indent=indent))
+    read = readers.read_permissive(spark, path, schemas.CUSTOMER_CLEAN)
     assert read.good.rdd.getNumPartitions() > 4
     assert rows(read.good.selectExpr("count(*)", "sum(SSN)")) == [(2000, sum(range(2000)))]
 
 
-def test_broken_record_of_an_indented_array(spark, tmp_path):
-    text = json.dumps(AWKWARD, indent=4).replace('"CUST_ZIP": null', '"CUST_ZIP": ')
-    path = write(tmp_path / "c.json", text)
-    read = readers.read_indented_array(spark, path, schemas.CUSTOMER_CLEAN)
-    assert rows(read.good, "SSN") == [(1,)]
-    assert read.bad.count() == 2
+@pytest.mark.parametrize("form", FORMS)
+def test_a_broken_record_spoils_itself_only(spark, tmp_path, form):
+    if form == "one line":
+        return
+    text = FORMS[form]([{"SSN": i, "CUST_ZIP": 1} for i in range(5)]).replace('"SSN": 2,', '"SSN": ,')
+    read = readers.read_permissive(spark, write(tmp_path / "c.json", text), schemas.CUSTOMER_CLEAN)
+    assert rows(read.good, "SSN") == [(0,), (1,), (3,), (4,)]
+    assert read.bad.count() == 1
+
+
+@pytest.mark.parametrize("form", [f for f in FORMS if "indent" in f or f == "tabs"])
+@pytest.mark.parametrize("lost", [2, 3])
+def test_a_file_cut_off_between_lines_has_a_bad_record(spark, tmp_path, form, lost):
+    text = "\n".join(FORMS[form]([{"SSN": i, "CUST_ZIP": 1} for i in range(5)]).split("\n")[:-lost])
+    read = readers.read_permissive(spark, write(tmp_path / "c.json", text), schemas.CUSTOMER_CLEAN)
+    assert rows(read.good, "SSN") == [(0,), (1,), (2,), (3,)]
+    assert read.bad.count() == 1
+
+
+def test_several_records_in_one_place(spark, tmp_path):
+    text = '{"SSN": 1} {"SSN": 2}\n{"SSN": 3}, {"SSN": 4}\n{"SSN": 5} x\n[{"SSN": 6}] x\n'
+    read = readers.read_permissive(spark, write(tmp_path / "c.json", text), schemas.CUSTOMER_CLEAN)
+    assert rows(read.good, "SSN") == [(3,), (4,)]
+    assert read.bad.count() == 3
 
 
 def test_permissive_read_of_a_broken_document(spark, tmp_path):
     write(tmp_path / "bad.json", '[{"SSN": 1,')
     write(tmp_path / "good.json", json.dumps([{"SSN": 2}], indent=4))
-    read = readers.read_json_permissive(spark, str(tmp_path), schemas.CUSTOMER_CLEAN)
+    read = readers.read_permissive(spark, str(tmp_path), schemas.CUSTOMER_CLEAN)
     assert rows(read.good, "SSN") == [(2,)]
-    corrupt = [r for r in read.bad.collect() if r._corrupt_record]
-    assert len(corrupt) == 1
+    assert rows(read.bad, "_corrupt_record") == [('[{"SSN": 1,',)]
 
 
-def test_permissive_read_of_lines(spark, tmp_path):
-    path = write(tmp_path / "c.json", '{"SSN": 1}\n{"SSN": \n{"SSN": "x"}\n')
-    read = readers.read_json_permissive(spark, path, schemas.CUSTOMER_CLEAN, multi_line=False)
-    assert rows(read.good, "SSN") == [(1,)]
-    assert read.bad.count() == 2
+def test_a_bad_record_fails_the_plain_readers(spark, tmp_path):
+    path = write(tmp_path / "c.json", '{"SSN": 1}\n{"SSN": \n')
+    with pytest.raises(Exception, match="bad record"):
+        readers.read_customers(spark, path).count()
 
 
 def test_views_can_be_registered_twice(spark):

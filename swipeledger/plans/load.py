@@ -3,10 +3,13 @@
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
+from swipeledger import schemas
 from swipeledger.operators.cleaning import clean_branches, clean_customers, clean_transactions
 from swipeledger.operators.joins import join_branch_transactions, join_customer_transactions
+from swipeledger.plans.shared_folder import passing_folder
 from swipeledger.sinks.files import write_clean
 from swipeledger.sinks.jdbc import (
     BRANCH_TABLE,
@@ -16,13 +19,17 @@ from swipeledger.sinks.jdbc import (
     Database,
     write_jdbc,
 )
-from swipeledger.sources.readers import (
-    read_branches,
-    read_clean,
-    read_customers,
-    read_loans,
-    read_transactions,
-)
+from swipeledger.sources.readers import Records, read_clean, read_loans, read_records
+
+CUSTOMER_ORDER = ["LAST_NAME", "FIRST_NAME"]
+#: Up to so many branches are sent to every task of the join, which spares the transactions the shuffle.
+FEW_BRANCHES = 100_000
+
+_RAW = {
+    "customers": (schemas.CUSTOMER_RAW, clean_customers, CUSTOMER_ORDER),
+    "branches": (schemas.BRANCH_RAW, clean_branches, []),
+    "transactions": (schemas.TRANSACTION_RAW, clean_transactions, ["CREDIT_CARD_NO"]),
+}
 
 
 def load_tables(
@@ -34,32 +41,35 @@ def load_tables(
     database: Database | None = None,
     database_mode: str = "append",
     extra_fields: Mapping[str, Sequence[StructField]] | None = None,
+    fail_on_bad: bool = False,
 ) -> dict[str, str]:
     """Cleans the three raw JSON inputs, stores them below ``target``, joins the
     stored tables and stores the joins. Each step reads what the step before has
-    written, so a lost executor costs at most one step. ``extra_fields`` names the
-    further columns to keep, by table. Returns the path of every table."""
+    written, so a lost executor costs at most one step.
+
+    All columns of the input are kept; ``extra_fields`` gives types to those that are not declared, by table. Records that
+    cannot be read, or that hold a value of the wrong type, are stored as they came in ``rejected_<table>``; with
+    ``fail_on_bad`` the load fails before it stores anything if there is one. Returns the path of
+    every table."""
     extra = dict(extra_fields or {})
-    paths = {
-        name: f"{target}/{name}"
-        for name in (
-            "customers",
-            "branches",
-            "transactions",
-            "customer_transactions",
-            "branch_transactions",
-        )
-    }
-    raw_customers = read_customers(spark, customers, extra.get("customers", ()))
-    raw_branches = read_branches(spark, branches, extra.get("branches", ()))
-    raw_transactions = read_transactions(spark, transactions, extra.get("transactions", ()))
-    write_clean(clean_customers(raw_customers), paths["customers"])
-    write_clean(clean_branches(raw_branches), paths["branches"])
-    write_clean(
-        clean_transactions(raw_transactions),
-        paths["transactions"],
-        sort_by=["CREDIT_CARD_NO"],
-    )
+    paths = {name: f"{target}/{name}" for name in (*_RAW, "customer_transactions", "branch_transactions")}
+    paths |= {f"rejected_{name}": f"{target}/rejected_{name}" for name in _RAW}
+    with passing_folder(spark) as parsed_path:
+        parsed = {}
+        for name, source in (("customers", customers), ("branches", branches), ("transactions", transactions)):
+            records = read_records(spark, source, _RAW[name][0], extra.get(name, ()))
+            # Parsed once: good and bad records are read from what is written here.
+            records.checked.write.parquet(f"{parsed_path}/{name}")
+            checked = spark.read.schema(records.checked.schema).parquet(f"{parsed_path}/{name}")
+            parsed[name] = Records(checked, records.layout)
+        if fail_on_bad:
+            for name, records in parsed.items():
+                first = records.bad.first()
+                if first is not None:
+                    raise ValueError(f"bad record in {name}: {first.asDict()}")
+        for name, (_, clean, order) in _RAW.items():
+            write_clean(clean(parsed[name].good), paths[name], sort_by=order)
+            parsed[name].bad.write.mode("overwrite").parquet(paths[f"rejected_{name}"])
     join_tables(spark, paths)
     if database is not None:
         for name, table in (
@@ -72,10 +82,11 @@ def load_tables(
     return paths
 
 
-def join_tables(spark: SparkSession, paths: dict[str, str]) -> None:
+def join_tables(spark: SparkSession, paths: Mapping[str, str]) -> None:
     """Stores both joins of the stored tables. Run again after customers were
     edited."""
-    transactions = without_month(read_clean(spark, "transactions", paths["transactions"]))
+    stored = read_clean(spark, "transactions", paths["transactions"])
+    transactions = without_month(stored)
     write_clean(
         join_customer_transactions(
             read_clean(spark, "customers", paths["customers"]), transactions
@@ -83,10 +94,16 @@ def join_tables(spark: SparkSession, paths: dict[str, str]) -> None:
         paths["customer_transactions"],
         sort_by=["CUST_ZIP", "LAST_NAME", "FIRST_NAME"],
     )
+    branches = read_clean(spark, "branches", paths["branches"])
+    few = branches.count() <= FEW_BRANCHES
+    if few:
+        branches = F.broadcast(branches)
+    # The transactions come from month folders; beside a broadcast they stay as they are.
     write_clean(
-        join_branch_transactions(read_clean(spark, "branches", paths["branches"]), transactions),
+        join_branch_transactions(branches, transactions),
         paths["branch_transactions"],
         sort_by=["BRANCH_STATE", "BRANCH_CODE"],
+        rebalance=not few,
     )
 
 
@@ -96,11 +113,9 @@ def load_loans(
     database: Database,
     database_mode: str = "append",
     extra_fields: Sequence[StructField] = (),
-    multi_line: bool = False,
 ) -> None:
-    """Landed loan applications into the database."""
-    applications = read_loans(spark, loans, extra_fields, multi_line)
-    write_jdbc(applications, LOAN_TABLE, database, database_mode)
+    """Landed loan applications, with all their columns, into the database. A record that cannot be read fails the load."""
+    write_jdbc(read_loans(spark, loans, extra_fields), LOAN_TABLE, database, database_mode)
 
 
 def without_month(stored: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField
 
 from swipeledger.operators.updates import accepted_accounts, change_accounts
-from swipeledger.plans.shared_folder import new_folder
+from swipeledger.plans.load import CUSTOMER_ORDER
+from swipeledger.plans.shared_folder import passing_folder
 from swipeledger.sinks.files import write_clean
 from swipeledger.sinks.jdbc import CUSTOMER_TABLE, Database, write_jdbc
 from swipeledger.sources.readers import read_clean
@@ -24,17 +25,16 @@ def publish_customers(
     from there to the database. Returns the path of the table that is valid now:
     ``current`` if no edit was accepted, in which case neither is written.
 
-    Each step starts from a written table: the accepted edits are worked out once, and
-    their stored size tells Spark whether they can be broadcast, so that a small batch
-    does not shuffle the customers."""
+    The accepted edits are worked out once and written, and their stored size tells Spark whether they can
+    be broadcast; a small batch then does not shuffle the customers. What was written of them is removed at the end."""
     customers = read_clean(spark, "customers", current, extra_fields=extra_fields)
-    accepted = accepted_accounts(customers, updates)
-    accepted_path = new_folder(spark)
-    accepted.write.parquet(accepted_path)
-    accepted = spark.read.schema(accepted.schema).parquet(accepted_path)
-    if accepted.isEmpty():
-        return current
-    write_clean(change_accounts(customers, accepted), target, mode="errorifexists")
+    with passing_folder(spark) as accepted_path:
+        accepted = accepted_accounts(customers, updates)
+        accepted.write.parquet(accepted_path)
+        accepted = spark.read.schema(accepted.schema).parquet(accepted_path)
+        if accepted.isEmpty():
+            return current
+        write_clean(change_accounts(customers, accepted), target, mode="errorifexists", sort_by=CUSTOMER_ORDER)
     if database is not None:
         written = read_clean(spark, "customers", target, extra_fields=extra_fields)
         write_jdbc(written, CUSTOMER_TABLE, database, mode="overwrite")

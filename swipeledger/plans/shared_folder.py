@@ -1,7 +1,10 @@
 """A place for tables that all executors can reach."""
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -11,7 +14,18 @@ def new_folder(spark: SparkSession) -> str:
     session without that setting gets a temporary folder of this machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="swipeledger-")
     return f"{shared.rstrip('/')}/swipeledger-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def passing_folder(spark: SparkSession) -> Iterator[str]:
+    """A ``new_folder`` that is gone afterwards, also after a failure."""
+    path = new_folder(spark)
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

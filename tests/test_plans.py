@@ -94,12 +94,50 @@ def test_load_can_be_repeated(spark, raw, paths, tmp_path):
     assert read_clean(spark, "transactions", paths["transactions"]).count() == 3
 
 
+def test_rejects_are_stored_beside_the_tables(spark, raw, tmp_path):
+    bad = f"{tmp_path}/bad.json"
+    Path(bad).write_text(json.dumps([*CUSTOMERS, CUSTOMERS[0] | {"SSN": "x"}], indent=3))
+    paths = load.load_tables(spark, **raw | {"customers": bad}, target=f"{tmp_path}/s")
+    assert read_clean(spark, "customers", paths["customers"]).count() == 2
+    assert rows(spark.read.parquet(paths["rejected_customers"]), "SSN", "bad_columns") == [("x", ["SSN"])]
+    assert spark.read.parquet(paths["rejected_transactions"]).count() == 0
+    with pytest.raises(ValueError, match="bad record in customers"):
+        load.load_tables(spark, **raw | {"customers": bad}, target=f"{tmp_path}/strict", fail_on_bad=True)
+    assert not Path(tmp_path, "strict").exists()
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, raw, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("*"))
+    paths = load.load_tables(spark, **raw, target=f"{tmp_path}/s")
+    table = edits(spark, (1, "Alec", "O'Neil", "CUST_CITY", "Avon"))
+    publish.publish_customers(spark, paths["customers"], table, f"{tmp_path}/v2")
+    with pytest.raises(Exception):
+        publish.publish_customers(spark, paths["customers"], table, f"{tmp_path}/v2")
+    assert set(shared.glob("*")) == before
+
+
+def test_stored_branch_join_shuffles_no_transactions(spark, paths, plan_of):
+    branches = read_clean(spark, "branches", paths["branches"])
+    transactions = load.without_month(read_clean(spark, "transactions", paths["transactions"]))
+    plan = plan_of(load.join_branch_transactions(load.F.broadcast(branches), transactions))
+    assert "BroadcastHashJoin" in plan and "rebalance" not in plan.lower()
+
+
+def test_state_total_scans_the_transactions_once(spark, paths, plan_of):
+    branches = read_clean(spark, "branches", paths["branches"])
+    transactions = read_clean(spark, "transactions", paths["transactions"])
+    joined = load.join_branch_transactions(branches, transactions)
+    plan = plan_of(lookups.state_count_total(joined, "ct"), "simple")
+    assert plan.count("FileScan") == 2
+
+
 def test_extra_fields_reach_the_store_and_the_database(spark, raw, tmp_path, loads):
     extra = {"customers": [StructField("LAST_UPDATED", StringType())]}
     paths = load.load_tables(
         spark, **raw, target=f"{tmp_path}/s", database=Database("jdbc:x"), extra_fields=extra
     )
-    stored = read_clean(spark, "customers", paths["customers"], extra_fields=extra["customers"])
+    stored = read_clean(spark, "customers", paths["customers"])
     assert rows(stored, "SSN", "LAST_UPDATED") == [(1, "2018-04-21"), (2, "2018-04-22")]
     assert [(table, mode, n) for table, mode, _, n in loads] == [
         ("cdw_sapp_branch", "append", 2),
@@ -111,9 +149,10 @@ def test_extra_fields_reach_the_store_and_the_database(spark, raw, tmp_path, loa
 
 
 def test_loans_to_the_database(spark, tmp_path, loads):
-    Path(tmp_path, "l.json").write_text(json.dumps([{"Gender": "Male"}, {"Gender": "Female"}]))
+    Path(tmp_path, "l.json").write_text(json.dumps([{"Gender": "Male", "Application_ID": "LP1"}, {"Gender": "Female"}]))
     load.load_loans(spark, f"{tmp_path}/l.json", Database("jdbc:x"))
     assert [(t, m, n) for t, m, _, n in loads] == [("cdw_sapp_loan_application", "append", 2)]
+    assert loads[0][2] == [*schemas.LOAN_APPLICATION.fieldNames(), "Application_ID"]
 
 
 def edits(spark, *data):
@@ -169,5 +208,6 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 
 def test_machine_folder_only_in_a_local_session():
     assert new_folder(Session(spark_master="local[2]")).startswith("/")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        new_folder(Session(spark_master="yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            new_folder(Session(spark_master=master))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from swipeledger.functions import dates, text
 from swipeledger.functions.money import money
+from swipeledger.schemas import MONEY
 
 
 def clean_customers(raw: DataFrame, area: str = "516", strict_zip: bool = False) -> DataFrame:
@@ -41,8 +42,16 @@ def clean_branches(raw: DataFrame, default_zip: str = "00000") -> DataFrame:
     )
 
 
+def rejected_amounts(raw: DataFrame) -> DataFrame:
+    """Raw transactions whose amount is changed by storing it in cents: it has parts of a cent, or is no number that
+    fits."""
+    value = F.col("TRANSACTION_VALUE")
+    return raw.filter(value.isNotNull() & ~F.coalesce(value.try_cast(MONEY).cast("double") == value, F.lit(False)))
+
+
 def clean_transactions(raw: DataFrame) -> DataFrame:
-    """One TIMEID in place of the three date columns; exact amounts."""
+    """One TIMEID in place of the three date columns; amounts in exact cents. ``rejected_amounts`` lists those that
+    this changes."""
     return raw.withColumns(
         {
             "TRANSACTION_VALUE": money(F.col("TRANSACTION_VALUE")),

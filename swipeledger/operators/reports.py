@@ -67,6 +67,15 @@ def top_months(transactions: DataFrame, n: int = 3) -> DataFrame:
     return _as_double(best)
 
 
+def rejected_days(transactions: DataFrame) -> DataFrame:
+    """What the month reports leave out: days that do not exist, and a missing day, with the number of their
+    transactions and their value."""
+    days = transactions.groupBy("TIMEID").agg(
+        F.count("*").alias("transactions"), exact_total(F.col("TRANSACTION_VALUE")).alias("total_value")
+    )
+    return _as_double(days.withColumn("day", timeid_date(F.col("TIMEID"))).filter(F.col("day").isNull()).drop("day"))
+
+
 def branch_totals_for_type(
     branch_transactions: DataFrame, transaction_type: str = "Healthcare"
 ) -> DataFrame:

@@ -6,34 +6,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+#: How many keys are salted at most: what is broadcast has this bound.
+HOT_KEYS = 10_000
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot_rows: int = HOT_ROWS
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot_rows: int = HOT_ROWS, shares: int | None = None
 ) -> DataFrame:
     """Joins ``left``, where a key (or null) may be very common, to ``right``, where every
     key occurs once. The result is that of the plain join on ``keys``.
 
-    ``right`` comes out of an aggregate here, and behind an aggregate Spark's own skew
-    handling does not apply. So keys with more than ``hot_rows`` rows are counted out
+    Rows with a null key match nothing; they go past the join. ``right`` comes out of an aggregate here, and behind an
+    aggregate Spark's own skew handling does not apply. So keys with more than ``hot_rows`` rows are counted out
     first and salted: their rows take one of several shares, of about ``hot_rows``
     each, by the input partition they come from (the same number when a lost task runs
-    again), and the one row of ``right`` is repeated per share. Null keys, which match
-    nothing, are spread the same way. What is broadcast are the common keys, at most
-    one per ``hot_rows`` rows of ``left``."""
+    again), and the one row of ``right`` is repeated per share. The most common keys, ``HOT_KEYS`` at most, are
+    broadcast; any further ones are joined like all other keys.
+    Where ``right`` is small, a number of ``shares`` for all keys spares the counting."""
     has_null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    keyed = left.filter(~has_null)
+    if shares is not None:
+        salted = keyed.withColumn("share", F.pmod(F.spark_partition_id(), F.lit(shares)))
+        repeated = right.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        return _with_nulls(salted.join(repeated, [*keys, "share"], how).drop("share"), left.filter(has_null), how)
     hot = F.broadcast(
-        left.filter(~has_null)
-        .groupBy(*keys)
+        keyed.groupBy(*keys)
         .agg(F.ceil(F.count("*") / hot_rows).cast("int").alias("shares"))
         .filter(F.col("shares") > 1)
+        .orderBy(F.desc("shares"))
+        .limit(HOT_KEYS)
     )
-    share = (
-        F.when(has_null, F.spark_partition_id())
-        .when(F.col("shares") > 1, F.pmod(F.spark_partition_id(), "shares"))
-        .otherwise(0)
-    )
+    share = F.when(F.col("shares") > 1, F.pmod(F.spark_partition_id(), "shares")).otherwise(0)
     every_share = F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))
-    salted = left.join(hot, keys, "left").withColumn("share", share).drop("shares")
+    salted = keyed.join(hot, keys, "left").withColumn("share", share).drop("shares")
     repeated = right.join(hot, keys, "left").withColumn("share", every_share).drop("shares")
-    return salted.join(repeated, [*keys, "share"], how).drop("share")
+    return _with_nulls(salted.join(repeated, [*keys, "share"], how).drop("share"), left.filter(has_null), how)
+
+
+def _with_nulls(joined: DataFrame, without_key: DataFrame, how: str) -> DataFrame:
+    if how not in ("left", "left_anti"):
+        return joined
+    return joined.unionByName(without_key, allowMissingColumns=True)

@@ -4,10 +4,13 @@ An edit names a customer (first and last name), one field and its new value; ``s
 gives the order of the edits. Of several customers with one name, the edit
 goes to the lowest SSN of the table as it was before the batch. Names cannot be
 edited and every edit touches one field, so the last valid edit of each field
-gives the same table as the edits made one by one. SSN is the key of the table.
+gives the same table as the edits made one by one. SSN is the key of the table: an edit cannot give an account
+the SSN that another has, or that an earlier edit of the batch gives to another, and an account
+without SSN cannot be edited. Every edit is applied, followed by a later one of its field, or
+rejected with a reason.
 
-Customers and edits are first brought down to one row per name, within each task and
-then across tasks. These rows meet the customers on the SSN as well and the edits in
+What a batch costs follows the batch: only customers whose names are edited go beyond the scan, and these come
+down to one row per name, within each task and then across tasks. The edits meet these rows in
 ``join_unique``, so neither a common name nor a name with very many edits gathers
 its rows in one task."""
 
@@ -17,6 +20,9 @@ from pyspark.sql import functions as F
 from swipeledger.operators.lookups import NAME
 from swipeledger.operators.skew import join_unique
 
+#: Into how many shares the edits of a name are split.
+SHARES = 16
+
 EDITABLE = [
     "CUST_PHONE",
     "CUST_EMAIL",
@@ -43,55 +49,68 @@ def _problem() -> Column:
     )
 
 
-def first_accounts(customers: DataFrame) -> DataFrame:
-    """The SSN that an edit for a name goes to: one row per name."""
-    return (
-        customers.filter(F.col("FIRST_NAME").isNotNull() & F.col("LAST_NAME").isNotNull())
-        .groupBy(*NAME)
-        .agg(F.min("SSN").alias("SSN"))
-    )
+def edited_accounts(customers: DataFrame, updates: DataFrame) -> DataFrame:
+    """The SSN that an edit goes to: one row per name that is edited and exists."""
+    names = updates.select(*NAME).distinct()
+    named = customers.join(names, NAME, "left_semi")
+    return named.groupBy(*NAME).agg(F.min("SSN").alias("SSN"))
 
 
 def match_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
-    """Edits whose name exists, with the SSN they go to."""
-    return join_unique(updates, first_accounts(customers), NAME, "inner")
+    """Edits whose name exists, with the SSN they go to; null if the account has none."""
+    return join_unique(updates, edited_accounts(customers, updates), NAME, "inner", shares=SHARES)
 
 
 def unmatched_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     """Edits whose name does not exist."""
-    return join_unique(updates, first_accounts(customers), NAME, "left_anti")
+    return join_unique(updates, edited_accounts(customers, updates), NAME, "left_anti", shares=SHARES)
 
 
-def rejected_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
-    """Edits that change nothing, with the reason."""
-    known = first_accounts(customers).select(*NAME, F.lit(True).alias("known"))
-    reason = F.when(F.col("known").isNull(), "name not found").otherwise(_problem())
+def judged_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
+    """All edits with the ``SSN`` they go to and the ``reason`` why they change nothing, null if they do."""
+    known = edited_accounts(customers, updates).withColumn("known", F.lit(True))
+    reason = (
+        F.when(F.col("known").isNull(), "name not found")
+        .when(_problem().isNotNull(), _problem())
+        .when(F.col("SSN").isNull(), "account has no SSN")
+    )
+    judged = join_unique(updates, known, NAME, "left", shares=SHARES).withColumn("reason", reason).drop("known")
+    wanted = F.when(F.col("reason").isNull() & (F.col("field") == "SSN"), F.col("new_value").try_cast("bigint"))
+    judged = judged.withColumn("wanted", wanted)
+    claims = (
+        judged.filter(F.col("wanted").isNotNull())
+        .groupBy("wanted").agg(F.min(F.struct("seq", "SSN"))["SSN"].alias("claimed_by"))
+    )
+    holders = customers.select(F.col("SSN").alias("wanted")).join(claims.select("wanted"), "wanted", "left_semi")
+    holders = holders.distinct().withColumn("held", F.lit(True))
+    taken = claims.join(holders, "wanted", "left")
+    in_use = (F.col("held") & (F.col("wanted") != F.col("SSN"))) | (F.col("claimed_by") != F.col("SSN"))
     return (
-        join_unique(updates, known, NAME, "left")
-        .withColumn("reason", reason)
-        .filter(F.col("reason").isNotNull())
-        .drop("known")
+        join_unique(judged, taken, ["wanted"], "left", shares=SHARES)
+        .withColumn("reason", F.when(in_use, "SSN already in use").otherwise(F.col("reason")))
+        .drop("wanted", "claimed_by", "held")
     )
 
 
-def last_values(updates: DataFrame) -> DataFrame:
-    """One row per name with the last valid value of every edited field. Unusable
+def rejected_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
+    """Edits that change nothing, with the reason."""
+    return judged_updates(customers, updates).filter(F.col("reason").isNotNull()).drop("SSN")
+
+
+def accepted_accounts(customers: DataFrame, updates: DataFrame) -> DataFrame:
+    """The accounts that change: name, SSN and the last valid value of every edited field. Unusable
     values go first, or a late one would hide an earlier good one."""
     value = F.struct("seq", "new_value")
     return (
-        updates.filter(_problem().isNull())
-        .groupBy(*NAME)
+        judged_updates(customers, updates)
+        .filter(F.col("reason").isNull())
+        .groupBy(*NAME, "SSN")
         .agg(
             *(F.max(F.when(F.col("field") == f, value))["new_value"].alias(f"new_{f}") for f in EDITABLE)
         )
     )
 
 
-def accepted_accounts(customers: DataFrame, updates: DataFrame) -> DataFrame:
-    """The accounts that change, by SSN, with their new values."""
-    return first_accounts(customers).join(last_values(updates), NAME)
-
-
 def apply_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     """The customer table after the edits. Transactions keep their card."""
     return change_accounts(customers, accepted_accounts(customers, updates))

@@ -84,6 +84,63 @@ def test_missing_names_match_nobody(spark, customers):
     assert rows(updates.apply_updates(customers, table)) == rows(customers)
 
 
+def test_an_account_without_ssn_cannot_be_edited(spark, customers):
+    nameless = customers.limit(1).withColumn("SSN", F.lit(None).cast("bigint")).withColumn("FIRST_NAME", F.lit("No"))
+    nameless = nameless.withColumn("LAST_NAME", F.lit("Number"))
+    table = edits(spark, (1, "No Number", "CUST_CITY", "Avon"), (2, "No Number", "FAX", "1"))
+    everyone = customers.union(nameless)
+    assert rows(updates.rejected_updates(everyone, table), "seq", "reason") == [
+        (1, "account has no SSN"),
+        (2, "unknown field"),
+    ]
+    assert rows(updates.match_updates(everyone, table), "seq", "SSN") == [(1, None), (2, None)]
+    assert rows(updates.apply_updates(everyone, table)) == rows(everyone)
+
+
+def test_an_ssn_in_use_is_rejected(spark, customers):
+    table = edits(
+        spark,
+        (1, "Etta Holman", "SSN", "100000001"),
+        (2, "Mary-Ann O'Neil", "SSN", "900000009"),
+        (3, "Etta Holman", "SSN", "900000009"),
+        (4, "Zoe Null", "SSN", "100000005"),
+    )
+    assert rows(updates.rejected_updates(customers, table), "seq", "reason") == [
+        (1, "SSN already in use"),
+        (3, "SSN already in use"),
+    ]
+    edited = rows(updates.apply_updates(customers, table), "SSN")
+    assert len(set(edited)) == 5 and (900000009,) in edited
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_every_edit_is_applied_or_rejected(spark, customers, seed):
+    choose = random.Random(seed)
+    values = ["NY", "06001", "abc", "900000001", "900000002", "100000001", "100000004", None]
+    names = ["Alec Hooper", "Mary-Ann O'Neil", "Etta Holman", "Zoe Null", "No Body"]
+    fields = [*updates.EDITABLE, "SSN", "SSN", "FAX"]
+    table = edits(spark, *((k, choose.choice(names), choose.choice(fields), choose.choice(values)) for k in range(60)))
+    rejected = {r.seq for r in updates.rejected_updates(customers, table).collect()}
+    judged = [r for r in updates.judged_updates(customers, table).collect() if r.reason is None]
+    last = {(r.SSN, r.field): r.seq for r in sorted(judged, key=lambda r: r.seq)}
+    superseded = {r.seq for r in judged} - set(last.values())
+    assert rejected | superseded | set(last.values()) == set(range(60))
+    assert len(rejected) + len(judged) == 60
+    edited = updates.apply_updates(customers, table)
+    assert edited.select("SSN").distinct().count() == 5
+
+
+def test_one_edit_does_not_shuffle_the_customers(spark, customers, tmp_path, plan_of):
+    customers.write.parquet(f"{tmp_path}/customers")
+    stored = spark.read.parquet(f"{tmp_path}/customers")
+    edits(spark, (1, "Etta Holman", "CUST_CITY", "Avon")).write.parquet(f"{tmp_path}/edits")
+    table = spark.read.parquet(f"{tmp_path}/edits")
+    matched = updates.match_updates(stored, table)
+    matched.collect()
+    plan = plan_of(matched, "simple")
+    assert "BroadcastHashJoin [FIRST_NAME" in plan and "LeftSemi, BuildRight" in plan
+
+
 def test_shared_name_goes_to_the_lowest_ssn(spark, customers):
     table = edits(
         spark, (1, "Alec Hooper", "SSN", "900000000"), (2, "Alec Hooper", "CUST_CITY", "Avon")

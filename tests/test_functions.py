@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from swipeledger.functions import dates, money, text
 
-LETTERS = "abzABZéÉñÑüÜøØłŁçÇдДжЖωΩ"
+LETTERS = "abzABZéÉñÑüÜøØłŁçÇдДжЖωΩßﬁﬀǆǅǄǰİıᾳΐ"
 NAMES = st.text(alphabet=LETTERS + "'-_ .,09\t’中", max_size=12)
 
 
@@ -23,9 +23,9 @@ def test_title_case_is_that_of_python(spark, names):
 
 
 def test_title_case_of_known_names(spark):
-    names = ["ALEC", "o'neil mary-ann", "a_b", "mcdonald 3rd", "", None]
+    names = ["ALEC", "o'neil mary-ann", "a_b", "mcdonald 3rd", "", None, "ßa", "ﬁn", "ǆx", "İstanbul"]
     assert one(spark, names, "string", text.title_case) == [
-        "Alec", "O'Neil Mary-Ann", "A_B", "Mcdonald 3Rd", "", None,
+        "Alec", "O'Neil Mary-Ann", "A_B", "Mcdonald 3Rd", "", None, "Ssa", "Fin", "ǅx", "İstanbul",
     ]
 
 

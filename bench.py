@@ -7,6 +7,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -36,6 +37,7 @@ def main():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -318,6 +318,21 @@ def top_months(spark, sf_dir):
     return reports.top_months(_lines(spark, sf_dir))
 
 
+@query
+def rejected_days(spark, sf_dir):
+    """Every line moved to the 31st, which not all months have."""
+    moved = standins.line_transactions(spark, sf_dir).withColumn("DAY", F.lit(31))
+    return reports.rejected_days(cleaning.clean_transactions(moved))
+
+
+@query
+def rejected_amounts(spark, sf_dir):
+    """Events with an eighth of their value as amount."""
+    raw = standins.event_transactions(spark, sf_dir)
+    parts = raw.withColumn("TRANSACTION_VALUE", F.round("TRANSACTION_VALUE", 2) / 8)
+    return cleaning.rejected_amounts(parts).select("TRANSACTION_ID", "TRANSACTION_VALUE")
+
+
 @query
 def branch_totals_for_type(spark, sf_dir):
     return reports.branch_totals_for_type(_branch_transactions(spark, sf_dir), "R")
@@ -346,19 +361,29 @@ def pct_rejected_married_male(spark, sf_dir):
 # Sources and sinks
 
 
+_LOADED: dict[tuple, dict[str, str]] = {}
+
+
 def _loaded(spark, sf_dir):
-    """The whole load from raw JSON files made of the driver's tables."""
-    folder = new_folder(spark)
-    raw = {
-        "customers": standins.raw_customers(spark, sf_dir),
-        "branches": standins.raw_branches(spark, sf_dir),
-        "transactions": standins.order_transactions(spark, sf_dir),
-    }
-    for name, df in raw.items():
-        write_clean(df, f"{folder}/raw/{name}", "json")
-    return load_tables(
-        spark, *(f"{folder}/raw/{name}" for name in raw), target=f"{folder}/stored"
-    )
+    """The whole load from raw JSON files made of the driver's tables, once for a session and a folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        folder = new_folder(spark)
+        raw = {
+            "customers": standins.raw_customers(spark, sf_dir),
+            "branches": standins.raw_branches(spark, sf_dir),
+            "transactions": standins.order_transactions(spark, sf_dir),
+        }
+        for name, df in raw.items():
+            write_clean(df, f"{folder}/raw/{name}", "json")
+        _LOADED[key] = load_tables(
+            spark, *(f"{folder}/raw/{name}" for name in raw), target=f"{folder}/stored"
+        )
+    return _LOADED[key]
+
+
+def _stored(spark, sf_dir, name):
+    return readers.read_clean(spark, name, _loaded(spark, sf_dir)[name])
 
 
 @query
@@ -368,25 +393,111 @@ def json_round_trip(spark, sf_dir):
     return _value_as_double(readers.read_clean(spark, "transactions", folder, "json"))
 
 
+def _through_json(spark, df, table):
+    folder = new_folder(spark)
+    write_clean(df, folder, "json")
+    return readers.read_clean(spark, table, folder, "json")
+
+
+@query
+def customers_json(spark, sf_dir):
+    return _through_json(spark, _customers(spark, sf_dir), "customers")
+
+
+@query
+def branches_json(spark, sf_dir):
+    return _through_json(spark, _branches(spark, sf_dir), "branches")
+
+
+@query
+def customer_transactions_json(spark, sf_dir):
+    joined = _customer_transactions(spark, sf_dir)
+    return _value_as_double(_through_json(spark, joined, "customer_transactions"))
+
+
+@query
+def branch_transactions_json(spark, sf_dir):
+    joined = _branch_transactions(spark, sf_dir)
+    return _value_as_double(_through_json(spark, joined, "branch_transactions"))
+
+
 @query
 def json_permissive(spark, sf_dir):
     """Raw customers with their zip declared as a number, so those in debt do not
     fit."""
     folder = new_folder(spark)
     write_clean(_for_permissive_read(spark, sf_dir), folder, "json")
-    return _good_and_bad(
-        readers.read_json_permissive(spark, folder, schemas.CUSTOMER_CLEAN, multi_line=False)
-    )
+    return _good_and_bad(readers.read_permissive(spark, folder, schemas.CUSTOMER_CLEAN))
 
 
 @query
 def json_indented_array(spark, sf_dir):
-    """The same rows as the indented records of an array."""
+    """The same rows as the indented records of arrays."""
     folder = new_folder(spark)
-    record = F.to_json(F.struct("*"), {"pretty": "true"})
-    indented = F.concat(F.lit("    "), F.regexp_replace(record, "\n", "\n    "))
-    _for_permissive_read(spark, sf_dir).select(indented).write.text(folder)
-    return _good_and_bad(readers.read_indented_array(spark, folder, schemas.CUSTOMER_CLEAN))
+    records = _for_permissive_read(spark, sf_dir).withColumn("id", F.col("SSN"))
+    standins.write_arrays(records, folder, indent=4)
+    return _good_and_bad(readers.read_permissive(spark, folder, schemas.CUSTOMER_CLEAN))
+
+
+@query
+def json_array_multiline(spark, sf_dir):
+    return _damaged_array(spark, sf_dir, 4)
+
+
+@query
+def json_array_indent2(spark, sf_dir):
+    return _damaged_array(spark, sf_dir, 2)
+
+
+def _damaged_array(spark, sf_dir, indent):
+    """Arrays in which some records lack their closing brace and some have an SSN that is no number."""
+    folder = new_folder(spark)
+    standins.write_arrays(standins.damaged_customers(spark, sf_dir), folder, indent, broken="broken")
+    read = readers.read_permissive(spark, folder, schemas.CUSTOMER_RAW)
+    good = read.good.select(F.col("SSN").cast("string"), "LAST_UPDATED", F.lit("").alias("problem"))
+    in_text = F.regexp_extract("_corrupt_record", '"SSN" : "([0-9]+)"', 1)
+    problem = F.when(F.col("_corrupt_record").isNotNull(), "broken").otherwise(F.concat_ws(",", "bad_columns"))
+    return good.union(read.bad.select(F.coalesce("SSN", in_text), "LAST_UPDATED", problem))
+
+
+@query
+def load_rejects(spark, sf_dir):
+    """What a load of damaged customers stores as rejected."""
+    folder = new_folder(spark)
+    records = standins.damaged_customers(spark, sf_dir)
+    columns = [c for c in records.columns if c not in ("id", "broken")]
+    line = F.to_json(F.struct(*columns))
+    records.select(F.when(F.col("broken"), F.substring(line, 1, 20)).otherwise(line)).write.text(f"{folder}/customers")
+    write_clean(standins.raw_branches(spark, sf_dir), f"{folder}/branches", "json")
+    write_clean(standins.order_transactions(spark, sf_dir), f"{folder}/transactions", "json")
+    names = ("customers", "branches", "transactions")
+    paths = load_tables(spark, *(f"{folder}/{n}" for n in names), target=f"{folder}/stored")
+    rejected = [
+        spark.read.parquet(paths[f"rejected_{n}"]).select(
+            F.lit(n).alias("rejected_from"), F.concat_ws(",", "bad_columns").alias("bad_columns"), "_corrupt_record",
+            (F.col("SSN") if n == "customers" else F.lit(None).cast("string")).alias("SSN"),
+        )
+        for n in names
+    ]
+    return rejected[0].union(rejected[1]).union(rejected[2])
+
+
+@query
+def clean_customers_all_columns(spark, sf_dir):
+    """Raw customers with a column that is not declared, from JSON to the clean table."""
+    folder = new_folder(spark)
+    raw = standins.raw_customers(spark, sf_dir)
+    write_clean(raw.withColumn("LAST_UPDATED", F.concat(F.lit("day "), F.col("SSN").cast("string"))), folder, "json")
+    return cleaning.clean_customers(readers.read_customers(spark, folder))
+
+
+@query
+def loans_all_columns(spark, sf_dir):
+    """Loan applications with their number and quantity, as arrays of records."""
+    folder = new_folder(spark)
+    applications = standins.loans(spark, sf_dir, "concat('LP', l_orderkey, '-', l_linenumber) AS Application_ID", "l_quantity AS Quantity", "l_orderkey AS id")
+    standins.write_arrays(applications, folder, indent=4)
+    return readers.read_loans(spark, folder).withColumn("Quantity", F.col("Quantity").cast("double"))
 
 
 def _for_permissive_read(spark, sf_dir):
@@ -432,16 +543,41 @@ def temp_view_sql(spark, sf_dir):
 
 @query
 def stored_customer_transactions(spark, sf_dir):
-    paths = _loaded(spark, sf_dir)
-    stored = readers.read_clean(spark, "customer_transactions", paths["customer_transactions"])
-    return _value_as_double(stored)
+    return _value_as_double(_stored(spark, sf_dir, "customer_transactions"))
 
 
 @query
 def stored_branch_transactions(spark, sf_dir):
-    paths = _loaded(spark, sf_dir)
-    stored = readers.read_clean(spark, "branch_transactions", paths["branch_transactions"])
-    return _value_as_double(stored)
+    return _value_as_double(_stored(spark, sf_dir, "branch_transactions"))
+
+
+@query
+def stored_transactions_by_zip_month(spark, sf_dir):
+    stored = _stored(spark, sf_dir, "customer_transactions")
+    return _value_as_double(lookups.transactions_by_zip_month(stored, 7, "11", "1998").drop("YEAR_MONTH"))
+
+
+@query
+def stored_transactions_between(spark, sf_dir):
+    stored = _stored(spark, sf_dir, "customer_transactions")
+    found = lookups.transactions_between(stored, "Household", "Nation_2-O'Household0", "19960101", "20001231")
+    return _value_as_double(found.drop("YEAR_MONTH"))
+
+
+@query
+def stored_monthly_bill(spark, sf_dir):
+    return lookups.monthly_bill(_stored(spark, sf_dir, "transactions"), "330", "01", "1999")
+
+
+@query
+def stored_state_count_total(spark, sf_dir):
+    return lookups.state_count_total(_stored(spark, sf_dir, "branch_transactions"), "nation_15")
+
+
+@query
+def stored_account_details(spark, sf_dir):
+    stored = _stored(spark, sf_dir, "customers")
+    return lookups.account_details(stored, "Household", "Nation_2-O'Household0")
 
 
 @query

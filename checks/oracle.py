@@ -54,7 +54,7 @@ raw_branches AS (
   SELECT CAST(s_suppkey AS INTEGER) AS BRANCH_CODE,
          n_name AS BRANCH_STATE,
          lpad(CAST(s_suppkey AS VARCHAR), 10, '5') AS BRANCH_PHONE,
-         CASE WHEN s_acctbal >= 0 THEN CAST(s_suppkey AS INTEGER) END AS BRANCH_ZIP
+         CASE WHEN s_acctbal >= 0 THEN lpad(CAST(s_suppkey AS VARCHAR), 5, '0') END AS BRANCH_ZIP
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
   UNION ALL
   SELECT CAST(-1 - n_nationkey AS INTEGER), n_name, NULL, NULL FROM nation
@@ -65,7 +65,7 @@ branches AS (
   SELECT BRANCH_CODE, BRANCH_STATE,
          '(' || substr(BRANCH_PHONE, 1, 3) || ')' || substr(BRANCH_PHONE, 4, 3)
              || '-' || substr(BRANCH_PHONE, 7, 10) AS BRANCH_PHONE,
-         coalesce(lpad(CAST(BRANCH_ZIP AS VARCHAR), 5, '0'), '00000') AS BRANCH_ZIP
+         coalesce(BRANCH_ZIP, '00000') AS BRANCH_ZIP
   FROM raw_branches
 )"""
 
@@ -137,7 +137,7 @@ updates AS (
            WHEN 7 THEN '9' || lpad(CAST(SSN AS VARCHAR), 8, '0')
            WHEN 8 THEN 'Ohio'
            WHEN 9 THEN 'n/a'
-           WHEN 10 THEN '12345'
+           WHEN 10 THEN CASE WHEN SSN % 24 = 10 THEN '12345' ELSE lpad(CAST(SSN - 1 AS VARCHAR), 9, '0') END
            ELSE 'none' END AS new_value
   FROM customers
   UNION ALL
@@ -155,7 +155,10 @@ judged AS (
               WHEN field = 'CUST_ZIP' AND TRY_CAST(new_value AS INTEGER) IS NULL
                 THEN 'zip must be a whole number'
               WHEN field = 'SSN' AND NOT regexp_full_match(new_value, '[0-9]{{9}}')
-                THEN 'SSN must have 9 digits' END AS reason
+                THEN 'SSN must have 9 digits'
+              WHEN field = 'SSN' AND TRY_CAST(new_value AS BIGINT) <> f.SSN
+                   AND TRY_CAST(new_value AS BIGINT) IN (SELECT SSN FROM customers)
+                THEN 'SSN already in use' END AS reason
   FROM updates u LEFT JOIN firsts f USING (FIRST_NAME, LAST_NAME)
 ),
 latest AS (
@@ -204,6 +207,13 @@ GOOD_AND_BAD = f"""
                CASE WHEN TRY_CAST(CUST_ZIP AS INTEGER) IS NULL THEN 'CUST_ZIP' END AS bad_column
         FROM raw_customers"""
 
+DAMAGED = f"""
+        WITH {RAW_CUSTOMERS}
+        SELECT CASE WHEN SSN % 10 = 3 THEN 'S' || SSN ELSE CAST(SSN AS VARCHAR) END AS SSN,
+               CASE WHEN SSN % 10 <> 7 THEN 'day ' || SSN END AS LAST_UPDATED,
+               CASE SSN % 10 WHEN 3 THEN 'SSN' WHEN 7 THEN 'broken' ELSE '' END AS problem
+        FROM raw_customers"""
+
 ORACLE = {
     "customer_zip_int": f"""
         WITH {RAW_CUSTOMERS}
@@ -374,6 +384,36 @@ ORACLE = {
                          / nullif(count(*), 0) * 100 AS rejected_pct
                   FROM loans WHERE Gender = 'Male' AND Married = 'Yes')
         SELECT rejected_pct, 100 - rejected_pct AS other_pct FROM share""",
+    "rejected_days": f"""
+        WITH {LINES},
+        moved AS (SELECT substr(TIMEID, 1, 6) || '31' AS TIMEID, TRANSACTION_VALUE FROM lines_t)
+        SELECT TIMEID, count(*) AS transactions, {TOTAL} FROM moved
+        WHERE substr(TIMEID, 5, 2) IN ('02', '04', '06', '09', '11') GROUP BY 1""",
+    "rejected_amounts": """
+        SELECT event_id AS TRANSACTION_ID, round(value, 2) / 8 AS TRANSACTION_VALUE FROM events
+        WHERE CAST(CAST(round(value, 2) / 8 AS DECIMAL(18,2)) AS DOUBLE) <> round(value, 2) / 8""",
+    "customers_json": f"WITH {CUSTOMERS} SELECT * FROM customers",
+    "branches_json": f"WITH {BRANCHES} SELECT * FROM branches",
+    "customer_transactions_json": f"WITH {CUST_T} {as_double('cust_t')}",
+    "branch_transactions_json": f"WITH {BRANCH_T} {as_double('branch_t')}",
+    "json_array_multiline": DAMAGED,
+    "json_array_indent2": DAMAGED,
+    "load_rejects": f"""
+        WITH {RAW_CUSTOMERS}
+        SELECT 'customers' AS rejected_from, CASE WHEN SSN % 10 = 3 THEN 'SSN' ELSE '' END AS bad_columns,
+               CASE WHEN SSN % 10 = 7 THEN left('{{"SSN":"' || SSN || '","FIRST_NAME":"' || FIRST_NAME, 20) END
+                 AS _corrupt_record,
+               CASE WHEN SSN % 10 = 3 THEN 'S' || SSN END AS SSN
+        FROM raw_customers WHERE SSN % 10 IN (3, 7)""",
+    "clean_customers_all_columns": f"""
+        WITH {CUSTOMERS} SELECT *, 'day ' || SSN AS LAST_UPDATED FROM customers""",
+    "loans_all_columns": """
+        SELECT CASE WHEN l_linenumber % 2 = 1 THEN 'Male' ELSE 'Female' END AS Gender,
+               CASE WHEN l_quantity > 25 THEN 'Yes' ELSE 'No' END AS Married,
+               CASE WHEN l_linestatus = 'O' THEN 'Yes' ELSE 'No' END AS Self_Employed,
+               CASE WHEN l_returnflag = 'R' THEN 'N' ELSE 'Y' END AS Application_Status,
+               'LP' || l_orderkey || '-' || l_linenumber AS Application_ID, l_quantity AS Quantity
+        FROM lineitem""",
     "json_round_trip": f"WITH {ORDERS} {as_double('orders_t')}",
     "json_permissive": GOOD_AND_BAD,
     "json_indented_array": GOOD_AND_BAD,
@@ -396,3 +436,9 @@ ORACLE = {
         {as_double('stored')}""",
     "publish_customers": EDITED,
 }
+
+for _name in ("transactions_by_zip_month", "transactions_between", "monthly_bill", "account_details"):
+    ORACLE[f"stored_{_name}"] = ORACLE[_name]
+ORACLE["stored_state_count_total"] = f"""
+        WITH {BRANCHES}, {ORDERS}, {branch_join('orders_t')}
+        SELECT {COUNT_TOTAL} FROM branch_t WHERE BRANCH_STATE = 'NATION_15'"""

@@ -2,6 +2,7 @@
 SQL of its own. Every table is used whole."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Declared, so that no job is spent on reading the layout of each file.
 LAYOUTS = {
@@ -43,19 +44,46 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw customers as JSON text with undeclared columns: in one of ten the SSN is no number, and one of ten, ``broken``, is
+    to be cut off."""
+    raw = raw_customers(spark, sf_dir)
+    more = {
+        "id": F.col("SSN"),
+        "broken": F.col("SSN") % 10 == 7,
+        "SSN": F.when(F.col("SSN") % 10 == 3, F.concat(F.lit("S"), F.col("SSN").cast("string"))).otherwise(F.col("SSN").cast("string")),
+        "LAST_UPDATED": F.concat(F.lit("day "), F.col("SSN").cast("string")),
+    }
+    return raw.withColumns(more)
+
+
+def write_arrays(records: DataFrame, path: str, indent: int, broken: str | None = None) -> None:
+    """Records as JSON arrays of up to 500, one file each, with brackets and commas; indented by ``indent``. Those for which
+    ``broken`` holds lack their closing brace."""
+    columns = [c for c in records.columns if c not in ("id", "broken")]
+    text = F.regexp_replace(F.to_json(F.struct(*columns), {"pretty": "true"}), r"\r?\n", "\n" + " " * indent)
+    text = F.concat(F.lit(" " * indent), text)
+    if broken:
+        text = F.when(F.expr(broken), F.regexp_replace(text, r"\s*\}$", "")).otherwise(text)
+    group = F.floor(F.col("id") / 500).alias("part")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", text.alias("text")))), lambda r: r["text"]), ",\n")
+    arrays = records.groupBy(group).agg(F.concat(F.lit("[\n"), joined, F.lit("\n]")).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+
+
 def raw_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers, and a head office per nation that has no transactions."""
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
         "int(s_suppkey) AS BRANCH_CODE",
         "concat('NATION_', s_nationkey) AS BRANCH_STATE",
         "lpad(string(s_suppkey), 10, '5') AS BRANCH_PHONE",
-        "if(s_acctbal >= 0, int(s_suppkey), null) AS BRANCH_ZIP",
+        "if(s_acctbal >= 0, lpad(string(s_suppkey), 5, '0'), null) AS BRANCH_ZIP",
     )
     head_offices = table(spark, sf_dir, "nation").selectExpr(
         "-1 - n_nationkey AS BRANCH_CODE",
         "concat('NATION_', n_nationkey) AS BRANCH_STATE",
         "string(null) AS BRANCH_PHONE",
-        "int(null) AS BRANCH_ZIP",
+        "string(null) AS BRANCH_ZIP",
     )
     return suppliers.unionByName(head_offices)
 
@@ -99,17 +127,18 @@ def line_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loans(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "if(l_linenumber % 2 = 1, 'Male', 'Female') AS Gender",
         "if(l_quantity > 25, 'Yes', 'No') AS Married",
         "if(l_linestatus = 'O', 'Yes', 'No') AS Self_Employed",
         "if(l_returnflag = 'R', 'N', 'Y') AS Application_Status",
+        *more,
     )
 
 
 def updates(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
-    """One edit per clean customer, in turn of every kind, valid or not, and one per
+    """One edit per clean customer, in turn of every kind, valid or not, some for the SSN of another, and one per
     supplier for a name that does not exist. Shared names get several edits."""
     of_customers = customers.selectExpr(
         "SSN AS seq",
@@ -134,7 +163,7 @@ def updates(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame
           WHEN 7 THEN concat('9', lpad(string(SSN), 8, '0'))
           WHEN 8 THEN 'Ohio'
           WHEN 9 THEN 'n/a'
-          WHEN 10 THEN '12345'
+          WHEN 10 THEN if(SSN % 24 = 10, '12345', lpad(string(SSN - 1), 9, '0'))
           ELSE 'none' END AS new_value
         """,
     )

@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def n_code_points(data: bytes) -> int:
 def in_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about ``most_bytes`` of text (one row at least)."""
     for batch in batches:
-        sizes = [len(b) for b in bytes_of(batch.column(column))]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > most_bytes:

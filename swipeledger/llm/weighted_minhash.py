@@ -45,15 +45,18 @@ def shingles(text: bytes, n: int, number: WordHashes) -> tuple[np.ndarray, np.nd
     """The distinct shingles of a text (runs of ``n`` words, lower case) as 64-bit numbers, and how often each comes.
     A shorter text is one shingle, a text without words none."""
     words = text.lower().split()
-    ids = np.array([number[w] for w in words], np.uint64)
+    ids = np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
     if not len(ids):
         return ids, np.zeros(0, np.int64)
+    size = min(n, len(ids))
+    rolled = np.zeros(len(ids) - size + 1, np.uint64)
     with np.errstate(over="ignore"):
-        size = min(n, len(ids))
-        rolled = np.zeros(len(ids) - size + 1, np.uint64)
         for k in range(size):
-            rolled = mixed(rolled * np.uint64(31) + ids[k : k + len(rolled)])
-    return np.unique(rolled, return_counts=True)
+            rolled = rolled * _FACTOR + ids[k : k + len(rolled)]
+    return np.unique(mixed(rolled), return_counts=True)
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def weights(names: np.ndarray, times: np.ndarray, common: dict[int, float]) -> np.ndarray:
@@ -68,26 +71,35 @@ def weights(names: np.ndarray, times: np.ndarray, common: dict[int, float]) -> n
     return w
 
 
-_U32 = np.float32(2.0**-32)
+def _gamma_quantiles(n: int) -> np.ndarray:
+    """The quantiles of Gamma(2, 1) in the middles of ``n`` equal shares."""
+    x = np.linspace(0, 30, 300_001)
+    return np.interp((np.arange(n) + 0.5) / n, 1 - np.exp(-x) * (1 + x), x).astype(np.float32)
+
+
+_R = _gamma_quantiles(4096)
+_PER_R = (1 / _R).astype(np.float32)
+_BITS20, _BITS12 = np.uint64((1 << 20) - 1), np.uint64((1 << 12) - 1)
 
 
 def samples(names: np.ndarray, weight: np.ndarray, start: np.ndarray, count: int) -> np.ndarray:
     """``count`` consistent weighted samples of each text; its shingles are those from ``start`` on. Two texts have the same sample with
     a chance equal to their weighted Jaccard similarity. Of a shingle of weight S, with r and c drawn from Gamma(2, 1)
-    and b from [0, 1): t = floor(ln S / r + b), y = exp(r (t - b)), and the least c / (y exp(r)) is taken."""
+    and b from [0, 1): t = floor(ln S / r + b), y = exp(r (t - b)), and the least c / (y exp(r)) is taken. The 64
+    bits that draw them: 20 and 20 for c = -ln(u v), 12 for a quantile of r, 12 for b."""
     log_w = np.log(weight)
     text = np.repeat(np.arange(len(start) - 1), np.diff(start))
     out = np.zeros((len(start) - 1, count), np.uint64)
-    low = np.uint64(0xFFFFFFFF)
-    half = np.uint64(32)
+    half, scale = np.float32(0.5), np.float32(2.0**-40)
     for k in range(count):
         h = mixed(names ^ np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        g = mixed(h + np.uint64(k))
-        c = -np.log(((h >> half).astype(np.float32) + np.float32(0.5)) * _U32) - np.log(((h & low).astype(np.float32) + np.float32(0.5)) * _U32)
-        r = -np.log(((g >> half).astype(np.float32) + np.float32(0.5)) * _U32 * ((g & np.uint64(0xFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-16))
-        b = ((g >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.float32) * np.float32(2.0**-16)
-        t = np.floor(log_w / r + b)
-        key = np.log(np.maximum(c, np.float32(1e-30))) - r * (t - b) - r
+        u = (h & _BITS20).astype(np.float32) + half
+        v = ((h >> np.uint64(20)) & _BITS20).astype(np.float32) + half
+        log_c = np.log(-np.log(u * v * scale))
+        which = ((h >> np.uint64(40)) & _BITS12).astype(np.int64)
+        b = (h >> np.uint64(52)).astype(np.float32) * np.float32(2.0**-12)
+        t = np.floor(log_w * _PER_R[which] + b)
+        key = log_c - _R[which] * (t - b + np.float32(1))
         least = np.minimum.reduceat(key, start[:-1])
         hit = np.flatnonzero(key == least[text])
         first = hit[np.searchsorted(text[hit], np.arange(len(start) - 1))]
@@ -200,6 +212,62 @@ def _compared(pairs: DataFrame, texts: DataFrame, near: Near, common: dict[int,
     return pairs.join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text").mapInArrow(compare, "a binary, b binary, similarity double")
 
 
+def _pairwise(first: list[tuple], second: list[tuple], least: float) -> list[tuple[int, int, float]]:
+    """(i, j, similarity) of the texts of the two lists with at least that similarity. The texts of ``second`` are looked up by
+    shingle, so a text costs the shingles that it shares and not a comparison with each."""
+    names = np.concatenate([n for n, _ in second])
+    held = np.repeat(np.arange(len(second)), [len(n) for n, _ in second])
+    weight = np.concatenate([w for _, w in second]).astype(np.float64)
+    order = np.argsort(names, kind="stable")
+    names, held, weight = names[order], held[order], weight[order]
+    total = np.bincount(held, weights=weight, minlength=len(second))
+    out = []
+    for i, (mine, own) in enumerate(first):
+        own = own.astype(np.float64)
+        low, high = np.searchsorted(names, mine, "left"), np.searchsorted(names, mine, "right")
+        count = high - low
+        at = np.arange(count.sum()) + np.repeat(low - (np.cumsum(count) - count), count)
+        shared = np.bincount(held[at], weights=np.minimum(weight[at], np.repeat(own, count)), minlength=len(second))
+        alike = shared / np.maximum(own.sum() + total - shared, 1e-30)
+        out += [(i, int(j), float(alike[j])) for j in np.flatnonzero(alike >= least)]
+    return out
+
+
+#: Texts of each side that are compared in one task.
+BLOCK = 1000
+
+
+def _links_between(sides: DataFrame, texts: DataFrame, near: Near, common: dict[int, float]) -> DataFrame:
+    """(a, b) of near texts (``text_id``) on ``side`` 0 and 1 of a group ``key``. Large sides are dealt into blocks, and a task
+    compares one block with one: a text is sent as often as the other side has blocks, and only links come out."""
+    n = sides.groupBy("key").agg(*(F.ceil(F.sum((F.col("side") == s).cast("int")) / BLOCK).cast("int").alias(f"n{s}") for s in (0, 1)))
+    n = n.where("n0 > 0 and n1 > 0")
+    own = F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))
+    other = F.when(F.col("side") == 0, F.col("n1")).otherwise(F.col("n0"))
+    dealt = (
+        sides.join(n, "key").withColumn("mine", F.pmod(F.xxhash64("text_id"), own)).withColumn("theirs", F.explode(F.sequence(F.lit(0), other - 1)))
+        .withColumn("i", F.when(F.col("side") == 0, F.col("mine")).otherwise(F.col("theirs")))
+        .withColumn("j", F.when(F.col("side") == 0, F.col("theirs")).otherwise(F.col("mine")))
+        .select("key", "i", "j", "side", "text_id").join(texts, "text_id")
+    )
+
+    def compare(table):
+        number = WordHashes()
+        ids, side = table.column("text_id").to_pylist(), table.column("side").to_pylist()
+        weighted = []
+        for text in bytes_of(table.column("text")):
+            names, times = shingles(text, near.words, number)
+            weighted.append((names, weights(names, times, common)))
+        sets = [[k for k, x in enumerate(side) if x == s] for s in (0, 1)]
+        found = []
+        if all(sets):
+            pairs = _pairwise([weighted[k] for k in sets[0]], [weighted[k] for k in sets[1]], near.similarity - 1e-9)
+            found = [(ids[sets[0][i]], ids[sets[1][j]]) for i, j, _ in pairs if ids[sets[0][i]] != ids[sets[1][j]]]
+        return pa.Table.from_arrays([pa.array([max(p) for p in found], pa.binary()), pa.array([min(p) for p in found], pa.binary())], names=["a", "b"])
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary").distinct()
+
+
 def text_id(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
@@ -224,64 +292,59 @@ def _number(key: Column) -> Column:
 def near_links(texts: DataFrame, near: Near = Near()) -> DataFrame:
     """(a, b): verified links between different texts (``text_id``, ``text``) that join each class of near duplicates.
 
-    Texts with an equal band are a bucket. Each text of a bucket is compared with the bucket's leader; those
-    that are not near it get a leader among themselves, ``rounds`` times, and what is left then is compared pair by pair. So
+    Texts with an equal band are a bucket. Each text of a bucket is compared with the bucket's leader, the one whose buckets are the largest; those
+    that are not near it get a leader among themselves, ``rounds`` times, and what is left then is compared block by block. So
     a group of copies gives a pair per copy and not all pairs. A text that is not near its
     leader can still be near another text that is: only if their distances to the leader differ by no more than a link
-    allows, for 1 - similarity is a metric. Such texts, if still in another class, are compared with
-    those, a few first and in the end all."""
+    allows, for 1 - similarity is a metric. Such texts, if still in another class, are compared with those by blocks, too."""
     common = common_shingles(texts, near)
     banded = sketches(texts, near, common).groupBy("text_id").agg(F.first("bands").alias("bands"))
     entries = stored(banded.select("text_id", F.explode("bands").alias("bucket")))
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    left = stored(entries.join(shared, "bucket"))
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    left = entries.join(shared, "bucket")
+    # What a group of copies was made from has the group's common bands; its edited copies lack some.
+    central = left.groupBy("text_id").agg(F.sum("n").alias("centre"))
+    left = stored(left.drop("n").join(central, "text_id"))
     involved = stored(_only(texts, left.select("text_id").distinct()))
     far = 1 - near.similarity + 1e-9
-    compared, led = [], []
-    for k in range(near.rounds + 1):
-        if k < near.rounds:
-            leaders = left.groupBy("bucket").agg(F.min("text_id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-            members = left.join(leaders, "bucket").where(F.col("text_id") != F.col("b")).withColumnRenamed("text_id", "a")
-        else:
-            other = left.select("bucket", F.col("text_id").alias("b"))
-            members = left.withColumnRenamed("text_id", "a").join(other, "bucket").where(F.col("a") > F.col("b"))
-        pairs = members.select("a", "b").distinct()
+    compared, led, rest = [], [], None
+
+    def compare(pairs: DataFrame) -> None:
         if compared:
             pairs = pairs.join(_all(compared), ["a", "b"], "left_anti")
-        done = stored(_compared(pairs, involved, near, common))
-        if done.isEmpty():
+        compared.append(stored(_compared(pairs, involved, near, common)))
+
+    one, other = F.greatest("text_id", "other").alias("a"), F.least("text_id", "other").alias("b")
+    for _ in range(near.rounds):
+        leader = F.max(F.struct("centre", "text_id"))["text_id"]
+        leaders = left.groupBy("bucket").agg(leader.alias("other"), F.count("*").alias("n")).where("n > 1").drop("n")
+        members = stored(left.join(leaders, "bucket").where(F.col("text_id") != F.col("other")).select("*", one, other))
+        if members.isEmpty():
             break
-        compared.append(done)
-        if k < near.rounds:
-            placed = stored(members.join(_all(compared), ["a", "b"]).withColumn("distance", 1 - F.col("similarity")))
-            led.append(placed)
-            left = placed.where(F.col("distance") > far).select("bucket", F.col("a").alias("text_id"))
+        compare(members.select("a", "b").distinct())
+        placed = stored(members.join(_all(compared), ["a", "b"]).withColumn("distance", 1 - F.col("similarity")))
+        led.append(placed.select("bucket", F.col("other").alias("leader"), "text_id", "distance"))
+        left = placed.where(F.col("distance") > far).select("bucket", "text_id", "centre")
+    else:
+        groups = left.groupBy("bucket").count().where("count > 1").drop("count")
+        both = left.join(groups, "bucket").select(F.col("bucket").alias("key"), "text_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+        rest = stored(_links_between(both, involved, near, common))
     if not compared:
         return involved.select(F.col("text_id").alias("a"), F.col("text_id").alias("b")).limit(0)
-    close = lambda frames: _all(frames).where(1 - F.col("similarity") <= far).select("a", "b")
-    placed = _all(led)
-    inner = placed.where(F.col("distance") <= far).select("bucket", F.col("b").alias("leader"), F.col("a").alias("i"), F.col("distance").alias("i_distance"))
-    outer = placed.where((F.col("distance") > far) & (F.col("distance") <= 2 * far)).select("bucket", F.col("b").alias("leader"), F.col("a").alias("o"), F.col("distance").alias("o_distance"))
-    first = 4
-    while True:
-        links = stored(close(compared).distinct())
-        classes = components(links)
-        o_class = classes.select(F.col("node").alias("o"), F.col("component").alias("o_class"))
-        l_class = classes.select(F.col("node").alias("leader"), F.col("component").alias("l_class"))
-        apart = (
-            outer.join(o_class, "o", "left").join(l_class, "leader", "left")
-            .where(~F.coalesce(F.col("o_class"), F.col("o")).eqNullSafe(F.coalesce(F.col("l_class"), F.col("leader"))))
-        )
-        near_enough = apart.join(inner, ["bucket", "leader"]).where(F.col("i_distance") >= F.col("o_distance") - far)
-        a, b = F.greatest("o", "i").alias("a"), F.least("o", "i").alias("b")
-        some = near_enough.select("o", a, b).distinct().join(_all(compared).select("a", "b"), ["a", "b"], "left_anti")
-        some = some.groupBy("o").agg(F.slice(F.array_sort(F.collect_set(F.struct("a", "b"))), 1, first).alias("few"))
-        some = some.select(F.explode("few").alias("pair")).select("pair.a", "pair.b").distinct()
-        done = stored(_compared(some, involved, near, common))
-        if done.isEmpty():
-            return links
-        compared.append(done)
-        first *= 16
+    links = _all(compared).where(1 - F.col("similarity") <= far).select("a", "b")
+    links = stored((links if rest is None else links.unionByName(rest)).distinct())
+    placed, classes = _all(led), components(links)
+    of_text = classes.select(F.col("node").alias("text_id"), F.col("component").alias("text_class"))
+    of_leader = classes.select(F.col("node").alias("leader"), F.col("component").alias("leader_class"))
+    apart = ~F.coalesce("text_class", "text_id").eqNullSafe(F.coalesce("leader_class", "leader"))
+    outside = placed.where((F.col("distance") > far) & (F.col("distance") <= 2 * far))
+    outside = stored(outside.join(of_text, "text_id", "left").join(of_leader, "leader", "left").where(apart).select("bucket", "leader", "text_id", "distance"))
+    # What lies nearer to the leader than this is too far from all that are left outside.
+    nearest = outside.groupBy("bucket", "leader").agg((F.min("distance") - far).alias("least"))
+    inside = placed.where(F.col("distance") <= far).join(nearest, ["bucket", "leader"]).where("distance >= least")
+    key = F.xxhash64("bucket", "leader").alias("key")
+    sides = outside.select(key, "text_id", F.lit(0).alias("side")).unionByName(inside.select(key, "text_id", F.lit(1).alias("side")))
+    return stored(links.unionByName(_links_between(sides.distinct(), involved, near, common)).distinct())
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:

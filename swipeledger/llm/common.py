@@ -56,6 +56,24 @@ def held_out_by(id_column: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit(""))) % modulus == remainder
 
 
+def most_frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
+    """(word, n) of the most frequent of ``counts`` (word, n), ``most`` at most, in order. A histogram of counts tells from which
+    count on there are so few, so no more than these come to the driver; words that are a little rarer stay out
+    together. If the highest counts alone are more, there are none."""
+    level = F.floor(8 * F.log2("n"))
+    by_level = sorted(((r["level"], r["count"]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)
+    least, held = None, 0
+    for at, n in by_level:
+        held += n
+        if held > most:
+            break
+        least = at
+    if least is None:
+        return []
+    found = counts.where(level >= least).toPandas()
+    return sorted(zip(found["word"], found["n"].tolist()), key=lambda x: (-x[1], x[0]))
+
+
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
 

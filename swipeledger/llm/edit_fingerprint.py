@@ -170,7 +170,8 @@ def fingerprinted(documents: DataFrame, id_column: str = "doc_id", text_column:
         )
 
     schema = f"id {id_type}, {COLUMNS}, part long, first string, last string"
-    done = stored(chosen.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(walk, schema))
+    # Ranges of ids alone: their bounds are sampled by the driver, which should see no texts.
+    done = stored(chosen.repartitionByRange(order[0]).sortWithinPartitions(*order).mapInArrow(walk, schema))
     edges = done.where(F.col("part").isNotNull())
     # Which task follows which: one number per task.
     parts = sorted(r["part"] for r in edges.select("part").collect())

@@ -92,7 +92,7 @@ def settled(share: list[float], size: list[int], draw) -> list[float]:
     return best[1]
 
 
-def copies(documents: DataFrame, seed: int = 7, group_rows: int = 4096, fan_in: int = 64) -> DataFrame:
+def copies(documents: DataFrame, seed: int = 7, group_rows: int = 1024, fan_in: int = 64) -> DataFrame:
     """``documents`` (``source``, ``size`` and any columns that tell rows apart; simple types) with ``source_size``,
     ``target`` and ``copies``, the whole number of times that the mix takes the row.
 
@@ -103,7 +103,8 @@ def copies(documents: DataFrame, seed: int = 7, group_rows: int = 4096, fan_in:
     the size class, then the source, whose last open rows, one per size class, are rounded
     ``TRIES`` times, and the nearest to the target is taken. A source of any size is thus many groups. The same rows give the same result."""
     columns = documents.columns
-    keyed = (
+    # Stored, as the sizes go into the sums and into the rows.
+    keyed = stored(
         documents.groupBy(*columns).agg(F.count("*").alias("repeats"))
         .withColumn("repeat", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).drop("repeats")
         .withColumn("key", F.xxhash64(*columns, "repeat", F.lit(seed))).drop("repeat")

@@ -56,7 +56,7 @@ def held_out_by(id_column: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit(""))) % modulus == remainder
 
 
-def most_frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
+def most_frequent(counts: DataFrame, most: int) -> list[tuple]:
     """(word, n) of the most frequent of ``counts`` (word, n), ``most`` at most, in order. A histogram of counts tells from which
     count on there are so few, so no more than these come to the driver; words that are a little rarer stay out
     together. If the highest counts alone are more, there are none."""
@@ -92,3 +92,39 @@ def uniform(seed: int, *parts: np.ndarray) -> np.ndarray:
     for part in parts:
         h = mixed(h ^ part.astype(np.uint64))
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+
+
+_FACTOR = 0x9E3779B97F4A7C15 | 1
+_SPACES = np.zeros(256, bool)
+_SPACES[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    out = np.full(n, factor, np.uint64)
+    out[:1] = 1
+    with np.errstate(over="ignore"):
+        return np.cumprod(out)
+
+
+class WordHashes:
+    """64-bit numbers of all words of a text at once: a word's bytes are the digits of a number to a large odd base, taken
+    from running sums over the text, so there is no step per word in Python."""
+
+    def __init__(self):
+        self._up = self._down = np.zeros(0, np.uint64)
+
+    def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers, and where each word begins."""
+        n = len(data)
+        if n > len(self._up):
+            self._up = _powers(_FACTOR, max(n, 1 << 16))
+            self._down = _powers(pow(_FACTOR, -1, 2**64), max(n, 1 << 16))
+        digits = np.frombuffer(data, np.uint8)
+        space = np.ones(n + 2, np.int8)
+        space[1:-1] = _SPACES[digits]
+        change = np.diff(space)
+        start, end = np.flatnonzero(change == -1), np.flatnonzero(change == 1)
+        sums = np.zeros(n + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum((digits.astype(np.uint64) + np.uint64(1)) * self._up[:n], out=sums[1:])
+            return mixed((sums[end] - sums[start]) * self._down[start]), start

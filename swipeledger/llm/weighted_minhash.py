@@ -5,11 +5,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swipeledger.llm.common import bytes_of, in_slices, mixed, stored
+from swipeledger.llm.common import WordHashes, bytes_of, in_slices, mixed, stored
 from swipeledger.llm.graph import components
 from swipeledger.llm.name_filter import passing, wanted_bits
 
@@ -29,23 +28,10 @@ class Near:
     rounds: int = 4
 
 
-class WordHashes(dict):
-    def __init__(self, remembered: int = 300_000):
-        super().__init__()
-        self.remembered = remembered
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > self.remembered:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
 def shingles(text: bytes, n: int, number: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of a text (runs of ``n`` words, lower case) as 64-bit numbers, and how often each comes.
     A shorter text is one shingle, a text without words none."""
-    words = text.lower().split()
-    ids = np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
+    ids, _ = number(text.lower())
     if not len(ids):
         return ids, np.zeros(0, np.int64)
     size = min(n, len(ids))

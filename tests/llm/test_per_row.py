@@ -13,6 +13,7 @@ from awkward import TEXTS, awkward, documents, prose
 from pyspark.sql import functions as F
 
 from swipeledger.llm import chat, main_text, oracle, packing, quality, toxicity
+from swipeledger.llm.common import WordHashes
 from swipeledger.llm.queries import QUERIES, TOKENIZER
 
 SF = "/root/testdata/sf0.001"
@@ -210,3 +211,15 @@ def test_spread_of_a_hot_host_keeps_rows(spark):
     df = spark.range(300).select(F.col("id").alias("page_id"), F.lit("http://hot.example/x").alias("url"), F.lit(page("<article><p>same</p></article>")).alias("html"))
     out = main_text.main_texts(df, main_text.Rules(host_pages=50))
     assert out.where("text = 'same'").count() == 300
+
+
+def test_word_hashes_are_those_of_the_words():
+    hashes, seen = WordHashes(), {}
+    for text in [*TEXTS, " lead", "tail\n", "a b a\tb\x0b\x0ca"]:
+        data = (text or "").encode()
+        found, start = hashes(data)
+        words = data.split()
+        assert [data[s : s + len(w)] for s, w in zip(start, words)] == words and len(found) == len(words)
+        for w, h in zip(words, found.tolist()):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)

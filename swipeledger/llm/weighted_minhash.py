@@ -347,26 +347,31 @@ def classes(documents: DataFrame, near: Near = Near(), id_column: str = "doc_id"
     Null and empty texts, and those without words, are no copies of anything; each is its own class.
     Rows with one id and different texts may be in different classes; a null id never names a class unless all
     its rows have none. Other columns are left out."""
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = documents.select(F.col(id_column).alias("id"), text.alias("text"), text_id(text).alias("text_id"))
+    placed, alone = _placed(documents, near, id_column, text_column)
+    first = placed.groupBy("component").agg(F.min("id").alias("class_id"))
+    return placed.join(first, "component").select("id", "text_id", "class_id").unionByName(alone.withColumn("class_id", F.col("id")))
+
+
+def _placed(documents: DataFrame, near: Near, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """(id, text_id, component) of all rows with words, where ``component`` names the class by one of its texts; (id, text_id) of the others."""
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    rows = documents.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"), text_id(text).alias("text_id"))
     has_words = F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")) > 0
     links = near_links(rows.select("text_id", "text"), near)
     joined = components(links).select(F.col("node").alias("text_id"), F.col("component"))
     named = stored(rows.select("id", "text_id", has_words.alias("has_words")))
-    placed = named.where("has_words").join(joined, "text_id", "left").withColumn("component", F.coalesce("component", "text_id"))
-    first = placed.groupBy("component").agg(F.min("id").alias("class_id"))
-    alone = named.where(~F.col("has_words")).select("id", "text_id", F.col("id").alias("class_id"))
-    return placed.join(first, "component").select("id", "text_id", "class_id").unionByName(alone)
+    placed = named.where("has_words").drop("has_words").join(joined, "text_id", "left")
+    return placed.withColumn("component", F.coalesce("component", "text_id")), named.where(~F.col("has_words")).select("id", "text_id")
 
 
 def deduped(documents: DataFrame, near: Near = Near(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``documents`` with one row of each class, that of its lowest id (of equal ids, of the lowest text hash; one of repeated rows).
-    Rows without words all stay."""
-    found = classes(documents, near, id_column, text_column)
+    """``documents`` with one row of each class, that of its lowest id (null last; of equal ids, of the lowest text hash; one of repeated rows).
+    Classes are told apart by their texts, so ids may be null or repeated. Rows without words all stay."""
+    found, _ = _placed(documents, near, id_column, text_column)
     least = F.struct(F.col("id").isNull().alias("none"), "id", "text_id")
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     no_words = F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")) == 0
-    kept = found.groupBy("class_id").agg(F.min(least).alias("kept")).select(F.col("kept.id").alias("_k_id"), F.col("kept.text_id").alias("_k_text"))
+    kept = found.groupBy("component").agg(F.min(least).alias("kept")).select(F.col("kept.id").alias("_k_id"), F.col("kept.text_id").alias("_k_text"))
     keyed = documents.where(~no_words).withColumn("_text_id", text_id(F.col(f"`{text_column}`")))
     same = F.col(f"`{id_column}`").eqNullSafe(F.col("_k_id")) & (F.col("_text_id") == F.col("_k_text"))
     joined = keyed.join(kept, same).groupBy("_k_id", "_k_text").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in documents.columns])).alias("row"))

@@ -135,6 +135,16 @@ def test_near_dedup_of_awkward_rows(spark):
     assert weighted_minhash.deduped(df.limit(0)).count() == 0
 
 
+def test_near_dedup_keeps_a_row_of_each_class_whatever_the_ids(spark):
+    text = [prose(300 + i, 60) for i in range(8)]
+    # Null ids, an id with two texts, and ids shared with rows without words (whose hashes may be lower).
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (None, ""), (9, text[2]), (9, text[3]), (10, text[3])]
+    rows += [(i, t) for i, t in enumerate(text[4:], 20)] + [(i, " " * (1 + k)) for i in range(20, 24) for k in range(6)]
+    out = [tuple(r) for r in weighted_minhash.deduped(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    kept = {(None, text[0]), (None, text[1]), (9, text[2]), (9, text[3]), *enumerate(text[4:], 20)}
+    assert sorted(map(str, out)) == sorted(map(str, [*kept, *(r for r in rows if not r[1].strip())]))
+
+
 @pytest.mark.parametrize(("first", "ranked"), [(4, 40), (1, 10_000)])
 def test_lines_by_brute_force(spark, first, ranked):
     choose = random.Random(first)

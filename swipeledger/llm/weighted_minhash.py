@@ -17,7 +17,7 @@ from swipeledger.llm.name_filter import passing, wanted_bits
 class Near:
     """``words`` per shingle. ``similarity``: the least weighted Jaccard similarity of near duplicates. ``bands`` of ``rows`` samples: a pair of
     that similarity shares a band with a chance of 1 - (1 - 0.8**4)**14, over 0.999. ``common``: the share of
-    texts from which on a shingle counts less; all rarer ones weigh the same. ``rounds``: how often
+    distinct texts from which on a shingle counts less; all rarer ones weigh the same. ``rounds``: how often
     a bucket's rest gets a new leader before its pairs are compared one by one."""
 
     words: int = 5
@@ -105,49 +105,60 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 SLICE = 1 << 21
 
 
-def common_shingles(texts: DataFrame, near: Near) -> dict[int, float]:
-    """The weights of shingles that at least a ``common`` share of the texts have: ln(1 / share) over ln(1 / common). Such a shingle
-    reaches that share in one block of texts at least, so blocks name candidates, each at most 1 / ``common`` times the shingles of
-    a mean text; then these are counted everywhere."""
+#: Shingles are first counted together, by so many remainders of their numbers: a common shingle's remainder is common, too.
+CELLS, PARTS = 1 << 20, 64
+
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, n_texts, held, n_held = WordHashes(), 0, [], 0
+def common_shingles(texts: DataFrame, near: Near) -> dict[int, float]:
+    """The weights of shingles that two texts or more and over a ``common`` share of all have: ln(1 / share) over ln(1 / common). ``texts``
+    are distinct, so copies add nothing; those without words do not count. Shingles whose remainder is too
+    rare are left out first, all others are summed by name, and only those that are common come to the driver:
+    at most 1 / ``common`` times the shingles of a mean text."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+        """The shingles of some texts, each as often as texts have it, and how many texts these are."""
+        number, held, n_held = WordHashes(), [], 0
         for batch in in_slices(batches, "text", SLICE):
             for text in bytes_of(batch.column("text")):
-                n_texts += 1
-                held.append(shingles(text, near.words, number)[0])
-                n_held += len(held[-1])
-            if n_held > 2_000_000:
-                yield enough(held, n_texts)
-                held, n_held, n_texts = [], 0, 0
+                names = shingles(text, near.words, number)[0]
+                if len(names):
+                    held.append(names)
+                    n_held += len(names)
+                if n_held > 2_000_000:
+                    yield np.concatenate(held), len(held)
+                    held, n_held = [], 0
         if held:
-            yield enough(held, n_texts)
-
-    def enough(held: list[np.ndarray], n_texts: int) -> pa.RecordBatch:
-        names, n = np.unique(np.concatenate(held), return_counts=True)
-        often = n >= max(2, near.common * n_texts)
-        return pa.RecordBatch.from_arrays([pa.array(names[often].view(np.int64))], names=["name"])
-
-    found = texts.mapInArrow(local, "name long").distinct().toPandas()["name"].to_numpy(np.int64).view(np.uint64)
-    if not len(found):
+            yield np.concatenate(held), len(held)
+
+    def by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, n_texts = np.zeros(CELLS, np.int64), 0
+        for names, n in blocks(batches):
+            cells += np.bincount((names % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+            n_texts += n
+        parts = [p.tobytes() for p in cells.reshape(PARTS, -1)] if n_texts else []
+        yield pa.RecordBatch.from_arrays([pa.array([*range(len(parts)), -1], pa.int64()), pa.array([*parts, np.int64(n_texts).tobytes()], pa.binary())], names=["part", "n"])
+
+    def added(table: pa.Table) -> pa.Table:
+        n = np.sum([np.frombuffer(x, np.int64) for x in table.column("n").to_pylist()], axis=0)
+        return pa.Table.from_arrays([table.column("part").slice(0, 1), pa.array([n.tobytes()], pa.binary())], names=["part", "n"])
+
+    schema = "part long, n binary"
+    n = {r["part"]: np.frombuffer(r["n"], np.int64) for r in texts.mapInArrow(by_cell, schema).groupBy("part").applyInArrow(added, schema).collect()}
+    n_texts = int(n.pop(-1)[0]) if -1 in n else 0
+    if not n_texts:
         return {}
-    candidates = np.sort(found)
+    least = max(2, int(np.floor(near.common * n_texts)) + 1)
+    open_cells = np.packbits(np.concatenate([n[k] for k in sorted(n)]) >= least)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, n, n_texts = WordHashes(), np.zeros(len(candidates), np.int64), 0
-        for batch in in_slices(batches, "text", SLICE):
-            for text in bytes_of(batch.column("text")):
-                names = shingles(text, near.words, number)[0]
-                n_texts += 1
-                at = np.minimum(np.searchsorted(candidates, names), len(candidates) - 1)
-                n[at[candidates[at] == names]] += 1
-        there = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array([*there.tolist(), -1], pa.int64()), pa.array([*n[there].tolist(), n_texts], pa.int64())], names=["at", "n"])
+        there = np.unpackbits(open_cells).astype(bool)
+        for names, _ in blocks(batches):
+            names, n = np.unique(names[there[names % np.uint64(CELLS)]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n, pa.int64())], names=["name", "n"])
 
-    counted = texts.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    n = dict(zip(counted["at"].tolist(), counted["n"].tolist()))
-    share = {int(candidates[at]): k / max(1, n[-1]) for at, k in n.items() if at >= 0}
-    return {name: float(np.log(1 / s + 0.01) / np.log(1 / near.common)) for name, s in share.items() if s > near.common}
+    counted = texts.mapInArrow(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
+    share = dict(zip(counted["name"].to_numpy(np.int64).view(np.uint64).tolist(), (counted["n"] / n_texts).tolist()))
+    return {name: float(np.log(1 / s + 0.01) / np.log(1 / near.common)) for name, s in share.items()}
 
 
 def sketches(texts: DataFrame, near: Near, common: dict[int, float]) -> DataFrame:
@@ -268,7 +279,7 @@ def _only(texts: DataFrame, names: DataFrame) -> DataFrame:
             yield batch.select(["text_id", "text"]).filter(pa.array(passing(there, batch.column("number").to_numpy())))
 
     picked = texts.withColumn("number", _number(F.col("text_id"))).mapInArrow(pick, "text_id binary, text string")
-    return picked.join(names, "text_id", "left_semi").groupBy("text_id").agg(F.first("text").alias("text"))
+    return picked.join(names, "text_id", "left_semi")
 
 
 def _number(key: Column) -> Column:
@@ -283,9 +294,9 @@ def near_links(texts: DataFrame, near: Near = Near()) -> DataFrame:
     a group of copies gives a pair per copy and not all pairs. A text that is not near its
     leader can still be near another text that is: only if their distances to the leader differ by no more than a link
     allows, for 1 - similarity is a metric. Such texts, if still in another class, are compared with those by blocks, too."""
+    texts = stored(texts.groupBy("text_id").agg(F.first("text").alias("text")))
     common = common_shingles(texts, near)
-    banded = sketches(texts, near, common).groupBy("text_id").agg(F.first("bands").alias("bands"))
-    entries = stored(banded.select("text_id", F.explode("bands").alias("bucket")))
+    entries = stored(sketches(texts, near, common).select("text_id", F.explode("bands").alias("bucket")))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     left = entries.join(shared, "bucket")
     # What a group of copies was made from has the group's common bands; its edited copies lack some.

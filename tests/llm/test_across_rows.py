@@ -105,6 +105,44 @@ def test_near_classes_by_brute_force(spark):
     assert out == dict(enumerate(of))
 
 
+def classes_by_hand(texts, near):
+    """Of distinct texts' shingles, how many texts have them; weighted Jaccard of all pairs; the lowest place of each class."""
+    number = weighted_minhash.WordHashes()
+    found = {t: weighted_minhash.shingles(t.encode(), near.words, number) for t in texts}
+    n = Counter(name for names, _ in found.values() for name in names.tolist())
+    share = {name: k / len(found) for name, k in n.items() if k > 1 and k / len(found) > near.common}
+    idf = {name: math.log(1 / s + 0.01) / math.log(1 / near.common) for name, s in share.items()}
+    sets = {t: {name: k * idf.get(name, 1) for name, k in zip(names.tolist(), times.tolist())} for t, (names, times) in found.items()}
+    of, distinct = {t: texts.index(t) for t in sets}, list(sets)
+    for i, x in enumerate(distinct):
+        for y in distinct[:i]:
+            both = sum(min(w, sets[y][s]) for s, w in sets[x].items() if s in sets[y])
+            if both and both / (sum(sets[x].values()) + sum(sets[y].values()) - both) >= near.similarity:
+                a, b = sorted((of[x], of[y]))
+                of = {t: a if c == b else c for t, c in of.items()}
+    return [of[t] for t in texts]
+
+
+def test_near_classes_with_a_third_of_copies_by_brute_force(spark):
+    hot = prose(700, 104).split(" ")
+    near = hot.copy()
+    near[50] = "edited"
+    further = hot.copy()
+    further[30] = further[70] = "edited"
+    footer = prose(701, 30)
+    texts = [" ".join(hot)] * 130 + [" ".join(near), " ".join(further)] + [prose(2000 + i, 60) + (" " + footer if i < 20 else "") for i in range(250)]
+    out = {r.id: r.class_id for r in weighted_minhash.classes(documents(spark, *texts).repartition(40)).collect()}
+    assert out == dict(enumerate(classes_by_hand(texts, weighted_minhash.Near()))) and out[130] == out[131] == 0
+
+
+def test_common_shingles_do_not_depend_on_partitions(spark):
+    footer = prose(702, 12, 99)
+    texts = [prose(3000 + i, 30) + (" " + footer if i % 50 == 0 else "") for i in range(200)]
+    df = documents(spark, *texts).withColumn("text_id", weighted_minhash.text_id(F.col("text")))
+    found = [weighted_minhash.common_shingles(df.repartitionByRange(n, "doc_id"), weighted_minhash.Near()) for n in (1, 60)]
+    assert found[0] == found[1] and len(found[0]) == 8
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(0)
     names = rng.integers(1, 2**63, 300).astype(np.uint64)

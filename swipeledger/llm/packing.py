@@ -4,6 +4,7 @@ import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,10 +32,20 @@ def vocabulary(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in token): i for token, i in entries.items() if all(c in byte_of for c in token)}
 
 
-def encoder(path: str, remembered: int = 400_000) -> Callable[[str], list[bytes]]:
+def added_tokens(path: str) -> dict[str, int]:
+    """The tokens that the file adds to its vocabulary, whose names stand for their ids wherever they come in a text."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on what is around them")
+    return {t["content"]: t["id"] for t in added}
+
+
+def encoder(path: str, remembered: int = 400_000, added: bool = False) -> Callable[[str], list[bytes]]:
     """A function from a text to its ids, as runs of little-endian 32-bit numbers. A single space before
     something that is no white space always begins a new token, so the parts between such spaces are
-    encoded one by one and remembered, ``remembered`` at most."""
+    encoded one by one and remembered, ``remembered`` at most. With ``added``, names of added tokens in a text are those
+    tokens, as for ``tokenizers``, and what is between them is encoded by itself; else they are plain text."""
     ranks = vocabulary(path)
     special = next((t for t, i in ranks.items() if t == b"<|endoftext|>"), None)
     if special is not None:
@@ -59,7 +70,18 @@ def encoder(path: str, remembered: int = 400_000) -> Callable[[str], list[bytes]
             add(ids)
         return found
 
-    return encoded
+    ids_of = {name: np.array([i], "<u4").tobytes() for name, i in added_tokens(path).items()} if added else {}
+    if not ids_of:
+        return encoded
+    names = re.compile("(" + "|".join(re.escape(t) for t in sorted(ids_of, key=len, reverse=True)) + ")")
+
+    def encoded_with_added(text: str) -> list[bytes]:
+        parts = names.split(text)
+        if len(parts) == 1:
+            return encoded(text)
+        return [ids for k, part in enumerate(parts) for ids in ([ids_of[part]] if k % 2 else encoded(part))]
+
+    return encoded_with_added
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
@@ -68,13 +90,13 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, size) for at in range(first, n, size))]
 
 
-def tokenised(documents: DataFrame, tokenizer: str, size: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def tokenised(documents: DataFrame, tokenizer: str, size: int, id_column: str = "doc_id", text_column: str = "text", added: bool = False) -> DataFrame:
     """One row per piece of every document: the id, ``piece``, ``start``, ``length``, ``ids_crc32``
     and ``salt``, a number that spreads pieces evenly, also those of repeated rows."""
     chosen = documents.select(id_column, text_column)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded = encoder(tokenizer)
+        encoded = encoder(tokenizer, added=added)
         end, row = np.array([END_ID], "<u4").tobytes(), 0
         for batch in batches:
             taken, found = [], []
@@ -136,8 +158,13 @@ def swapped(lengths: np.ndarray, where: np.ndarray, size: int) -> np.ndarray:
             while moved and fill[b]:
                 moved = False
                 mine = np.flatnonzero(bin_of == b)
-                singles = [(int(length[i]), (i,)) for i in mine]
-                pairs = [(int(length[i] + length[j]), (i, j)) for x, i in enumerate(mine[:32]) for j in mine[x + 1 : 32]]
+                # Items of one length are alike, and there are few lengths: their sum is at most ``size``.
+                alike: dict[int, list[int]] = {}
+                for i in mine:
+                    alike.setdefault(int(length[i]), []).append(i)
+                singles = [(n, (g[0],)) for n, g in alike.items()]
+                pairs = {2 * n: (g[0], g[1]) for n, g in alike.items() if len(g) > 1}
+                pairs |= {n + m: (alike[n][0], alike[m][0]) for n, m in combinations(alike, 2)}
                 fuller = np.flatnonzero((fill >= fill[b]) & (fill < size))
                 fuller = fuller[fuller != b]
                 theirs = np.flatnonzero((bin_of != b) & (fill[bin_of] >= fill[b]) & (fill[bin_of] < size))
@@ -154,7 +181,7 @@ def swapped(lengths: np.ndarray, where: np.ndarray, size: int) -> np.ndarray:
                 if moved or not len(theirs):
                     continue
                 room = size - fill[bin_of[theirs]]
-                for total, group in sorted(singles, reverse=True) + sorted(pairs, reverse=True):
+                for total, group in sorted(singles, reverse=True) + sorted(pairs.items(), reverse=True):
                     gain = total - length[theirs]
                     gain = np.where((gain > 0) & (gain <= room), gain, 0)
                     best = int(np.argmax(gain))
@@ -172,7 +199,7 @@ def swapped(lengths: np.ndarray, where: np.ndarray, size: int) -> np.ndarray:
     return where
 
 
-def packed(documents: DataFrame, tokenizer: str, size: int = 2048, block_items: int = 8192, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def packed(documents: DataFrame, tokenizer: str, size: int = 2048, block_items: int = 8192, id_column: str = "doc_id", text_column: str = "text", added: bool = False) -> DataFrame:
     """One row per piece of every document: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``,
     ``sequence_id`` and ``offset``, the place in its sequence. Sequences have at most ``size`` tokens.
 
@@ -180,11 +207,11 @@ def packed(documents: DataFrame, tokenizer: str, size: int = 2048, block_items:
     into blocks of about ``block_items`` at random, each block is packed by itself (best fit, then swaps),
     and the pieces of all bins that stay under 98 % full are dealt and packed once more together.
 
-    A null or empty text is the end mark alone; repeated rows are documents of their own; a text of
+    With ``added``, names of the file's added tokens in a text are those tokens, else plain text. A null or empty text is the end mark alone; repeated rows are documents of their own; a text of
     any length is cut, never shortened. Columns beyond the id and the text are left out. An
     empty table gives an empty result."""
     spark = documents.sparkSession
-    pieces = stored(tokenised(documents, tokenizer, size, id_column, text_column))
+    pieces = stored(tokenised(documents, tokenizer, size, id_column, text_column, added))
     id_type = pieces.dtypes[0][1]
     schema = f"`{id_column}` {id_type}, {PIECES}, sequence_id long, offset long, fill long"
 

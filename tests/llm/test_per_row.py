@@ -12,6 +12,7 @@ import tokenizers
 from awkward import TEXTS, awkward, documents, prose
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from swipeledger.llm import chat, main_text, oracle, packing, quality, toxicity
 from swipeledger.llm.common import WordHashes
 from swipeledger.llm.queries import QUERIES, TOKENIZER
@@ -134,6 +135,24 @@ def test_pieces_are_those_of_the_tokenizer(spark):
     assert packing.packed(awkward(spark), TOKENIZER).where("piece = 0").count() == awkward(spark).count()
 
 
+def test_added_tokens_are_those_of_the_tokenizer(spark, tmp_path):
+    texts = [*TEXTS, "a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>\n\n<|endoftext|><|endoftext|> y", "<|endoftext| >"]
+    documents(spark, *texts).write.parquet(str(tmp_path / "documents.parquet"))
+    real = tokenizers.Tokenizer.from_file(TOKENIZER)
+    for out in (QUERIES["op10_packed"](spark, str(tmp_path)), corpus_pipeline.pack(spark, documents(spark, *texts), SF)):
+        found = {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in out.collect()}
+        for i, text in enumerate(texts):
+            ids = [*real.encode(text or "", add_special_tokens=False).ids, 0]
+            for s, n in packing.cut(len(ids), 2048):
+                assert found.pop((i, s)) == (n, zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()))
+        assert not found
+
+
+def test_swaps_look_at_all_items_of_a_bin():
+    lengths, where = np.array([*[2] * 32, 5, 7, 188, 11]), np.array([0] * 34 + [1, 1])
+    assert sorted(np.bincount(packing.swapped(lengths, where, 200), weights=lengths)) == [75, 200]
+
+
 def test_swaps_empty_bins():
     lengths, where = np.array([8, 5, 2, 4, 1]), np.array([0, 1, 1, 2, 2])
     after = packing.swapped(lengths, where, 10)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeledger.llm import brown, chat, edit_fingerprint, line_dedup, main_text, mixing, packing, quality, toxicity, weighted_minhash
+from swipeledger.llm import brown, chat, edit_fingerprint, hard_negatives, license_scan, line_dedup, main_text, mixing, packing, quality, spelling, toxicity, weighted_minhash
 from swipeledger.llm.common import held_out_by, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,3 +75,19 @@ def op4_host_runs(spark, sf_dir):
 @query
 def op1_edit_fingerprint(spark, sf_dir):
     return edit_fingerprint.fingerprinted(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    rows = hard_negatives.prepared(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mined(rows, F.col("id") % 100 == 0)
+
+
+@query
+def op12_license_scan(spark, sf_dir):
+    return license_scan.scanned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.forms(spelling.words(table(spark, sf_dir, "documents")))

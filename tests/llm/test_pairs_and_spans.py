@@ -1,0 +1,273 @@
+"""Hard negatives, license spans and spelling variants against brute force."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from awkward import awkward, documents, prose
+
+import __spark_entry__ as entry_module
+from swipeledger.llm import hard_negatives, license_scan, spelling
+from swipeledger.llm.hard_negatives import Index, Mining
+from swipeledger.llm.license_scan import Template
+from swipeledger.llm.sized_filter import filter_of, passing
+
+SF = "/root/testdata/sf0.001"
+
+
+# Hard negatives
+
+
+EMBEDDINGS = "vec_id long, embedding array<float>, label int, id string, key int"
+
+
+def by_hand(found, anchors, mining):
+    """The contract, row by row."""
+    taken = {}
+    for vec_id, vector, label, *_ in found:
+        if label is None or vector is None or any(x is None or not np.isfinite(x) for x in vector):
+            continue
+        if vec_id is not None and vec_id % 7 == 0:
+            label = (label + 1) % 10
+        taken[vec_id, label, tuple(int(np.floor(256 * float(np.float32(x)))) for x in vector)] = None
+
+    def score(a, b):
+        return sum(x * y for x, y in zip(a, b))
+
+    out = []
+    for a in taken:
+        if a[0] is None or not anchors(a[0]):
+            continue
+        scored = sorted(((-score(a[2], r[2]), r[0] is None, r[0] or 0, r[1]) for r in taken if r != a))
+        for p, no_id, p_id, _ in [s for s in scored if s[3] == a[1]][: mining.positives]:
+            window = [s for s in scored if s[3] != a[1] and mining.low * -p <= 100 * -s[0] <= mining.high * -p]
+            for rank, (n, none, n_id, _) in enumerate(window[: mining.negatives], 1):
+                out.append((a[0], None if no_id else p_id, rank, None if none else n_id, -p, -n))
+    return sorted(out, key=str)
+
+
+def random_embeddings(seed, n, width, labels, alike=0.6):
+    choose = np.random.default_rng(seed)
+    centres = choose.normal(size=(labels, width))
+    out = []
+    for i in range(n):
+        label = int(choose.integers(labels))
+        vector = alike * centres[label] + choose.normal(size=width)
+        out.append((i, (vector / np.linalg.norm(vector)).astype(np.float32).tolist(), label, "x", 1))
+    return out
+
+
+@pytest.mark.parametrize(("seed", "width", "labels", "cells"), [(1, 19, 4, 1 << 18), (2, 8, 2, 300), (3, 40, 9, 2500)])
+def test_hard_negatives_are_those_of_brute_force(spark, seed, width, labels, cells):
+    found = random_embeddings(seed, 300, width, labels)
+    mining = Mining(cells=cells, anchors=7)
+    df = hard_negatives.mined(hard_negatives.prepared(spark.createDataFrame(found, EMBEDDINGS)), hard_negatives.F.col("id") % 10 == 0, mining)
+    assert sorted(map(tuple, df.collect()), key=str) == by_hand(found, lambda i: i % 10 == 0, mining)
+
+
+def test_hard_negatives_of_awkward_rows(spark):
+    found = random_embeddings(4, 60, 6, 3)
+    found += [found[10], found[0], (None, found[3][1], 1, "x", 1), (61, None, 1, "x", 1), (62, [1.0, None], 1, "x", 1), (63, [float("nan")] * 6, 1, "x", 1)]
+    found += [(64, [float("inf")], 2, "x", 1), (65, [0.5, 0.25], 2, "x", 1), (66, [], 0, "x", 1), (67, [0.0] * 9, 1, "x", 1), (68, [1.0] * 6, None, "x", 1)]
+    # One vector many times, and one id with two vectors.
+    found += [(100 + i, found[5][1], found[5][2] if i % 3 else 2, "x", 1) for i in range(40)] + [(20, [0.1] * 6, 0, "x", 1)]
+    mining = Mining(cells=64, anchors=5)
+    df = spark.createDataFrame(found, EMBEDDINGS).repartition(3)
+    out = hard_negatives.mined(hard_negatives.prepared(df), hard_negatives.F.col("id") % 10 == 0, mining)
+    assert sorted(map(tuple, out.collect()), key=str) == by_hand(found, lambda i: i % 10 == 0, mining)
+    assert hard_negatives.mined(hard_negatives.prepared(df.limit(0)), hard_negatives.F.col("id") % 10 == 0).count() == 0
+    assert hard_negatives.mined(hard_negatives.prepared(df), hard_negatives.F.col("id") < -5).count() == 0
+
+
+def test_scores_beyond_doubles(spark):
+    found = [(i, [float(2**30 + i * 1024), 3.0e15 * (i % 3)], i % 2, "x", 1) for i in range(30)]
+    mining = Mining(high=100)
+    df = hard_negatives.mined(hard_negatives.prepared(spark.createDataFrame(found, EMBEDDINGS)), hard_negatives.F.col("id") % 10 == 0, mining)
+    top = 2**63 - 1
+    assert all(r["positive_score"] <= top for r in df.collect())
+    small = [(i, [float(2**20 + i * 16), 1.0 * i], i % 2, "x", 1) for i in range(30)]
+    df = hard_negatives.mined(hard_negatives.prepared(spark.createDataFrame(small, EMBEDDINGS)), hard_negatives.F.col("id") % 10 == 0, mining)
+    out = sorted(map(tuple, df.collect()), key=str)
+    assert out and out == by_hand(small, lambda i: i % 10 == 0, mining)
+
+
+def test_index_omits_dimensions_and_loses_nothing():
+    choose = np.random.default_rng(5)
+    vectors = np.floor(256 * choose.normal(size=(200, 24)) * np.linspace(0.01, 1, 24))
+    anchors, least = vectors[:20], np.full(20, 150_000.0)
+    index = Index(vectors, anchors, 150_000.0)
+    assert index.lists[0] < len(vectors)
+    for i, found, scores in index.above(anchors, least):
+        expected = np.flatnonzero(vectors @ anchors[i] >= 150_000)
+        assert sorted(found.tolist()) == expected.tolist()
+        assert (scores == vectors[found] @ anchors[i]).all()
+
+
+# License spans
+
+
+def license_words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def base_places(words):
+    out = []
+    for t in license_scan.BASE:
+        phrase = t.text.split()
+        out += [(i, t.label) for i in range(len(words)) if words[i : i + len(phrase)] == phrase]
+    return out
+
+
+def test_base_phrases_are_those_of_a_search(spark):
+    choose = random.Random(1)
+    parts = ["GNU", "general", "public license", "Apache-License", "cc", "by", "CC BY", "mit license", "MIT", "öl", "7", "gnu general public license"]
+    texts = [" ".join(choose.choice(parts) for _ in range(choose.randint(0, 60))) for _ in range(80)] + [None, "", "cc", "Cc\nby", "mit license " * 5000]
+    got = {r["doc_id"]: r for r in license_scan.scanned(documents(spark, *texts)).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        words = license_words(text)
+        places = base_places(words)
+        row = got[i]
+        assert (row["n_words"], row["n_base"]) == (len(words), len(places))
+        assert (row["first_word"], row["last_word"]) == ((min(places)[0], max(places)[0]) if places else (None, None))
+        assert row["base_labels"] == ",".join(sorted({p[1] for p in places}))
+        assert set(filter(None, row["base_labels"].split(","))) <= set(filter(None, row["labels"].split(",")))
+        assert (row["score"] == 1) if places else (0 <= row["score"] <= 1)
+
+
+def test_notices_are_found_with_changes(spark):
+    notice = license_scan.FURTHER[-7]
+    assert notice.label == "mit"
+    words = notice.text.split()
+    changed = words[:10] + ["really"] + words[10:30] + words[32:]
+    texts = [
+        prose(1, 50) + " " + " ".join(words) + " " + prose(2, 50),
+        prose(3, 40) + "\n" + " ".join(changed),
+        " ".join(words[:12]),
+        " ".join(random.Random(1).sample(words, len(words))),
+        prose(4, 100),
+    ]
+    got = {r["doc_id"]: r for r in license_scan.scanned(documents(spark, *texts)).collect()}
+    assert [got[i]["labels"] for i in range(5)] == ["mit", "mit", "", "", ""]
+    assert got[0]["score"] == 1 and 0.6 <= got[1]["score"] < 1
+    spans = license_scan.license_spans(documents(spark, *texts)).where("label = 'mit'").orderBy("_id").collect()
+    assert (spans[0]["first"], spans[0]["end"]) == (50, 50 + len(words))
+
+
+def test_license_scan_of_awkward_rows(spark, plan_of):
+    df = awkward(spark).union(documents(spark, "Under the MIT License.", "Under the MIT License.", start=3))
+    df = df.union(df.where("doc_id = 3"))
+    out = license_scan.scanned(df)
+    assert out.count() == df.count()
+    assert {r["n_base"] for r in out.where("doc_id = 4").collect()} == {0, 1}
+    assert license_scan.scanned(df.limit(0)).count() == 0
+    stored = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = plan_of(license_scan.scanned(stored)) + plan_of(license_scan.license_spans(stored))
+    for operator in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in plan
+    own = license_scan.scanned(df, templates=[Template("x", "no id", base=True)])
+    assert [r["labels"] for r in own.where("doc_id IS NULL").collect()] == ["x"]
+
+
+# Spelling variants
+
+
+def spelled(found):
+    counts = Counter()
+    for doc_id, text in found:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(counts):
+    near = defaultdict(list)
+    for a in counts:
+        for b in counts:
+            if one_edit(a, b):
+                near[a].append(b)
+    form = {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 10 * n else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), counts.get(form[w])))
+    return sorted(out, key=str)
+
+
+def typo_texts(seed, n):
+    choose = random.Random(seed)
+    known = ["".join(choose.choice("abcdeé") for _ in range(choose.randint(7, 9))) for _ in range(12)]
+    texts = []
+    for _ in range(n):
+        said = []
+        for _ in range(60):
+            word = known[min(int(choose.expovariate(0.5)), 11)]
+            if choose.random() < 0.1:
+                at = choose.randrange(len(word))
+                word = choose.choice([word[:at] + word[at + 1 :], word[:at] + "b" + word[at:], word[:at] + "ä" + word[at + 1 :]])
+            said.append(word.upper() if choose.random() < 0.1 else word)
+        texts.append(" ".join(said))
+    return texts
+
+
+@pytest.mark.parametrize("symbols", [2, 8])
+def test_variants_are_those_of_brute_force(spark, symbols):
+    texts = typo_texts(symbols, 80)
+    counts = spelled(enumerate(texts))
+    found = spelling.words(documents(spark, *texts))
+    assert {r["word"]: r["n"] for r in found.collect()} == counts
+    out = spelling.forms(found, spelling.Spelling(symbols=symbols))
+    expected = variants(counts)
+    assert any(r[1] for r in expected)
+    assert sorted(map(tuple, out.collect()), key=str) == expected
+
+
+def test_chains_end_at_their_root(spark):
+    chain = [("aaaaaaab", 2), ("aaaaaaabb", 20), ("aaaaaaabbb", 200), ("aaaaaaabbbb", 2000), ("aaaaaaabbbbb", 20000), ("zzzzzzzzz", 5)]
+    out = {r["word"]: r for r in spelling.forms(spark.createDataFrame(chain, "word string, n long")).collect()}
+    assert {r["root"] for w, r in out.items() if w[0] == "a"} == {"aaaaaaabbbbb"}
+    assert out["aaaaaaab"]["form"] == "aaaaaaabb" and out["zzzzzzzzz"]["root"] == "zzzzzzzzz" and out["zzzzzzzzz"]["n_near"] == 0
+
+
+def test_spelling_of_awkward_rows(spark):
+    long = "x" * 30000
+    df = awkward(spark).union(documents(spark, long + " " + long + " xxxxxxx xxxxxxx", long[1:], long[1:], start=500))
+    counts = spelled((r["doc_id"], r["text"]) for r in df.collect())
+    assert {r["word"]: r["n"] for r in spelling.words(df).collect()} == counts
+    assert sorted(map(tuple, spelling.forms(spelling.words(df)).collect()), key=str) == variants(counts)
+    assert spelling.forms(spelling.words(df.limit(0))).count() == 0
+
+
+def test_spelling_query_is_whole(spark):
+    out = entry_module.queries()["op13_spelling"](spark, SF)
+    counts = spelled((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    assert {r["word"]: r["n"] for r in out.collect()} == counts
+
+
+def test_filter_lets_all_wanted_pass(spark):
+    names = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 50_000)
+    there = filter_of(spark.createDataFrame([(int(n),) for n in names], "n long").repartition(5), len(names))
+    assert passing(there, names).all()
+    assert passing(there, names + 1).mean() < 0.05

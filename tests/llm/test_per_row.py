@@ -23,7 +23,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(oracle.ORACLE))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)

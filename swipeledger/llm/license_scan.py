@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from swipeledger.llm.common import stored
 
-#: Words are runs of digits, letters a to z and everything beyond ASCII, of text in which A to Z are lower case.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What stands between words, which are runs of digits, letters and everything beyond ASCII.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The one character beyond ASCII whose lower case is an ASCII letter, and a letter that stays what it is.
+_KELVIN, _KRA = "\u212a", "\u0138"
 
 
 @dataclass(frozen=True)
@@ -113,22 +114,30 @@ class Scan:
     longest: float = 1.5
 
 
-#: As many k-grams of templates are broadcast at most; a larger set is left to Spark's own choice.
+#: As many words of templates are sent to all tasks at most; a larger set is joined as Spark chooses.
 BROADCAST_GRAMS = 50_000
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(WORD), 0)
+    """The words of a text, lower-cased. Letters beyond ASCII may come out in either case: no template has one.
+    Texts are split, as Spark's search for all matches copies the text for each."""
+    lowered = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit(_KELVIN), F.lit(_KRA)))
+    return F.array_remove(F.split(lowered, BETWEEN), "")
 
 
-def _grams(words: Column, k: int) -> Column:
-    """The hash of the ``k`` words from each word on. What begins in the last words is the hash of fewer; no template has
-    it, or the words that are compared later differ."""
-    return F.transform(words, lambda w, i: F.xxhash64(w, *(F.get(words, i + j) for j in range(1, k))))
+def _gram(words: Column, at: Column, k: int) -> list[Column]:
+    return [F.get(words, at + j) for j in range(k)]
 
 
-def _text_of(words: Column, at: Column, k: Column) -> Column:
-    return F.array_join(F.slice(words, at + 1, k), " ")
+def _rolling(words: Column, k: int, known: list[int] | None) -> Column:
+    """(at, hash, gram) of each ``k`` words. What begins in the last words has fewer, as no template's; ``known`` are the only hashes that
+    come out."""
+    places = F.sequence(F.lit(0), F.size(words))
+    if known is not None:
+        places = F.filter(places, lambda i: F.xxhash64(*_gram(words, i, k)).isin(known))
+    return F.transform(
+        places, lambda i: F.struct(i.alias("at"), F.xxhash64(*_gram(words, i, k)).alias("hash"), F.concat_ws(" ", *_gram(words, i, k)).alias("gram"))
+    )
 
 
 def template_grams(spark: SparkSession, templates: list[Template], scan: Scan = Scan()) -> DataFrame:
@@ -139,9 +148,8 @@ def template_grams(spark: SparkSession, templates: list[Template], scan: Scan =
     df = spark.range(1).select(F.inline(listed)).withColumn("words", words(F.col("text"))).withColumn("size", F.size("words"))
     out = None
     for k, some in ((scan.short, F.col("phrase")), (scan.long, ~F.col("phrase"))):
-        part = df.where(some & (F.col("size") >= k)).select("*", F.posexplode(_grams(F.col("words"), k)).alias("place", "hash"), F.lit(k).alias("k"))
-        part = part.where(F.col("place") <= F.col("size") - k).withColumn("gram", _text_of(F.col("words"), F.col("place"), F.lit(k)))
-        part = part.select("hash", "gram", "template", "label", "phrase", "base", "size", "k", "place")
+        part = df.where(some).select("*", F.inline(_rolling(F.col("words"), k, None)), F.lit(k).alias("k")).where(F.col("at") <= F.col("size") - k)
+        part = part.select("hash", "gram", "template", "label", "phrase", "base", "size", "k", F.col("at").alias("place"))
         out = part if out is None else out.union(part)
     return out
 
@@ -166,22 +174,20 @@ def license_spans(
     apart are merged, as words that are left out or put in shift the rest, and a span counts if it has ``least`` of its
     template's words within ``longest`` times its length; of a phrase it has all, word by word.
 
-    Texts leave the scan only as hits. Votes are sets of places in a template, combined within each task first, so a row that is repeated
+    The templates' hashes, a list of known length, are looked up where a text is read, so that rows are made of k-grams that some template has. Votes are sets of places in a template, combined within each task first, so a row that is repeated
     very often does not gather. Null and empty texts, and those without words, have no spans. Rows with the same id
     and text are one document here. Other columns do not matter."""
     spark = documents.sparkSession
-    grams = template_grams(spark, templates, scan)
+    grams, known = template_grams(spark, templates, scan), dict.fromkeys((scan.short, scan.long))
     if sum(len(t.text.split()) for t in templates) <= BROADCAST_GRAMS:
+        for k in known:
+            known[k] = [r["hash"] for r in grams.where(F.col("k") == k).select("hash").distinct().collect()]
         grams = F.broadcast(grams)
     read = _keyed(documents, id_column, text_column).select(*_KEY, words(F.col("_text")).alias("_words"))
-    both = F.concat(_grams(F.col("_words"), scan.short), _grams(F.col("_words"), scan.long))
-    rolled = read.select("*", F.posexplode(both).alias("_at", "hash"))
-    n = F.size("_words")
-    # The second half of the list are the longer k-grams.
-    hits = rolled.join(grams, "hash").withColumn("_at", F.when(F.col("_at") < n, F.col("_at")).otherwise(F.col("_at") - n))
-    hits = hits.where(_text_of(F.col("_words"), F.col("_at"), F.col("k")) == F.col("gram"))
+    rolled = read.select(*_KEY, F.inline(F.concat(*(_rolling(F.col("_words"), k, some) for k, some in known.items()))))
     template = ["template", "label", "phrase", "base", "size", "k"]
-    diagonals = hits.groupBy(*_KEY, *template, (F.col("_at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"))
+    hits = rolled.join(grams, ["hash", "gram"])
+    diagonals = hits.groupBy(*_KEY, *template, (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"))
     reached = F.when(F.col("phrase"), 0).otherwise(scan.drift)
     along = Window.partitionBy(*_KEY, "template").orderBy("diagonal")
     begins = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > reached, F.lit(True))

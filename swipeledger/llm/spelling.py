@@ -38,8 +38,8 @@ def words(documents: DataFrame, spelling: Spelling = Spelling(), id_column: str
     some lose a letter, by a hash of the document's id (null: empty text) and the run; of the results those that are long and common enough
     are words. Counts are added within each task first. Null and empty texts have no words; every row counts."""
     text = F.translate(F.coalesce(F.col(f"`{text_column}`"), F.lit("")), _UPPER, _LOWER)
-    # Shorter runs cannot give a word; a longer one is matched as a whole.
-    runs = F.regexp_extract_all(text, F.lit(rf"[a-zÀ-ÿ]{{{spelling.shortest},}}"), 0)
+    # Shorter runs cannot give a word.
+    runs = F.filter(F.split(text, "[^a-zÀ-ÿ]+"), lambda run: F.length(run) >= spelling.shortest)
     found = documents.select(F.col(f"`{id_column}`").alias("id"), F.explode(runs).alias("run")).select(_cut(F.col("run"), F.col("id")).alias("word"))
     counted = found.where(F.length("word") >= spelling.shortest).groupBy("word").agg(F.count("*").alias("n"))
     return counted.where(F.col("n") >= spelling.least)

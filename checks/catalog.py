@@ -9,7 +9,7 @@ from checks import standins
 from swipeledger import schemas
 from swipeledger.functions import dates, text
 from swipeledger.operators import cleaning, joins, loans, lookups, reports, updates
-from swipeledger.plans.load import load_tables
+from swipeledger.plans.load import load_more, load_tables
 from swipeledger.plans.publish import publish_customers as publish
 from swipeledger.plans.shared_folder import new_folder
 from swipeledger.sinks.files import write_clean
@@ -460,6 +460,70 @@ def _damaged_array(spark, sf_dir, indent):
     return good.union(read.bad.select(F.coalesce("SSN", in_text), "LAST_UPDATED", problem))
 
 
+@query
+def json_array_one_line(spark, sf_dir):
+    """Arrays on one line each, with strings that look like the ends of records and objects within records."""
+    folder = new_folder(spark)
+    standins.write_one_line_arrays(standins.tricky_customers(spark, sf_dir), folder)
+    read = readers.read_permissive(spark, folder, schemas.CUSTOMER_RAW)
+    columns = ("CUST_ZIP", "NOTE", "SEEN")
+    good = read.good.select(F.col("SSN").cast("string"), *columns, F.lit("").alias("problem"))
+    return good.union(read.bad.select("SSN", *columns, F.concat_ws(",", "bad_columns")))
+
+
+@query
+def json_all_columns(spark, sf_dir):
+    """Clean customers as JSON with a column that is not declared, read back as that table."""
+    return _through_json(spark, _customers(spark, sf_dir).withColumn("SINCE", F.concat(F.lit("day "), F.col("SSN").cast("string"))), "customers")
+
+
+@query
+def load_changed_values(spark, sf_dir):
+    """What a load lists of the values that cleaning changes: zips that are no numbers, amounts with parts of a cent or too large."""
+    folder = new_folder(spark)
+    amount = F.expr("CASE WHEN TRANSACTION_ID % 50 = 7 THEN 1e30 WHEN TRANSACTION_ID % 10 = 7 THEN TRANSACTION_VALUE / 8 ELSE TRANSACTION_VALUE END")
+    write_clean(standins.raw_customers(spark, sf_dir), f"{folder}/customers", "json")
+    write_clean(standins.raw_branches(spark, sf_dir), f"{folder}/branches", "json")
+    write_clean(standins.order_transactions(spark, sf_dir).withColumn("TRANSACTION_VALUE", amount), f"{folder}/transactions", "json")
+    paths = load_tables(spark, *(f"{folder}/{n}" for n in ("customers", "branches", "transactions")), target=f"{folder}/stored")
+    stored = readers.read_clean(spark, "transactions", paths["transactions"]).select("TRANSACTION_ID", "TRANSACTION_VALUE")
+    amounts = spark.read.parquet(paths["rejected_amounts"]).select("TRANSACTION_ID", F.col("TRANSACTION_VALUE").alias("value"))
+    amounts = amounts.join(stored, "TRANSACTION_ID").select(
+        F.lit("amount").alias("kind"), F.col("TRANSACTION_ID").alias("id"), "value", F.col("TRANSACTION_VALUE").cast("double").alias("stored")
+    )
+    zips = spark.read.parquet(paths["rejected_zips"])
+    nothing = F.lit(None).cast("double")
+    return amounts.union(zips.select(F.lit("zip"), "SSN", nothing, nothing))
+
+
+def _stored_twice(spark, sf_dir):
+    """The store after three loads: of some of the transactions, of all, and of all once more. Two of three files come again
+    in the second."""
+    folder = new_folder(spark)
+    raw = standins.order_transactions(spark, sf_dir)
+    for name, df in (("customers", standins.raw_customers(spark, sf_dir)), ("branches", standins.raw_branches(spark, sf_dir))):
+        write_clean(df, f"{folder}/raw/{name}", "json")
+    write_clean(raw.filter("YEAR < 1999"), f"{folder}/raw/first/old", "json")
+    paths = load_tables(spark, *(f"{folder}/raw/{n}" for n in ("customers", "branches", "first/old")), target=f"{folder}/stored")
+    write_clean(raw.filter("YEAR >= 1998"), f"{folder}/raw/more/new", "json")
+    write_clean(raw.filter("YEAR >= 2000"), f"{folder}/raw/more/again", "json")
+    for _ in range(2):
+        load_more(spark, [f"{folder}/raw/first/old", f"{folder}/raw/more/new", f"{folder}/raw/more/again"], f"{folder}/stored")
+    return paths
+
+
+@query
+def incremental_load(spark, sf_dir):
+    """The transactions of repeated and overlapping loads: each once."""
+    return _value_as_double(readers.read_clean(spark, "transactions", _stored_twice(spark, sf_dir)["transactions"]))
+
+
+@query
+def incremental_load_join(spark, sf_dir):
+    """The join of customers that the loads have kept up to date."""
+    return _value_as_double(readers.read_clean(spark, "customer_transactions", _stored_twice(spark, sf_dir)["customer_transactions"]))
+
+
 @query
 def load_rejects(spark, sf_dir):
     """What a load of damaged customers stores as rejected."""

@@ -398,6 +398,32 @@ ORACLE = {
     "branch_transactions_json": f"WITH {BRANCH_T} {as_double('branch_t')}",
     "json_array_multiline": DAMAGED,
     "json_array_indent2": DAMAGED,
+    "json_array_one_line": f"""
+        WITH {RAW_CUSTOMERS}, noted AS (
+          SELECT *, 'say "x\\" }}, {{"SSN": 0 }}] ' || SSN AS NOTE FROM raw_customers
+        )
+        SELECT CASE WHEN SSN % 10 = 3 THEN 'S' || SSN ELSE CAST(SSN AS VARCHAR) END AS SSN, CUST_ZIP, NOTE,
+               '{{"BY":' || SSN || ',"IN":[{{"}}":' || to_json(NOTE) || '}}]}}' AS SEEN,
+               CASE WHEN SSN % 10 = 3 THEN 'SSN' ELSE '' END AS problem
+        FROM noted""",
+    "json_all_columns": f"""
+        WITH {CUSTOMERS} SELECT *, 'day ' || SSN AS SINCE FROM customers""",
+    "load_changed_values": f"""
+        WITH {RAW_CUSTOMERS}, amounts AS (
+          SELECT o_orderkey AS id, CASE WHEN o_orderkey % 50 = 7 THEN 1e30 WHEN o_orderkey % 10 = 7 THEN o_totalprice / 8 ELSE o_totalprice END AS value
+          FROM orders
+        ), stored AS (
+          SELECT *, CAST(CASE WHEN value < 1e16 THEN CAST(value AS DECIMAL(18, 2)) END AS DOUBLE) AS stored FROM amounts
+        )
+        SELECT 'amount' AS kind, id, value, stored FROM stored WHERE stored IS DISTINCT FROM value
+        UNION ALL
+        SELECT 'zip', SSN, NULL, NULL FROM raw_customers WHERE TRY_CAST(CUST_ZIP AS INTEGER) IS NULL""",
+    "incremental_load": f"""
+        WITH {ORDERS}, stored AS (SELECT *, substr(TIMEID, 1, 6) AS YEAR_MONTH FROM orders_t)
+        {as_double('stored')}""",
+    "incremental_load_join": f"""
+        WITH {CUST_T}, stored AS (SELECT *, substr(TIMEID, 1, 6) AS YEAR_MONTH FROM cust_t)
+        {as_double('stored')}""",
     "load_rejects": f"""
         WITH {RAW_CUSTOMERS}
         SELECT 'customers' AS rejected_from, CASE WHEN SSN % 10 = 3 THEN 'SSN' ELSE '' END AS bad_columns,

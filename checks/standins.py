@@ -57,20 +57,40 @@ def damaged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.withColumns(more)
 
 
+IN_FILE = 20_000
+
+
+def write_one_line_arrays(records: DataFrame, path: str) -> None:
+    """Records as JSON arrays of up to ``IN_FILE``, each on one line of a file of its own, as pandas writes them."""
+    columns = [c for c in records.columns if c not in ("id", "broken")]
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", text.alias("text")))), lambda r: r["text"]), ",")
+    arrays = records.groupBy(F.floor(F.col("id") / IN_FILE).alias("part")).agg(F.concat(F.lit("["), joined, F.lit("]")).alias("value"))
+    arrays.write.partitionBy("part").option("lineSep", " ").text(path)
+
+
 def write_arrays(records: DataFrame, path: str, indent: int, broken: str | None = None) -> None:
-    """Records as JSON arrays of up to 500, one file each, with brackets and commas; indented by ``indent``. Those for which
+    """Records as JSON arrays of up to ``IN_FILE``, one file each, with brackets and commas; indented by ``indent``. Those for which
     ``broken`` holds lack their closing brace."""
     columns = [c for c in records.columns if c not in ("id", "broken")]
     text = F.regexp_replace(F.to_json(F.struct(*columns), {"pretty": "true"}), r"\r?\n", "\n" + " " * indent)
     text = F.concat(F.lit(" " * indent), text)
     if broken:
         text = F.when(F.expr(broken), F.regexp_replace(text, r"\s*\}$", "")).otherwise(text)
-    group = F.floor(F.col("id") / 500).alias("part")
+    group = F.floor(F.col("id") / IN_FILE).alias("part")
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", text.alias("text")))), lambda r: r["text"]), ",\n")
     arrays = records.groupBy(group).agg(F.concat(F.lit("[\n"), joined, F.lit("\n]")).alias("value"))
     arrays.write.partitionBy("part").text(path)
 
 
+def tricky_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw customers whose notes hold what divides records, and an object: in one of ten the SSN is no number."""
+    raw = damaged_customers(spark, sf_dir).drop("broken", "LAST_UPDATED")
+    note = F.concat(F.lit('say "x\\" }, {"SSN": 0 }] '), F.col("id").cast("string"))
+    return raw.withColumns({"NOTE": note, "SEEN": F.struct(F.col("id").alias("BY"), F.array(F.struct(note.alias("}")))
+                            .alias("IN"))})
+
+
 def raw_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers, and a head office per nation that has no transactions."""
     suppliers = table(spark, sf_dir, "supplier").selectExpr(

@@ -10,7 +10,8 @@ from swipeledger.schemas import MONEY
 
 
 def money(amount: Column) -> Column:
-    return amount.cast(MONEY)
+    """Null for an amount that does not fit."""
+    return amount.try_cast(MONEY)
 
 
 def exact_total(amount: Column) -> Column:

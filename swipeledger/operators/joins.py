@@ -44,10 +44,17 @@ def join_branch_transactions(branches: DataFrame, transactions: DataFrame) -> Da
 def _keeping_idle(
     owners: DataFrame, transactions: DataFrame, key: str, owner_columns: list[str], output: list[str]
 ) -> DataFrame:
-    owners = owners.select(key, *owner_columns)
-    matched = transactions.join(owners, key).select(*output)
+    matched = _matched(owners, transactions, key, owner_columns, output)
+    return matched.union(_idle(owners, transactions, key, owner_columns, matched))
+
+
+def _matched(owners: DataFrame, transactions: DataFrame, key: str, owner_columns: list[str], output: list[str]) -> DataFrame:
+    return transactions.join(owners.select(key, *owner_columns), key).select(*output)
+
+
+def _idle(owners: DataFrame, transactions: DataFrame, key: str, owner_columns: list[str], matched: DataFrame) -> DataFrame:
     used_keys = transactions.select(key).filter(F.col(key).isNotNull()).distinct()
-    idle = join_unique(owners, used_keys, [key], "left_anti").select(
+    return join_unique(owners.select(key, *owner_columns), used_keys, [key], "left_anti").select(
         *(
             F.col(field.name)
             if field.name in owner_columns
@@ -55,4 +62,21 @@ def _keeping_idle(
             for field in matched.schema
         )
     )
-    return matched.union(idle)
+
+
+def customer_parts(customers: DataFrame, transactions: DataFrame, new: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two parts of ``join_customer_transactions``: of the ``new`` transactions (all, if there are none) those with a customer, and the
+    customers without any of the ``transactions``."""
+    return _parts(customers, transactions, new, "CREDIT_CARD_NO", ["CUST_ZIP", "FIRST_NAME", "LAST_NAME"], CUSTOMER_TRANSACTIONS.fieldNames())
+
+
+def branch_parts(branches: DataFrame, transactions: DataFrame, new: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two parts of ``join_branch_transactions``."""
+    return _parts(branches, transactions, new, "BRANCH_CODE", ["BRANCH_STATE"], BRANCH_TRANSACTIONS.fieldNames())
+
+
+def _parts(
+    owners: DataFrame, transactions: DataFrame, new: DataFrame | None, key: str, owner_columns: list[str], output: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    matched = _matched(owners, transactions if new is None else new, key, owner_columns, output)
+    return matched, _idle(owners, transactions, key, owner_columns, matched)

@@ -1,18 +1,26 @@
 """Raw JSON and stored tables.
 
 Raw input is read record by record, whatever form a file has: JSON Lines, arrays on one line, arrays with a
-record per line, and indented arrays of any indent, which the first record of each file tells. Large files of all
-forms but the one-line array are split across tasks. All values are read as text and cast, so a value of the wrong
-type or a broken record spoils that record only, and none is lost: what cannot be read is in ``bad``."""
-
-from collections.abc import Sequence
-from typing import NamedTuple
-
+record per line, and indented arrays of any indent, which the beginning of each file tells. Large files of all
+forms are split across tasks. All values are read as text and cast, so a value of the wrong
+type or a broken record spoils that record only (in an array on one line, what follows it too), and none is lost: what
+cannot be read is in ``bad``. The input is parsed once, into a table in the shared folder, from which
+good and bad rows and the names of all columns are taken."""
+
+import re
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any, NamedTuple
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from swipeledger import schemas
+from swipeledger.plans.shared_folder import new_folder
+from swipeledger.sinks.versions import FOLDER, folders_of
+from swipeledger.sources.json_stream import array_records
 
 CORRUPT = "_corrupt_record"
 BAD_COLUMNS = "bad_columns"
@@ -44,19 +52,31 @@ def read_clean(
     extra_fields: Sequence[StructField] = (),
 ) -> DataFrame:
     """A table written by ``write_clean``. Stored transactions come with the
-    ``YEAR_MONTH`` they are partitioned by."""
+    ``YEAR_MONTH`` they are partitioned by. JSON may have any of the raw forms and is read with all its columns; a record that
+    cannot be read fails the job (``read_records`` with a layout of ``CLEAN_TABLES`` gives good and bad ones)."""
+    if file_format == "json":
+        return strictly(read_records(spark, path, schemas.CLEAN_TABLES[table], extra_fields))
     declared = [*schemas.CLEAN_TABLES[table].fields, *extra_fields]
-    if file_format == "parquet":
-        declared += _stored_extras(spark, path, {f.name for f in declared})
-        if "TIMEID" in {f.name for f in declared}:
-            declared.append(StructField("YEAR_MONTH", StringType()))
-    return spark.read.schema(StructType(declared)).format(file_format).load(path)
-
-
-def _stored_extras(spark: SparkSession, path: str, known: set[str]) -> list[StructField]:
-    """The further columns that a stored table came with."""
-    stored = spark.read.parquet(path).schema
-    return [f for f in stored if f.name not in known and f.name != "YEAR_MONTH"]
+    if file_format != "parquet":
+        return spark.read.schema(StructType(declared)).format(file_format).load(path)
+    return read_folders(spark, declared, path, folders_of(spark, path))
+
+
+def read_folders(spark: SparkSession, declared: Sequence[StructField], path: str, folders: Sequence[str]) -> DataFrame:
+    """The stored table at ``path`` that these folders make up, with the further columns that it came with."""
+    reader = spark.read if list(folders) == [path] else spark.read.option("basePath", path)
+    known, month = {f.name for f in declared}, StructField("YEAR_MONTH", StringType())
+    try:
+        # The last folder may lack columns that an older one has.
+        stored = list(reader.option("mergeSchema", str(len(folders) > 1).lower()).parquet(*folders).schema)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        # A table by months that has no rows has no files.
+        stored = []
+    extras = [f for f in stored if f.name not in (*known, month.name, FOLDER)]
+    layout = [*declared, *extras, *([month] if "TIMEID" in known else [])]
+    return reader.schema(StructType(layout)).parquet(*folders).drop(FOLDER)
 
 
 class PermissiveRead(NamedTuple):
@@ -90,8 +110,7 @@ class Records(NamedTuple):
 def read_permissive(
     spark: SparkSession, path: str, layout: StructType, extra_fields: Sequence[StructField] = (), keep_undeclared: bool = True
 ) -> PermissiveRead:
-    """Good and bad records of JSON files that may hold values of the wrong type. Each of the two parses
-    the input; ``read_records(..).checked`` has both from one pass."""
+    """Good and bad records of JSON files that may hold values of the wrong type."""
     records = read_records(spark, path, layout, extra_fields, keep_undeclared)
     return PermissiveRead(records.good, records.bad)
 
@@ -104,11 +123,19 @@ def strictly(records: Records) -> DataFrame:
 
 
 def read_records(
-    spark: SparkSession, path: str, layout: StructType, extra_fields: Sequence[StructField] = (), keep_undeclared: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    layout: StructType,
+    extra_fields: Sequence[StructField] = (),
+    keep_undeclared: bool = True,
+    parsed_path: str | None = None,
 ) -> Records:
-    """The records of all files below ``path``, with the columns of ``layout`` and ``extra_fields`` and, as text, every
-    other column that any record has; these are found in a pass over the whole input."""
-    parsed = _parsed(_pieces(spark, path))
+    """The records of all files below ``path`` (or several), with the columns of ``layout`` and ``extra_fields`` and, as text, every
+    other column that any record has. The input is parsed here and now, into ``parsed_path`` or a fresh folder of the shared one;
+    the records are read from there, and the names of the columns are those of its maps."""
+    parsed_path = parsed_path or new_folder(spark)
+    _parsed(_pieces(spark, path)).write.parquet(parsed_path)
+    parsed = spark.read.schema(_PARSED).parquet(parsed_path)
     declared = StructType([*layout.fields, *extra_fields])
     if keep_undeclared:
         names = parsed.select(F.explode(F.map_keys("record")).alias("name")).distinct()
@@ -130,52 +157,97 @@ def _is_good() -> Column:
     return (F.size(BAD_COLUMNS) == 0) & F.col(CORRUPT).isNull()
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
+def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(text, whole, raw): JSON texts of one or more records, without the commas and brackets around them;
     not ``whole`` where the text cannot be what the file's form demands; and what stands in the file.
 
     An indented array is cut where its records begin: at a line break, the indent of its first record and a
     brace. A line break cannot occur inside a JSON text, so this is no part of a value. Only where the indent is
     nothing at all can an object within a record look like one; that record then is bad."""
-    by_indent: dict[str | None, list[str]] = {}
-    for row in _forms(spark, path).collect():
-        by_indent.setdefault(row["indent"], []).append(row["file"])
+    by_form: dict[str | None, list[str]] = {}
+    for file, form in _forms(spark, path):
+        by_form.setdefault(form, []).append(file)
     pieces = []
-    for indent, files in by_indent.items():
-        if indent is None:
-            lines = spark.read.text(path if len(by_indent) == 1 else files).select(F.trim(F.regexp_replace("value", r"\s+$", "")).alias("v"))
+    for form, files in by_form.items():
+        if form == ON_ONE_LINE:
+            pieces.append(array_records(spark, files))
+            continue
+        if form is None:
+            lines = spark.read.text(path if len(by_form) == 1 else files).select(F.trim(F.regexp_replace("value", r"\s+$", "")).alias("v"))
             lines = lines.filter(~F.col("v").isin("", "[", "]", "],", "[]"))
             text = F.regexp_replace(F.regexp_replace("v", r",$", ""), r"^\s+", "")
             pieces.append(lines.select(text.alias("text"), F.lit(True).alias("whole"), F.col("v").alias("raw")))
             continue
-        parts = spark.read.text(files, lineSep=f"\n{indent}{{").filter(~F.col("value").rlike(r"^\s*\[\s*$"))
-        end = F.locate(f"\n{indent}}}", F.col("value"))
-        size = len(indent) + 2
+        parts = spark.read.text(files, lineSep=f"\n{form}{{").filter(~F.col("value").rlike(r"^\s*\[\s*$"))
+        end = F.locate(f"\n{form}}}", F.col("value"))
+        size = len(form) + 2
         body = F.concat(F.lit("{"), F.col("value").substr(F.lit(1), end + size - 1))
         rest = F.col("value").substr(end + size, F.length("value"))
         whole = (end > 0) & rest.rlike(r"^\s*[,\]]?\s*$")
         pieces.append(parts.select(F.when(whole, body).otherwise(F.col("value")).alias("text"), whole.alias("whole"), F.concat(F.lit("{"), "value").alias("raw")))
     if not pieces:
-        return spark.createDataFrame([], "text string, whole boolean, raw string")
+        return spark.range(0).select(F.lit("").alias("text"), F.lit(True).alias("whole"), F.lit("").alias("raw"))
     out = pieces[0]
     for more in pieces[1:]:
         out = out.unionByName(more)
     return out
 
 
-def _forms(spark: SparkSession, path: str) -> DataFrame:
-    """(file, indent) of every file with text: the indent of an indented array, null for records that are
-    whole lines. The first two lines of a file tell: a bracket alone, then a brace alone."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\s+$", "").alias("line"), F.monotonically_increasing_id().alias("at"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    told = lines.filter((F.col("block") == 0) & (F.col("line") != ""))
-    first = F.min(F.struct("at", "line"))["line"]
-    second = F.min(F.when(F.trim("line") != "[", F.struct("at", "line")))["line"]
-    heads = told.groupBy("file").agg(first.alias("first"), second.alias("second"))
-    indented = (F.trim("first") == "[") & F.col("second").rlike(r"^[ \t]*\{$")
-    return heads.select("file", F.when(indented, F.regexp_extract("second", r"^([ \t]*)\{$", 1)).alias("indent"))
+#: The form of a file whose array begins with a record on the line of its bracket.
+ON_ONE_LINE = "["
+#: How much of a file is looked at for its form, and how many files at a time.
+HEAD, AT_ONCE = 1 << 16, 32
+
+
+def _forms(spark: SparkSession, path: str | list[str]) -> Iterator[tuple[str, str | None]]:
+    """The files below ``path``, as Spark lists them, each with its form: the indent of an indented array, ``ON_ONE_LINE``, or none for
+    records that are whole lines. Only the beginning of each file is read, many at a time."""
+
+    def head(files, at, conf) -> str:
+        stream = files.open(at)
+        try:
+            codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+            return bytes((codec.createInputStream(stream) if codec else stream).readNBytes(HEAD)).decode("utf-8", "ignore")
+        finally:
+            stream.close()
+
+    for file, begin in _of_each_file(spark, path, head):
+        yield file, form_of(begin)
+
+
+def file_states(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int, int]]:
+    """The files below ``path``, as Spark lists them, with their size and time of change."""
+
+    def state(files, at, conf) -> tuple[int, int]:
+        status = files.getFileStatus(at)
+        return status.getLen(), status.getModificationTime()
+
+    return [(file, *found) for file, found in _of_each_file(spark, path, state)]
+
+
+def _of_each_file(spark: SparkSession, path: str | list[str], ask: Callable) -> list[tuple[str, Any]]:
+    conf, jvm = spark._jsparkSession.sessionState().newHadoopConf(), spark._jvm
+
+    def of(file: str) -> Any:
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        return ask(at.getFileSystem(conf), at, conf)
+
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(zip(files, pool.map(of, files)))
+
+
+def form_of(head: str) -> str | None:
+    """The form of a file that begins like this."""
+    array = re.match(r"\ufeff?\s*\[(\s*)\{([ \t\r]*\n)?", head)
+    if array is None:
+        return None
+    if "\n" not in array[1]:
+        return ON_ONE_LINE
+    return array[1].rsplit("\n", 1)[1] if array[2] else None
+
+
+_PARSED = "record map<string,string>, _corrupt_record string"
 
 
 def _parsed(pieces: DataFrame) -> DataFrame:

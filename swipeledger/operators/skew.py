@@ -11,7 +11,7 @@ HOT_KEYS = 10_000
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot_rows: int = HOT_ROWS, shares: int | None = None
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Joins ``left``, where a key (or null) may be very common, to ``right``, where every
     key occurs once. The result is that of the plain join on ``keys``.
@@ -21,14 +21,9 @@ def join_unique(
     first and salted: their rows take one of several shares, of about ``hot_rows``
     each, by the input partition they come from (the same number when a lost task runs
     again), and the one row of ``right`` is repeated per share. The most common keys, ``HOT_KEYS`` at most, are
-    broadcast; any further ones are joined like all other keys.
-    Where ``right`` is small, a number of ``shares`` for all keys spares the counting."""
+    broadcast; any further ones are joined like all other keys."""
     has_null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     keyed = left.filter(~has_null)
-    if shares is not None:
-        salted = keyed.withColumn("share", F.pmod(F.spark_partition_id(), F.lit(shares)))
-        repeated = right.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-        return _with_nulls(salted.join(repeated, [*keys, "share"], how).drop("share"), left.filter(has_null), how)
     hot = F.broadcast(
         keyed.groupBy(*keys)
         .agg(F.ceil(F.count("*") / hot_rows).cast("int").alias("shares"))
@@ -47,3 +42,17 @@ def _with_nulls(joined: DataFrame, without_key: DataFrame, how: str) -> DataFram
     if how not in ("left", "left_anti"):
         return joined
     return joined.unionByName(without_key, allowMissingColumns=True)
+
+
+def join_account(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """The plain join of ``left``, where a key may be very common, to ``right``, where every key occurs once and which comes out of
+    an aggregate by the same keys. Nothing is counted or repeated.
+
+    Spark splits a hot partition of ``left`` at run time only if both sides come straight from a shuffle for this join, and an aggregate by the
+    keys spares it. As one value, the keys are no longer those of the aggregate; ``right``, a row per key, is shuffled once
+    more. Rows with a null key match nothing; a hash of the row, which ``right`` never has, spreads them."""
+    has_null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    spread = F.when(has_null, F.xxhash64(*left.columns).bitwiseOR(F.lit(1))).otherwise(F.lit(0)).cast("long")
+    one = left.withColumn("_key", F.struct(*keys, spread.alias("_spread")))
+    other = right.withColumn("_key", F.struct(*keys, F.lit(0).cast("long").alias("_spread"))).drop(*keys)
+    return one.join(other, "_key", how).drop("_key")

@@ -11,17 +11,14 @@ rejected with a reason.
 
 What a batch costs follows the batch: only customers whose names are edited go beyond the scan, and these come
 down to one row per name, within each task and then across tasks. The edits meet these rows in
-``join_unique``, so neither a common name nor a name with very many edits gathers
+``join_account``, so neither a common name nor a name with very many edits gathers
 its rows in one task."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swipeledger.operators.lookups import NAME
-from swipeledger.operators.skew import join_unique
-
-#: Into how many shares the edits of a name are split.
-SHARES = 16
+from swipeledger.operators.skew import join_account
 
 EDITABLE = [
     "CUST_PHONE",
@@ -58,12 +55,12 @@ def edited_accounts(customers: DataFrame, updates: DataFrame) -> DataFrame:
 
 def match_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     """Edits whose name exists, with the SSN they go to; null if the account has none."""
-    return join_unique(updates, edited_accounts(customers, updates), NAME, "inner", shares=SHARES)
+    return join_account(updates, edited_accounts(customers, updates), NAME, "inner")
 
 
 def unmatched_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     """Edits whose name does not exist."""
-    return join_unique(updates, edited_accounts(customers, updates), NAME, "left_anti", shares=SHARES)
+    return join_account(updates, edited_accounts(customers, updates), NAME, "left_anti")
 
 
 def judged_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
@@ -74,7 +71,7 @@ def judged_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
         .when(_problem().isNotNull(), _problem())
         .when(F.col("SSN").isNull(), "account has no SSN")
     )
-    judged = join_unique(updates, known, NAME, "left", shares=SHARES).withColumn("reason", reason).drop("known")
+    judged = join_account(updates, known, NAME, "left").withColumn("reason", reason).drop("known")
     wanted = F.when(F.col("reason").isNull() & (F.col("field") == "SSN"), F.col("new_value").try_cast("bigint"))
     judged = judged.withColumn("wanted", wanted)
     claims = (
@@ -86,7 +83,7 @@ def judged_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     taken = claims.join(holders, "wanted", "left")
     in_use = (F.col("held") & (F.col("wanted") != F.col("SSN"))) | (F.col("claimed_by") != F.col("SSN"))
     return (
-        join_unique(judged, taken, ["wanted"], "left", shares=SHARES)
+        join_account(judged, taken, ["wanted"], "left")
         .withColumn("reason", F.when(in_use, "SSN already in use").otherwise(F.col("reason")))
         .drop("wanted", "claimed_by", "held")
     )

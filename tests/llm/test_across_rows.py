@@ -211,6 +211,46 @@ def test_lines_by_brute_force(spark, first, ranked):
     assert found == expected
 
 
+@pytest.mark.parametrize(("first", "block"), [(1, 7), (4, 20_000)])
+def test_classes_of_lines_by_brute_force(spark, first, block):
+    """Groups of lines that are all similar, chains of similar lines, and lines that share much less."""
+    choose = random.Random(first)
+    texts = []
+    for g in range(6):
+        base = [f"w{g}x{k}" for k in range(12)]
+        group = [base[:k] + base[k + 1 :] for k in range(12)] + [base, [*base, "more"], [*base[:10], "even"]]
+        chain = [[f"c{g}x{k}" for k in range(s, s + 18)] for s in range(0, 20)]
+        texts += [" ".join(x) for x in group + chain]
+    texts += [" ".join(choose.choice("abcdefgh") * 3 for _ in range(9)) for _ in range(60)]
+    choose.shuffle(texts)
+    out = line_dedup.removed_lines(documents(spark, *texts).repartition(3), line_dedup.Join(first=first, ranked=40, bucket=300, block=block))
+    sets = [frozenset(t.split()) for t in texts]
+
+    def similar(a, b):
+        return len(a & b) >= 0.8 * len(a | b) - 1e-9
+
+    of = {}
+    for x in dict.fromkeys(sets):
+        joined = {c for y, c in of.items() if similar(x, y)}
+        of[x] = x
+        for y, c in of.items():
+            if c in joined:
+                of[y] = x
+    found = {r.id: r.links[0] for r in out.collect() if r.links}
+    assert set(found) == {i for i, x in enumerate(sets) if any(similar(x, y) for y in sets[:i])}
+    names = {}
+    for i, link in found.items():
+        names.setdefault(of[sets[i]], set()).add(link["class"])
+    assert all(len(n) == 1 for n in names.values())
+    assert len({next(iter(n)) for n in names.values()}) == len(names)
+
+
+def test_a_text_with_very_many_lines(spark):
+    text = "\n".join(["a"] * (2**20 + 5) + ["b c"])
+    out = line_dedup.removed_lines(documents(spark, text, "b c\na b")).collect()
+    assert {r.id: (r.n_lines, len(r.removed)) for r in out} == {0: (2**20 + 6, 2**20 + 4), 1: (2, 1)}
+
+
 def test_line_dedup_of_awkward_rows(spark):
     df = awkward(spark)
     out = line_dedup.deduped(df)

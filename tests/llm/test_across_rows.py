@@ -245,6 +245,22 @@ def test_classes_of_lines_by_brute_force(spark, first, block):
     assert len({next(iter(n)) for n in names.values()}) == len(names)
 
 
+def test_near_copies_leave_no_scraps(spark):
+    """Groups of copies with one edited line each, beside other texts."""
+    choose = random.Random(9)
+    texts, group = [prose(500 + i, 200) for i in range(40)], [None] * 40
+    for g, size in enumerate((3, 20, 40)):
+        lines = prose(900 + g, 240).split("\n")
+        for k in range(size):
+            at = choose.randrange(1, len(lines))
+            texts.append("\n".join([*lines[:at], prose(7000 + 100 * g + k, 12), *lines[at + 1 :]]))
+            group.append(g)
+    docs = documents(spark, *texts)
+    kept = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_repeated_lines(spark, docs, ""), "")
+    left = Counter(group[r.doc_id] for r in kept.select("doc_id").collect())
+    assert left == {None: 40, 0: 1, 1: 1, 2: 1}
+
+
 def test_a_text_with_very_many_lines(spark):
     text = "\n".join(["a"] * (2**20 + 5) + ["b c"])
     out = line_dedup.removed_lines(documents(spark, text, "b c\na b")).collect()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import standins
 from swipeledger import schemas
 from swipeledger.functions import dates, text
-from swipeledger.operators import cleaning, joins, loans, lookups, reports, updates
+from swipeledger.operators import cleaning, joins, loans, lookups, reports, summaries, updates
 from swipeledger.plans.load import load_more, load_tables
 from swipeledger.plans.publish import publish_customers as publish
 from swipeledger.plans.shared_folder import new_folder
@@ -638,6 +638,40 @@ def stored_state_count_total(spark, sf_dir):
     return lookups.state_count_total(_stored(spark, sf_dir, "branch_transactions"), "nation_15")
 
 
+# Reports of stored summaries
+
+
+@query
+def stored_type_count_total_all(spark, sf_dir):
+    return lookups.type_count_total_all(_stored(spark, sf_dir, "daily_totals"))
+
+
+@query
+def stored_type_counts(spark, sf_dir):
+    return reports.type_counts(_stored(spark, sf_dir, "daily_totals"))
+
+
+@query
+def stored_month_totals(spark, sf_dir):
+    return reports.month_totals(_stored(spark, sf_dir, "daily_totals"))
+
+
+@query
+def stored_branch_totals_for_type(spark, sf_dir):
+    daily = summaries.with_branches(_stored(spark, sf_dir, "daily_totals"), _stored(spark, sf_dir, "branches"))
+    return reports.branch_totals_for_type(daily, "1-URGENT")
+
+
+@query
+def stored_monthly_bills_all(spark, sf_dir):
+    return lookups.monthly_bills_all(_stored(spark, sf_dir, "card_months"))
+
+
+@query
+def stored_customer_totals(spark, sf_dir):
+    return reports.customer_totals(_stored(spark, sf_dir, "card_months"))
+
+
 @query
 def stored_account_details(spark, sf_dir):
     stored = _stored(spark, sf_dir, "customers")

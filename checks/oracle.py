@@ -463,8 +463,22 @@ ORACLE = {
     "publish_customers": EDITED,
 }
 
-for _name in ("transactions_by_zip_month", "transactions_between", "monthly_bill", "account_details"):
+_KEPT = ("transactions_by_zip_month", "transactions_between", "monthly_bill", "account_details", "monthly_bills_all", "customer_totals", "type_counts")
+for _name in _KEPT:
     ORACLE[f"stored_{_name}"] = ORACLE[_name]
 ORACLE["stored_state_count_total"] = f"""
         WITH {BRANCHES}, {ORDERS}, {branch_join('orders_t')}
         SELECT {COUNT_TOTAL} FROM branch_t WHERE BRANCH_STATE = 'NATION_15'"""
+
+ORACLE["stored_type_count_total_all"] = f"WITH {ORDERS} SELECT TRANSACTION_TYPE, {COUNT_TOTAL} FROM orders_t GROUP BY 1"
+ORACLE["stored_month_totals"] = f"""
+        WITH {ORDERS}
+        SELECT CAST(substr(TIMEID, 5, 2) AS INTEGER) AS "month", {TOTAL},
+               row_number() OVER (ORDER BY sum(TRANSACTION_VALUE) DESC) <= 3 AS highlight
+        FROM orders_t GROUP BY 1"""
+ORACLE["stored_branch_totals_for_type"] = f"""
+        WITH {BRANCHES}, {ORDERS}, {branch_join('orders_t')},
+        totals AS (SELECT BRANCH_CODE, sum(TRANSACTION_VALUE) AS total FROM branch_t
+                   WHERE TRANSACTION_TYPE = '1-URGENT' GROUP BY 1)
+        SELECT BRANCH_CODE, CAST(total AS DOUBLE) AS total_value, total = (SELECT max(total) FROM totals) AS highlight
+        FROM totals"""

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swipeledger.functions import dates
-from swipeledger.functions.money import exact_total
+from swipeledger.functions.money import exact_total, transaction_count
 
 NAME = ["FIRST_NAME", "LAST_NAME"]
 
@@ -32,7 +32,7 @@ def transactions_between(
 def type_count_total(transactions: DataFrame, transaction_type: str) -> DataFrame:
     """Count and total of one transaction type, in any letter case."""
     wanted = F.upper("TRANSACTION_TYPE") == F.upper(F.lit(transaction_type))
-    return transactions.filter(wanted).agg(*_count_and_total())
+    return transactions.filter(wanted).agg(*_count_and_total(transactions))
 
 
 def type_count_total_all(transactions: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def state_count_total(branch_transactions: DataFrame, state: str) -> DataFrame:
     """Count and total over all branches of one state. Branches without transactions add nothing,
     so the key test only spares looking for them."""
     used = _in_state(state) & F.col("BRANCH_CODE").isNotNull()
-    return branch_transactions.filter(used).agg(*_count_and_total())
+    return branch_transactions.filter(used).agg(*_count_and_total(branch_transactions))
 
 
 def branch_count_total_by_state(branch_transactions: DataFrame, state: str) -> DataFrame:
@@ -121,9 +121,9 @@ def _total() -> Column:
     return exact_total(F.col("TRANSACTION_VALUE")).cast("double").alias("total_value")
 
 
-def _count_and_total() -> list[Column]:
-    return [F.count("TRANSACTION_ID").alias("transactions"), _total()]
+def _count_and_total(transactions: DataFrame) -> list[Column]:
+    return [transaction_count(transactions).alias("transactions"), _total()]
 
 
 def _count_and_total_by(transactions: DataFrame, key: str) -> DataFrame:
-    return transactions.filter(F.col(key).isNotNull()).groupBy(key).agg(*_count_and_total())
+    return transactions.filter(F.col(key).isNotNull()).groupBy(key).agg(*_count_and_total(transactions))

@@ -1,13 +1,14 @@
 """The numbers behind the transaction and customer charts.
 
 Every aggregate is combined within each task before its shuffle. ``highlight``
-marks the bars drawn in the accent colour. Ties are ordered by the key."""
+marks the bars drawn in the accent colour. Ties are ordered by the key. In place of transactions, reports take a summary of them
+(``operators.summaries``) that has the columns they group by."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swipeledger.functions.dates import timeid_date
-from swipeledger.functions.money import exact_total
+from swipeledger.functions.money import exact_total, transaction_count
 
 
 def type_counts(transactions: DataFrame) -> DataFrame:
@@ -96,15 +97,15 @@ def top_branch_for_type(
 
 
 def _type_counts(transactions: DataFrame) -> DataFrame:
-    return _counts(transactions, "TRANSACTION_TYPE", "TRANSACTION_ID", "transactions")
+    return _counts(transactions, "TRANSACTION_TYPE", transaction_count(transactions), "transactions")
 
 
 def _state_counts(customers: DataFrame) -> DataFrame:
-    return _counts(customers, "CUST_STATE", "CREDIT_CARD_NO", "customers")
+    return _counts(customers, "CUST_STATE", F.count("CREDIT_CARD_NO"), "customers")
 
 
-def _counts(df: DataFrame, key: str, counted: str, name: str) -> DataFrame:
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(counted).alias(name))
+def _counts(df: DataFrame, key: str, counted: Column, name: str) -> DataFrame:
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(counted.alias(name))
 
 
 def _totals(transactions: DataFrame, key: str) -> DataFrame:

@@ -11,6 +11,7 @@ from swipeledger import schemas
 from swipeledger.functions.dates import year_month
 from swipeledger.operators.cleaning import clean_branches, clean_customers, clean_transactions, rejected_amounts, rejected_zips
 from swipeledger.operators.joins import branch_parts, customer_parts, join_branch_transactions  # noqa: F401 (part of this module's names)
+from swipeledger.operators.summaries import card_months, daily_totals
 from swipeledger.plans.shared_folder import passing_folder
 from swipeledger.sinks import versions
 from swipeledger.sinks.files import write_clean
@@ -29,6 +30,8 @@ CUSTOMER_ORDER = ["LAST_NAME", "FIRST_NAME"]
 FEW_BRANCHES = 100_000
 
 _JOINED = ("customer_transactions", "branch_transactions")
+#: What is stored of transactions for reports that count and add.
+_SUMMARIES = {"daily_totals": daily_totals, "card_months": card_months}
 _RAW = {
     "customers": (schemas.CUSTOMER_RAW, clean_customers, CUSTOMER_ORDER),
     "branches": (schemas.BRANCH_RAW, clean_branches, []),
@@ -58,7 +61,7 @@ def load_tables(
     ``fail_on_bad`` the load fails before it stores anything if there is any of these. Returns the path of
     every table."""
     extra = dict(extra_fields or {})
-    paths = {name: f"{target}/{name}" for name in (*_RAW, *_JOINED)}
+    paths = {name: f"{target}/{name}" for name in (*_RAW, *_JOINED, *_SUMMARIES)}
     paths |= {f"rejected_{name}": f"{target}/rejected_{name}" for name in (*_RAW, "zips", "amounts")}
     began = versions.current(spark, target)
     inputs = file_states(spark, transactions)
@@ -77,6 +80,7 @@ def load_tables(
             rows.write.mode("overwrite").parquet(paths[f"rejected_{name}"])
     stored = {name: read_folders(spark, schemas.CLEAN_TABLES[name].fields, paths[name], [new[name]]) for name in _RAW}
     joined = _write_joins(stored["customers"], stored["branches"], stored["transactions"], None, paths)
+    joined |= _write_summaries(stored["transactions"], paths)
     ledger = _write_ledger(spark, target, inputs)
     versions.commit(spark, target, replace(began, ledgers=[]), {**{name: [f] for name, f in new.items()}, **joined}, [ledger])
     versions.remove_old(spark, target)
@@ -114,9 +118,9 @@ def load_more(
     record that comes again has its day. Records without id cannot be recognised and are all taken.
 
     What is stored is not written again: new rows go to files of their own, in the months that they have, and both joins
-    get the joined new rows; of the joins, the customers and branches that are still without transactions are found anew. All
+    get the joined new rows, as the summaries get theirs; of the joins, the customers and branches that are still without transactions are found anew. All
     becomes valid at once. Rejects go to new folders of the ``rejected_`` tables. A ``database`` gets the new rows by ``append``."""
-    paths = {name: f"{target}/{name}" for name in (*_RAW, *_JOINED)}
+    paths = {name: f"{target}/{name}" for name in (*_RAW, *_JOINED, *_SUMMARIES)}
     began = versions.current(spark, target)
     files = _not_loaded(spark, file_states(spark, transactions), began)
     if not files:
@@ -141,6 +145,7 @@ def load_more(
         tables = _write_joins(customers, branches, read_folders(spark, declared, paths["transactions"], every), new, paths)
         # The parts of a join are its matched folders and, last, that of the idle ones.
         tables = {name: [*began.tables[name][:-1], *folders] for name, folders in tables.items()}
+        tables |= {name: [*began.tables[name], *folders] for name, folders in _write_summaries(new, paths).items()}
         tables["transactions"] = every
     versions.commit(spark, target, began, tables, [_write_ledger(spark, target, files)])
     if database is not None and n:
@@ -217,6 +222,14 @@ def load_loans(
     write_jdbc(read_loans(spark, loans, extra_fields), LOAN_TABLE, database, database_mode)
 
 
+def _write_summaries(transactions: DataFrame, paths: Mapping[str, str]) -> dict[str, list[str]]:
+    """The summaries of these transactions in new folders, by table."""
+    folders = {name: [versions.new_version_folder(paths[name])] for name in _SUMMARIES}
+    for name, summary in _SUMMARIES.items():
+        summary(transactions).write.parquet(folders[name][0])
+    return folders
+
+
 def without_month(stored: DataFrame) -> DataFrame:
     """A stored table without the column that only names its folders."""
     return stored.drop("YEAR_MONTH")

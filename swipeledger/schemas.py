@@ -12,6 +12,10 @@ from pyspark.sql.types import (
 )
 
 MONEY = DecimalType(18, 2)
+#: Sums of amounts; what sums of these add up to still fits.
+TOTAL = DecimalType(28, 2)
+#: The month that stored tables are divided or summed by.
+MONTH = StructField("YEAR_MONTH", StringType())
 
 
 def _layout(**columns) -> StructType:
@@ -124,10 +128,29 @@ CUSTOMER_UPDATES = _layout(
     new_value=StringType(),
 )
 
+#: A summary of transactions; it comes with ``MONTH``, as all tables with a TIMEID do.
+DAILY_TOTALS = _layout(
+    TIMEID=StringType(),
+    TRANSACTION_TYPE=StringType(),
+    BRANCH_CODE=IntegerType(),
+    TRANSACTIONS=LongType(),
+    TRANSACTION_VALUE=TOTAL,
+)
+
+CARD_MONTHS = _layout(
+    CREDIT_CARD_NO=StringType(),
+    CUST_SSN=LongType(),
+    YEAR_MONTH=StringType(),
+    TRANSACTIONS=LongType(),
+    TRANSACTION_VALUE=TOTAL,
+)
+
 CLEAN_TABLES = {
     "customers": CUSTOMER_CLEAN,
     "branches": BRANCH_CLEAN,
     "transactions": TRANSACTION_CLEAN,
     "customer_transactions": CUSTOMER_TRANSACTIONS,
     "branch_transactions": BRANCH_TRANSACTIONS,
+    "daily_totals": DAILY_TOTALS,
+    "card_months": CARD_MONTHS,
 }

@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from test_plans import BRANCHES, CUSTOMERS, TRANSACTIONS
 
+from swipeledger.operators import lookups, reports, summaries
 from swipeledger.plans import load
 from swipeledger.sinks import versions
 from swipeledger.sources.readers import read_clean
@@ -143,3 +144,28 @@ def test_what_cleaning_changes_is_listed(spark, raw, tmp_path):
         with pytest.raises(ValueError, match="bad record in (zips|amounts)"):
             load.load_tables(spark, **raw | {part: more[part]}, target=f"{tmp_path}/strict", fail_on_bad=True)
     assert not Path(tmp_path, "strict").exists()
+
+
+def test_reports_of_summaries_equal_those_of_the_transactions(spark, raw, tmp_path, plan_of):
+    """Also after a load that adds; none of them scans the transactions."""
+    store = f"{tmp_path}/s"
+    paths = load.load_tables(spark, **raw, target=store)
+    odd = [bought(30, 9, BRANCH_CODE=77), bought(None, 9), bought(31, 31), bought(32, 9, value=None), bought(33, 9, card=None, CUST_SSN=None)]
+    assert load.load_more(spark, put(tmp_path, "more/2", odd), store) == 5
+    every, branches, daily, cards = (read_clean(spark, n, f"{store}/{n}") for n in ("transactions", "branches", "daily_totals", "card_months"))
+    with_branch = read_clean(spark, "branch_transactions", paths["branch_transactions"])
+    of_branches = summaries.with_branches(daily, branches)
+    for report, summary, direct in (
+        (reports.type_counts, daily, every), (reports.top_type, daily, every), (reports.month_totals, daily, every), (reports.top_months, daily, every),
+        (lookups.type_count_total_all, daily, every), (lambda t: lookups.type_count_total(t, "gas"), daily, every),
+        (reports.customer_totals, cards, every), (reports.top_customers, cards, every), (lookups.monthly_bills_all, cards, every),
+        (lambda t: lookups.monthly_bill(t, "4210", 2, 2018), cards, every), (reports.branch_totals_for_type, of_branches, with_branch),
+        (lambda t: lookups.state_count_total(t, "ct"), of_branches, with_branch), (lambda t: lookups.branch_count_total_by_state(t, "ct"), of_branches, with_branch),
+    ):
+        assert rows(report(summary)) == rows(report(direct))
+        assert "/transactions/" not in plan_of(report(summary)) and "branch_transactions" not in plan_of(report(summary))
+
+
+def test_sums_of_sums_do_not_overflow(spark):
+    large = spark.range(40).selectExpr("id AS TRANSACTION_ID", "'20180101' AS TIMEID", "'a' AS TRANSACTION_TYPE", "1 AS BRANCH_CODE", "cast(9999999999999999.99 as decimal(18,2)) AS TRANSACTION_VALUE")
+    assert rows(lookups.type_count_total_all(summaries.daily_totals(large))) == rows(lookups.type_count_total_all(large)) == [("a", 40, 4e17)]

@@ -11,6 +11,7 @@ from swipeledger.functions import dates, text
 from swipeledger.operators import cleaning, joins, loans, lookups, reports, summaries, updates
 from swipeledger.plans.load import load_more, load_tables
 from swipeledger.plans.publish import publish_customers as publish
+from swipeledger.plans.publish import publish_edits
 from swipeledger.plans.shared_folder import new_folder
 from swipeledger.sinks.files import write_clean
 from swipeledger.sources import readers
@@ -524,6 +525,23 @@ def incremental_load_join(spark, sf_dir):
     return _value_as_double(readers.read_clean(spark, "customer_transactions", _stored_twice(spark, sf_dir)["customer_transactions"]))
 
 
+def _edited_store(spark, sf_dir):
+    """A store of its own, whose customers are edited."""
+    folder = new_folder(spark)
+    raw = {"customers": standins.raw_customers(spark, sf_dir), "branches": standins.raw_branches(spark, sf_dir), "transactions": standins.order_transactions(spark, sf_dir)}
+    for name, df in raw.items():
+        write_clean(df, f"{folder}/raw/{name}", "json")
+    paths = load_tables(spark, *(f"{folder}/raw/{name}" for name in raw), target=f"{folder}/stored")
+    publish_edits(spark, _updates(spark, sf_dir), f"{folder}/stored")
+    return paths
+
+
+@query
+def publish_joined(spark, sf_dir):
+    """The stored join of customers after a batch of edits."""
+    return _value_as_double(readers.read_clean(spark, "customer_transactions", _edited_store(spark, sf_dir)["customer_transactions"]))
+
+
 @query
 def load_rejects(spark, sf_dir):
     """What a load of damaged customers stores as rejected."""

@@ -482,3 +482,7 @@ ORACLE["stored_branch_totals_for_type"] = f"""
                    WHERE TRANSACTION_TYPE = '1-URGENT' GROUP BY 1)
         SELECT BRANCH_CODE, CAST(total AS DOUBLE) AS total_value, total = (SELECT max(total) FROM totals) AS highlight
         FROM totals"""
+ORACLE["publish_joined"] = f"""
+        WITH {UPDATES}, {ORDERS}, {customer_join('orders_t').replace('FROM customers c', 'FROM edited c')},
+        stored AS (SELECT *, substr(TIMEID, 1, 6) AS YEAR_MONTH FROM cust_t)
+        {as_double('stored')}"""

@@ -26,6 +26,7 @@ from swipeledger.sinks.jdbc import (
 from swipeledger.sources.readers import file_states, read_clean, read_folders, read_loans, read_records
 
 CUSTOMER_ORDER = ["LAST_NAME", "FIRST_NAME"]
+JOIN_ORDER = ["CUST_ZIP", "LAST_NAME", "FIRST_NAME"]
 #: Up to so many branches are sent to every task of the join, which spares the transactions the shuffle.
 FEW_BRANCHES = 100_000
 
@@ -140,6 +141,7 @@ def load_more(
     new = read_folders(spark, declared, paths["transactions"], [folder])
     n, tables = new.count(), {}
     if n:
+        # Transactions are added only, so none of their files is ever dropped.
         every = [*began.tables["transactions"], folder]
         customers, branches = (read_clean(spark, name, paths[name]) for name in ("customers", "branches"))
         tables = _write_joins(customers, branches, read_folders(spark, declared, paths["transactions"], every), new, paths)
@@ -200,7 +202,7 @@ def _write_joins(
     few = branches.count() <= FEW_BRANCHES
     # The transactions come from month folders; beside a broadcast they stay as they are.
     parts = {
-        "customer_transactions": (customer_parts(customers, transactions, new), ["CUST_ZIP", "LAST_NAME", "FIRST_NAME"], True),
+        "customer_transactions": (customer_parts(customers, transactions, new), JOIN_ORDER, True),
         "branch_transactions": (branch_parts(F.broadcast(branches) if few else branches, transactions, new), ["BRANCH_STATE", "BRANCH_CODE"], not few),
     }
     folders = {}

@@ -1,6 +1,6 @@
 """Versions of stored tables that lie in one folder.
 
-A table is a list of folders below its path. What a job writes goes to new folders, and becomes valid, for all tables at once, by
+A table is a list of folders below its path, without the files that are dropped of them. What a job writes goes to new folders, and becomes valid, for all tables at once, by
 one rename of a small file to the next number in ``_versions`` beside the tables. So a job that fails on the way changes nothing, readers
 see one version of all tables, and of two jobs that began with the same version, one is refused."""
 
@@ -8,6 +8,7 @@ import json
 import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -23,11 +24,13 @@ class Outdated(Exception):
 
 @dataclass(frozen=True)
 class Version:
-    """``number`` is 0 if there is none. ``tables``: the folders of each table. ``ledgers``: folders that name the input files that were loaded."""
+    """``number`` is 0 if there is none. ``tables``: the folders of each table. ``ledgers``: folders that name the input files that were loaded.
+    ``dropped``: files in the folders of a table that are no part of it any more."""
 
     number: int = 0
     tables: Mapping[str, list[str]] = field(default_factory=dict)
     ledgers: list[str] = field(default_factory=list)
+    dropped: Mapping[str, list[str]] = field(default_factory=dict)
 
 
 def split_path(path: str) -> tuple[str, str]:
@@ -45,20 +48,37 @@ def current(spark: SparkSession, store: str) -> Version:
     return _read(spark, store, max(numbers)) if numbers else Version()
 
 
-def folders_of(spark: SparkSession, path: str) -> list[str]:
-    """The folders of a table; the path itself if it has no versions."""
+def parts_of(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The folders of a table, and the files that are dropped of them; the path itself if it has no versions."""
     store, name = split_path(path)
-    return current(spark, store).tables.get(name) or [path]
-
-
-def commit(spark: SparkSession, store: str, began: Version, tables: Mapping[str, Iterable[str]], ledgers: Iterable[str] = ()) -> Version:
-    """The next version after ``began``: its tables, with the folders of some of them replaced, and its ledgers with more of them. Raises ``Outdated`` if
-    there is a newer one."""
-    version = Version(began.number + 1, {**began.tables, **{n: list(f) for n, f in tables.items()}}, [*began.ledgers, *ledgers])
+    version = current(spark, store)
+    return version.tables.get(name) or [path], version.dropped.get(name) or []
+
+
+def within(file: str) -> str:
+    """The folder and the rest of a file's path, which is the same however Spark writes what stands before."""
+    return unquote(file)[unquote(file).index(f"/{FOLDER}=") :]
+
+
+def commit(
+    spark: SparkSession,
+    store: str,
+    began: Version,
+    tables: Mapping[str, Iterable[str]],
+    ledgers: Iterable[str] = (),
+    dropped: Mapping[str, Iterable[str]] | None = None,
+) -> Version:
+    """The next version after ``began``: its tables, with the folders of some of them replaced, its ledgers with more of them, and more files
+    ``dropped`` of some tables. Raises ``Outdated`` if there is a newer one."""
+    every = {**began.tables, **{n: list(f) for n, f in tables.items()}}
+    gone = {n: [*began.dropped.get(n, ()), *(dropped or {}).get(n, ())] for n in every}
+    # Of folders that have gone themselves nothing has to be named.
+    gone = {n: [f for f in files if any(folder.rsplit("/", 1)[1] in f.split("/") for folder in every[n])] for n, files in gone.items()}
+    version = Version(began.number + 1, every, [*began.ledgers, *ledgers], {n: f for n, f in gone.items() if f})
     files, folder = _files(spark, store), f"{store}/{_VERSIONS}"
     draft, final = _path(spark, f"{folder}/.{uuid.uuid4().hex}"), _path(spark, f"{folder}/{version.number:012d}.json")
     stream = files.create(draft, False)
-    stream.write(bytearray(json.dumps({"tables": version.tables, "ledgers": version.ledgers}).encode()))
+    stream.write(bytearray(json.dumps({"tables": version.tables, "ledgers": version.ledgers, "dropped": version.dropped}).encode()))
     stream.close()
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.makeQualified(draft).toUri(), _conf(spark))
     try:
@@ -109,4 +129,4 @@ def _read(spark: SparkSession, store: str, number: int) -> Version:
         content = json.loads(bytes(stream.readAllBytes()).decode())
     finally:
         stream.close()
-    return Version(number, content["tables"], content["ledgers"])
+    return Version(number, content["tables"], content["ledgers"], content.get("dropped", {}))

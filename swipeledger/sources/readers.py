@@ -11,6 +11,7 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any, NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from swipeledger import schemas
 from swipeledger.plans.shared_folder import new_folder
-from swipeledger.sinks.versions import FOLDER, folders_of
+from swipeledger.sinks.versions import FOLDER, parts_of, within
 from swipeledger.sources.json_stream import array_records
 
 CORRUPT = "_corrupt_record"
@@ -59,11 +60,14 @@ def read_clean(
     declared = [*schemas.CLEAN_TABLES[table].fields, *extra_fields]
     if file_format != "parquet":
         return spark.read.schema(StructType(declared)).format(file_format).load(path)
-    return read_folders(spark, declared, path, folders_of(spark, path))
+    return read_folders(spark, declared, path, *parts_of(spark, path))
 
 
-def read_folders(spark: SparkSession, declared: Sequence[StructField], path: str, folders: Sequence[str]) -> DataFrame:
-    """The stored table at ``path`` that these folders make up, with the further columns that it came with."""
+def read_folders(
+    spark: SparkSession, declared: Sequence[StructField], path: str, folders: Sequence[str], dropped: Sequence[str] = ()
+) -> DataFrame:
+    """The stored table at ``path`` that these folders (or files) make up without the ``dropped`` files, with the further columns that it
+    came with."""
     reader = spark.read if list(folders) == [path] else spark.read.option("basePath", path)
     known, month = {f.name for f in declared}, StructField("YEAR_MONTH", StringType())
     try:
@@ -76,6 +80,9 @@ def read_folders(spark: SparkSession, declared: Sequence[StructField], path: str
         stored = []
     extras = [f for f in stored if f.name not in (*known, month.name, FOLDER)]
     layout = [*declared, *extras, *([month] if "TIMEID" in known else [])]
+    if dropped:
+        gone, files = {within(f) for f in dropped}, reader.schema(StructType(layout)).parquet(*folders).inputFiles()
+        folders = [unquote(f) for f in files if within(f) not in gone] or folders[-1:]
     return reader.schema(StructType(layout)).parquet(*folders).drop(FOLDER)
 
 
@@ -234,7 +241,7 @@ def _of_each_file(spark: SparkSession, path: str | list[str], ask: Callable) ->
 
     files = spark.read.text(path).inputFiles()
     with ThreadPoolExecutor(AT_ONCE) as pool:
-        return list(zip(files, pool.map(of, files)))
+        return list(zip(map(unquote, files), pool.map(of, files)))
 
 
 def form_of(head: str) -> str | None:

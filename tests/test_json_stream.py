@@ -131,6 +131,14 @@ def test_forms(head, form):
     assert readers.form_of(head) == form
 
 
+def test_names_of_files_may_have_any_letters(spark, tmp_path):
+    folder = tmp_path / "a b%20c é"
+    folder.mkdir()
+    for name, indent in (("x y.json", None), ("50%.json", 2)):
+        (folder / name).write_text(json.dumps(RECORDS[:1], indent=indent))
+    assert readers.read_permissive(spark, str(folder), schemas.CUSTOMER_RAW).good.count() == 2
+
+
 def test_compressed_files_are_read(spark, tmp_path):
     import gzip
 

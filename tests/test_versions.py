@@ -7,8 +7,10 @@ import pytest
 from conftest import rows
 from test_plans import BRANCHES, CUSTOMERS, TRANSACTIONS
 
+from swipeledger import schemas
 from swipeledger.operators import lookups, reports, summaries
-from swipeledger.plans import load
+from swipeledger.operators.joins import join_customer_transactions
+from swipeledger.plans import load, publish
 from swipeledger.sinks import versions
 from swipeledger.sources.readers import read_clean
 
@@ -169,3 +171,50 @@ def test_reports_of_summaries_equal_those_of_the_transactions(spark, raw, tmp_pa
 def test_sums_of_sums_do_not_overflow(spark):
     large = spark.range(40).selectExpr("id AS TRANSACTION_ID", "'20180101' AS TIMEID", "'a' AS TRANSACTION_TYPE", "1 AS BRANCH_CODE", "cast(9999999999999999.99 as decimal(18,2)) AS TRANSACTION_VALUE")
     assert rows(lookups.type_count_total_all(summaries.daily_totals(large))) == rows(lookups.type_count_total_all(large)) == [("a", 40, 4e17)]
+
+
+def edits(spark, *data):
+    return spark.createDataFrame([(i, *d) for i, d in enumerate(data)], schemas.CUSTOMER_UPDATES)
+
+
+def joined_again(spark, paths):
+    return rows(
+        join_customer_transactions(read_clean(spark, "customers", paths["customers"]), load.without_month(read_clean(spark, "transactions", paths["transactions"])))
+    )
+
+
+def stored_join(spark, paths):
+    return rows(load.without_month(read_clean(spark, "customer_transactions", paths["customer_transactions"])))
+
+
+def test_edits_reach_the_stored_join(spark, raw, tmp_path):
+    store = f"{tmp_path}/s"
+    paths = load.load_tables(spark, **raw, target=store)
+    files = {p: p.stat().st_mtime_ns for p in Path(paths["customer_transactions"]).rglob("*.parquet")}
+    assert not publish.publish_edits(spark, edits(spark, ("Alec", "O'Neil", "CUST_STATE", "Ohio")), store)
+    for batch in (
+        [("Alec", "O'Neil", "CUST_ZIP", "10001")],
+        [("Zoe", "Idle", "CREDIT_CARD_NO", "4210"), ("Alec", "O'Neil", "CUST_CITY", "Bath")],
+        [("Alec", "O'Neil", "CREDIT_CARD_NO", "9999"), ("Zoe", "Idle", "SSN", "123456789")],
+        [("Alec", "O'Neil", "CREDIT_CARD_NO", "4210"), ("Zoe", "Idle", "CREDIT_CARD_NO", "4211")],
+    ):
+        assert publish.publish_edits(spark, edits(spark, *batch), store)
+        assert stored_join(spark, paths) == joined_again(spark, paths)
+    # A load that adds goes on from there.
+    assert load.load_more(spark, put(tmp_path, "more/2", [bought(40, 9), bought(41, 9, card="4211", MONTH=7)]), store) == 2
+    assert stored_join(spark, paths) == joined_again(spark, paths)
+    assert files.items() <= {p: p.stat().st_mtime_ns for p in Path(paths["customer_transactions"]).rglob("*.parquet")}.items()
+    load.join_tables(spark, paths)
+    assert stored_join(spark, paths) == joined_again(spark, paths)
+
+
+def test_one_edit_replaces_only_files_that_hold_its_card(spark, raw, tmp_path):
+    store = f"{tmp_path}/a b%20c é"
+    many = [bought(100 + k, 1, card=str(4210 + k % 2), MONTH=1 + k % 12) for k in range(24)]
+    load.load_tables(spark, **raw | {"transactions": put(tmp_path, "many/t", many)}, target=store)
+    assert publish.publish_edits(spark, edits(spark, ("Zoe", "Idle", "CUST_ZIP", "10001")), store)
+    dropped = versions.current(spark, store).dropped["customer_transactions"]
+    paths = {n: f"{store}/{n}" for n in ("customers", "transactions", "customer_transactions")}
+    assert stored_join(spark, paths) == joined_again(spark, paths)
+    # The second card has bought in every other month.
+    assert sorted(f.split("YEAR_MONTH=")[1][:6] for f in dropped) == [f"2018{m:02d}" for m in range(2, 13, 2)]

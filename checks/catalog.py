@@ -480,9 +480,10 @@ def json_all_columns(spark, sf_dir):
 
 @query
 def load_changed_values(spark, sf_dir):
-    """What a load lists of the values that cleaning changes: zips that are no numbers, amounts with parts of a cent or too large."""
+    """What a load lists of the values that cleaning changes: zips that are no numbers, amounts with parts of a cent or too large. No part is half
+    a cent, which engines round differently."""
     folder = new_folder(spark)
-    amount = F.expr("CASE WHEN TRANSACTION_ID % 50 = 7 THEN 1e30 WHEN TRANSACTION_ID % 10 = 7 THEN TRANSACTION_VALUE / 8 ELSE TRANSACTION_VALUE END")
+    amount = F.expr("CASE WHEN TRANSACTION_ID % 50 = 7 THEN 1e30 WHEN TRANSACTION_ID % 10 = 7 THEN TRANSACTION_VALUE + 0.003 ELSE TRANSACTION_VALUE END")
     write_clean(standins.raw_customers(spark, sf_dir), f"{folder}/customers", "json")
     write_clean(standins.raw_branches(spark, sf_dir), f"{folder}/branches", "json")
     write_clean(standins.order_transactions(spark, sf_dir).withColumn("TRANSACTION_VALUE", amount), f"{folder}/transactions", "json")

@@ -410,7 +410,7 @@ ORACLE = {
         WITH {CUSTOMERS} SELECT *, 'day ' || SSN AS SINCE FROM customers""",
     "load_changed_values": f"""
         WITH {RAW_CUSTOMERS}, amounts AS (
-          SELECT o_orderkey AS id, CASE WHEN o_orderkey % 50 = 7 THEN 1e30 WHEN o_orderkey % 10 = 7 THEN o_totalprice / 8 ELSE o_totalprice END AS value
+          SELECT o_orderkey AS id, CASE WHEN o_orderkey % 50 = 7 THEN 1e30 WHEN o_orderkey % 10 = 7 THEN o_totalprice + 0.003 ELSE o_totalprice END AS value
           FROM orders
         ), stored AS (
           SELECT *, CAST(CASE WHEN value < 1e16 THEN CAST(value AS DECIMAL(18, 2)) END AS DOUBLE) AS stored FROM amounts

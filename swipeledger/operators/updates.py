@@ -5,7 +5,7 @@ gives the order of the edits. Of several customers with one name, the edit
 goes to the lowest SSN of the table as it was before the batch. Names cannot be
 edited and every edit touches one field, so the last valid edit of each field
 gives the same table as the edits made one by one. SSN is the key of the table: an edit cannot give an account
-the SSN that another has, or that an earlier edit of the batch gives to another, and an account
+the SSN that another has at that point of the batch, so a number that its holder gave up by an earlier edit is free again; and an account
 without SSN cannot be edited. Every edit is applied, followed by a later one of its field, or
 rejected with a reason.
 
@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swipeledger.operators.lookups import NAME
+from swipeledger.operators.ownership import judged_claims
 from swipeledger.operators.skew import join_account
+from swipeledger.plans.shared_folder import written
 
 EDITABLE = [
     "CUST_PHONE",
@@ -73,20 +75,14 @@ def judged_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:
     )
     judged = join_account(updates, known, NAME, "left").withColumn("reason", reason).drop("known")
     wanted = F.when(F.col("reason").isNull() & (F.col("field") == "SSN"), F.col("new_value").try_cast("bigint"))
-    judged = judged.withColumn("wanted", wanted)
-    claims = (
-        judged.filter(F.col("wanted").isNotNull())
-        .groupBy("wanted").agg(F.min(F.struct("seq", "SSN"))["SSN"].alias("claimed_by"))
-    )
-    holders = customers.select(F.col("SSN").alias("wanted")).join(claims.select("wanted"), "wanted", "left_semi")
-    holders = holders.distinct().withColumn("held", F.lit(True))
-    taken = claims.join(holders, "wanted", "left")
-    in_use = (F.col("held") & (F.col("wanted") != F.col("SSN"))) | (F.col("claimed_by") != F.col("SSN"))
-    return (
-        join_account(judged, taken, ["wanted"], "left")
-        .withColumn("reason", F.when(in_use, "SSN already in use").otherwise(F.col("reason")))
-        .drop("wanted", "claimed_by", "held")
-    )
+    # Read five times from here on; a batch of edits is small beside the customers.
+    judged = written(judged.withColumn("wanted", wanted).withColumn("at", F.coalesce("seq", F.lit(-(2**63)))))
+    numbers, refused = judged_claims(judged.filter(F.col("wanted").isNotNull()).select("at", "SSN", "wanted"), customers.select("SSN"))
+    judged = join_account(judged, numbers, ["wanted"], "left")
+    in_use = F.col("never_free")
+    if refused is not None:
+        judged = join_account(judged, refused.withColumn("refused", F.lit(True)), ["at", "SSN", "wanted"], "left").withColumn("never_free", F.col("never_free") | F.col("refused"))
+    return judged.withColumn("reason", F.when(in_use, "SSN already in use").otherwise(F.col("reason"))).drop("at", "wanted", "never_free", "refused")
 
 
 def rejected_updates(customers: DataFrame, updates: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from swipeledger.operators.joins import customer_parts
 from swipeledger.operators.lookups import NAME
 from swipeledger.operators.updates import accepted_accounts, change_accounts
 from swipeledger.plans.load import CUSTOMER_ORDER, JOIN_ORDER
-from swipeledger.plans.shared_folder import passing_folder
+from swipeledger.plans.shared_folder import passing_folder, written
 from swipeledger.sinks import versions
 from swipeledger.sinks.files import write_clean
 from swipeledger.sinks.jdbc import CUSTOMER_TABLE, Database, write_jdbc
@@ -62,7 +62,7 @@ def publish_edits(spark: SparkSession, updates: DataFrame, target: str, database
     began = versions.current(spark, target)
     customers, transactions, joined = (read_clean(spark, name, path) for name, path in paths.items())
     with passing_folder(spark) as passing:
-        accepted = _written(accepted_accounts(customers, updates), f"{passing}/accepted")
+        accepted = written(accepted_accounts(customers, updates), f"{passing}/accepted")
         if accepted.isEmpty():
             return False
         new = versions.new_version_folder(paths["customers"])
@@ -72,7 +72,7 @@ def publish_edits(spark: SparkSession, updates: DataFrame, target: str, database
         moved = accepted.filter("new_CUST_ZIP IS NOT NULL OR new_CREDIT_CARD_NO IS NOT NULL")
         before = customers.join(moved, [*NAME, "SSN"], "left_semi").select("CREDIT_CARD_NO")
         cards = before.union(moved.select("new_CREDIT_CARD_NO")).filter("CREDIT_CARD_NO IS NOT NULL").distinct()
-        cards = _written(cards, f"{passing}/cards")
+        cards = written(cards, f"{passing}/cards")
         if not cards.isEmpty():
             held = joined.select("CREDIT_CARD_NO", F.col("_metadata.file_path").alias("file")).join(cards, "CREDIT_CARD_NO", "left_semi")
             files = [unquote(r["file"]) for r in held.select("file").distinct().collect()]
@@ -94,8 +94,3 @@ def publish_edits(spark: SparkSession, updates: DataFrame, target: str, database
         write_jdbc(read_clean(spark, "customers", paths["customers"]), CUSTOMER_TABLE, database, mode="overwrite")
     return True
 
-
-def _written(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written and read again, so that Spark knows its size."""
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

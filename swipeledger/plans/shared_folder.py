@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -29,3 +29,10 @@ def passing_folder(spark: SparkSession) -> Iterator[str]:
     finally:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written, to a ``new_folder`` if no path is given, and read again: what follows repeats none of its work, and Spark knows its size."""
+    path = path or new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

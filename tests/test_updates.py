@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from swipeledger import schemas
-from swipeledger.operators import updates
+from swipeledger.operators import ownership, updates
 
 
 @pytest.fixture(scope="module")
@@ -199,3 +199,59 @@ def test_random_batch_equals_edits_one_by_one(spark, customers, seed):
         (tuple(r[c] for c in customers.columns) for r in expected),
         key=lambda r: [(v is None, str(v)) for v in r],
     )
+
+
+def claims_one_by_one(claims, held):
+    """Whether each claim succeeds, made in order on a plain table of owners."""
+    owner = {s: s for s in held}
+    has = {s: s for s in held}
+    out = {}
+    for at, account, wanted in sorted(set(claims)):
+        out[at, account, wanted] = owner.get(wanted, account) == account
+        if out[at, account, wanted]:
+            owner.pop(has[account], None)
+            owner[wanted], has[account] = account, wanted
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_ssns_change_hands_in_order(spark, seed):
+    choose = random.Random(seed)
+    held = list(range(1, 9))
+    claims = [(choose.randrange(40), choose.choice(held if choose.random() < 0.6 else [1]), choose.randrange(1, 13)) for _ in range(50)]
+    expected = claims_one_by_one(claims, held)
+    table = spark.createDataFrame(claims, "at long, SSN long, wanted long")
+    accounts = spark.createDataFrame([(s,) for s in [*held, None]], "SSN long")
+    numbers, refused = ownership.judged_claims(table, accounts)
+    never = {r.wanted for r in numbers.collect() if r.never_free}
+    wrong = {tuple(r) for r in refused.collect()} | {c for c in expected if c[2] in never}
+    assert wrong == {c for c, ok in expected.items() if not ok}
+    assert {False, True} == set(expected.values())
+
+
+def test_a_chain_of_claims_takes_its_rounds(spark):
+    # Each account takes the number that the one before it has just given up; backwards in time, none could.
+    table = spark.createDataFrame([(k, k, k - 1) for k in range(1, 8)], "at long, SSN long, wanted long")
+    held = spark.createDataFrame([(k,) for k in range(1, 8)], "wanted long")
+    assert {r.ok for r in ownership.verdicts(table, held).collect()} == {True}
+    back = spark.createDataFrame([(-k, k, k - 1) for k in range(1, 8)], "at long, SSN long, wanted long")
+    assert rows(ownership.verdicts(back, held).filter("ok"), "SSN") == [(1,)]
+
+
+def test_a_number_given_up_earlier_is_free(spark, customers):
+    table = edits(
+        spark,
+        (1, "Zoe Null", "SSN", "100000004"),
+        (2, "Etta Holman", "SSN", "900000001"),
+        (3, "Zoe Null", "SSN", "100000004"),
+        (3, "Zoe Null", "SSN", "100000004"),
+    )
+    assert rows(updates.rejected_updates(customers, table), "seq", "reason") == [(1, "SSN already in use")]
+    edited = updates.apply_updates(customers, table)
+    assert rows(edited.filter("LAST_NAME IN ('Null', 'Holman')"), "SSN", "LAST_NAME") == [(100000004, "Null"), (900000001, "Holman")]
+
+
+def test_claims_of_none(spark):
+    empty = spark.createDataFrame([], "at long, SSN long, wanted long")
+    numbers, refused = ownership.judged_claims(empty, spark.createDataFrame([(1,)], "SSN long"))
+    assert numbers.count() == 0 and refused is None

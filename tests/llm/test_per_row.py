@@ -208,6 +208,23 @@ def test_runs_that_other_pages_have_go_where_no_article_is_named(spark):
         assert r.text == prose(r.page_id, 40, 40) and r.n_repeated >= len(shared.split())
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "menu", "comments"])
+def test_a_name_for_the_whole_page_is_not_furniture(name):
+    parts = "<nav>Home</nav><div class='sidebar'>aside</div>"
+    for body in (f"<body class='{name}'>{parts}<p>{prose(1, 60, 60)}</p></body>", f"<body><div id='{name}'>{parts}<div><p>{prose(1, 60, 60)}</p></div></div></body>"):
+        assert [b.text for b in main_text.blocks_of(f"<html>{body}</html>") if b.kind >= 0] == [prose(1, 60, 60)]
+    inside = f"<body><div class='{name}'><article><p>{prose(1, 60, 60)}</p></article></div></body>"
+    assert [(b.text, b.kind) for b in main_text.blocks_of(inside)] == [(prose(1, 60, 60), 1)]
+
+
+def test_equal_pages_do_not_cover_each_other(spark):
+    notice = "This very long notice stands on each and every single page of the host here."
+    bodies = [page(f"<div><p>{notice}</p></div><p>{prose(k, 40, 40)}</p>") for k in (1, 1, 1, 2)]
+    df = spark.createDataFrame([(i, f"http://c.example/{i}", h) for i, h in enumerate(bodies)], "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in main_text.main_texts(df, main_text.Rules(host_pages=2)).collect()}
+    assert out == {0: prose(1, 40, 40), 1: prose(1, 40, 40), 2: prose(1, 40, 40), 3: prose(2, 40, 40)}
+
+
 def test_repeated_by_brute_force():
     choose = random.Random(1)
     for run in (1, 2, 3, 5, 8):

@@ -109,19 +109,60 @@ SLICE = 1 << 21
 CELLS, PARTS = 1 << 20, 64
 
 
+#: Groups of near copies are told by keys, each of so many shingles: two texts of similarity 0.8 share a key with a chance of 0.98.
+KEYS, KEY_ROWS = 8, 4
+_BINS = (np.arange(KEYS * KEY_ROWS, dtype=np.uint64) << np.uint64(65 - (KEYS * KEY_ROWS).bit_length()))
+
+
+def group_keys(names: np.ndarray) -> np.ndarray:
+    """``KEYS`` numbers of a text's sorted shingles. The range of all numbers has a bin for each row of each key, and the first shingle from the bin's
+    beginning on stands for it; a bin past the last shingle takes the first."""
+    first = names[np.searchsorted(names, _BINS) % len(names)].reshape(KEYS, KEY_ROWS)
+    keys = np.arange(1, KEYS + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(KEY_ROWS):
+            keys = mixed(keys * np.uint64(31) + first[:, k])
+    return keys.view(np.int64)
+
+
+def hot_groups(texts: DataFrame, near: Near) -> dict[int, bytes]:
+    """The keys that two texts or more and over a quarter of a ``common`` share of all have, and the lowest text with each: 4 / ``common`` of each of the
+    ``KEYS`` come to the driver at most. Edited copies in smaller groups make no shingle common."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = WordHashes()
+        for batch in in_slices(batches, "text", SLICE):
+            ids, keys = [], []
+            for key, text in zip(batch.column("text_id").to_pylist(), bytes_of(batch.column("text"))):
+                names = shingles(text, near.words, number)[0]
+                if len(names):
+                    ids.append(key)
+                    keys.append(group_keys(names))
+            flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
+            offsets = pa.array(np.arange(0, KEYS * len(ids) + 1, KEYS), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.ListArray.from_arrays(offsets, flat)], names=["text_id", "keys"])
+
+    found = stored(texts.mapInArrow(keyed, "text_id binary, keys array<long>"))
+    least = max(2, int(np.floor(near.common / 4 * found.count())) + 1)
+    each = found.select("text_id", F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"), F.min("text_id").alias("text_id"))
+    return {r["key"]: bytes(r["text_id"]) for r in each.where(F.col("n") >= least).collect()}
+
+
 def common_shingles(texts: DataFrame, near: Near) -> dict[int, float]:
     """The weights of shingles that two texts or more and over a ``common`` share of all have: ln(1 / share) over ln(1 / common). ``texts``
-    are distinct, so copies add nothing; those without words do not count. Shingles whose remainder is too
+    are distinct, so copies add nothing; nor do edited copies in large groups (``hot_groups``), of which the lowest text counts, or what is common to a group
+    would weigh nothing in it. Texts without words do not count. Shingles whose remainder is too
     rare are left out first, all others are summed by name, and only those that are common come to the driver:
     at most 1 / ``common`` times the shingles of a mean text."""
+    hot = hot_groups(texts, near)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
         """The shingles of some texts, each as often as texts have it, and how many texts these are."""
         number, held, n_held = WordHashes(), [], 0
         for batch in in_slices(batches, "text", SLICE):
-            for text in bytes_of(batch.column("text")):
+            for key, text in zip(batch.column("text_id").to_pylist(), bytes_of(batch.column("text"))):
                 names = shingles(text, near.words, number)[0]
-                if len(names):
+                if len(names) and all(hot.get(k, key) == key for k in group_keys(names).tolist()):
                     held.append(names)
                     n_held += len(names)
                 if n_held > 2_000_000:

@@ -123,6 +123,16 @@ def classes_by_hand(texts, near):
     return [of[t] for t in texts]
 
 
+def test_a_group_of_edited_copies_is_one_class_whatever_its_share(spark):
+    """A third of the texts are copies of one with another line each, two of which have a plain Jaccard similarity over 0.8."""
+    base = prose(1, 400, 20).split("\n")
+    copies = ["\n".join([*base[: i % 20], prose(5000 + i, 20, 20), *base[i % 20 + 1 :]]) for i in range(80)]
+    others = [prose(9000 + i, 120) for i in range(160)]
+    found = weighted_minhash.classes(documents(spark, "\n".join(base), *copies, *others)).collect()
+    assert {r.class_id for r in found if r.id <= 80} == {0}
+    assert all(r.class_id == r.id for r in found if r.id > 80)
+
+
 def test_near_classes_with_a_third_of_copies_by_brute_force(spark):
     hot = prose(700, 104).split(" ")
     near = hot.copy()

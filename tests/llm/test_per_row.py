@@ -225,6 +225,20 @@ def test_equal_pages_do_not_cover_each_other(spark):
     assert out == {0: prose(1, 40, 40), 1: prose(1, 40, 40), 2: prose(1, 40, 40), 3: prose(2, 40, 40)}
 
 
+def test_blocks_that_most_pages_repeat_are_no_part_of_the_article(spark):
+    notice = "This very long notice stands on each and every single page of the host here."
+    body = lambda i, more: page(f"<article><p>{prose(i, 40, 40)}</p>{more}</article>")
+    quote = "A passage that two of the pages quote word by word is a part of both articles."
+    pages = [(i, "http://d.example/x", body(i, f"<p>{notice}</p>" + (f"<p>{quote}</p>" if i < 2 else ""))) for i in range(7)]
+    # Pages that differ in markup only share their whole article, which stays.
+    pages += [(100 + i, "http://e.example/x", f"<i id='{i}'></i>" + body(50, f"<p>{notice}</p>")) for i in range(6)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    expected = {i: prose(i, 40, 40) + (f" {quote}" if i < 2 else "") for i in range(7)} | {100 + i: f"{prose(50, 40, 40)} {notice}" for i in range(6)}
+    for n in (1, 30):
+        for rules in (main_text.Rules(), main_text.Rules(host_pages=7)):
+            assert {r.page_id: r.text for r in main_text.main_texts(df.repartition(n), rules).collect()} == expected
+
+
 def test_repeated_by_brute_force():
     choose = random.Random(1)
     for run in (1, 2, 3, 5, 8):

@@ -37,16 +37,14 @@ def publish_customers(
     The accepted edits are worked out once and written, and their stored size tells Spark whether they can
     be broadcast; a small batch then does not shuffle the customers. What was written of them is removed at the end."""
     customers = read_clean(spark, "customers", current, extra_fields=extra_fields)
-    with passing_folder(spark) as accepted_path:
-        accepted = accepted_accounts(customers, updates)
-        accepted.write.parquet(accepted_path)
-        accepted = spark.read.schema(accepted.schema).parquet(accepted_path)
+    with passing_folder(spark) as passing:
+        accepted = written(accepted_accounts(customers, updates), f"{passing}/accepted")
         if accepted.isEmpty():
             return current
         write_clean(change_accounts(customers, accepted), target, mode="errorifexists", sort_by=CUSTOMER_ORDER)
     if database is not None:
-        written = read_clean(spark, "customers", target, extra_fields=extra_fields)
-        write_jdbc(written, CUSTOMER_TABLE, database, mode="overwrite")
+        edited = read_clean(spark, "customers", target, extra_fields=extra_fields)
+        write_jdbc(edited, CUSTOMER_TABLE, database, mode="overwrite")
     return target
 
 

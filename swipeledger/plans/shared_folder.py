@@ -5,14 +5,19 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The innermost ``passing_folder`` that is open.
+_passing: ContextVar[str | None] = ContextVar("passing", default=None)
+
+
 def new_folder(spark: SparkSession) -> str:
-    """A fresh path in the folder named by ``spark.checkpoint.dir``. Only a local
+    """A fresh path in the folder named by ``spark.checkpoint.dir``, or in the ``passing_folder`` that is open, with which it goes. Only a local
     session without that setting gets a temporary folder of this machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = _passing.get() or spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -24,9 +29,11 @@ def new_folder(spark: SparkSession) -> str:
 def passing_folder(spark: SparkSession) -> Iterator[str]:
     """A ``new_folder`` that is gone afterwards, also after a failure."""
     path = new_folder(spark)
+    outer = _passing.set(path)
     try:
         yield path
     finally:
+        _passing.reset(outer)
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 

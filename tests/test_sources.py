@@ -192,3 +192,17 @@ def test_views_can_be_registered_twice(spark):
 
 def test_double_columns_survive_the_raw_layout():
     assert schemas.TRANSACTION_RAW["TRANSACTION_VALUE"].dataType == DoubleType()
+
+
+def test_declared_values_are_parsed_once_into_columns(spark, tmp_path):
+    """What follows the parse reads columns, not the map of a record, which it would go through for every value."""
+    lines = ['{"BRANCH_CODE": 1, "BRANCH_ZIP": "x", "branch_note": "n"}', ' {"BRANCH_CODE": "a"},\t', '{"BRANCH_CODE": 2', "", '\t{"BRANCH_CODE": null}']
+    (tmp_path / "b.json").write_text("\n".join(lines))
+    read = readers.read_records(spark, str(tmp_path / "b.json"), schemas.BRANCH_RAW, parsed_path=str(tmp_path / "parsed"))
+    kinds = dict(spark.read.parquet(str(tmp_path / "parsed")).dtypes)
+    assert sorted(kinds.values()) == sorted(["string"] * (len(schemas.BRANCH_RAW) + 1) + ["map<string,string>", "array<string>", "boolean"])
+    good = sorted(read.good.select("BRANCH_CODE", "BRANCH_ZIP", "branch_note").collect(), key=str)
+    assert [tuple(r) for r in good] == [(1, "x", "n"), (None, None, None)]
+    bad = {(r.BRANCH_CODE, tuple(r.bad_columns), r._corrupt_record) for r in read.bad.collect()}
+    assert bad == {("a", ("BRANCH_CODE",), None), (None, (), '{"BRANCH_CODE": 2')}
+    assert read.checked.columns == read.bad.columns == [*schemas.BRANCH_RAW.fieldNames(), "branch_note", "_corrupt_record", "bad_columns"]

@@ -213,12 +213,14 @@ def likely_pairs(records: np.ndarray, similarity: float, first: int) -> tuple[np
     return name[x[best]], name[y[best]], np.unique(name[more]), records[lists]
 
 
-def other_pairs(records: np.ndarray, component: np.ndarray, open_: np.ndarray, inner: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """(later, earlier) names of all lines of one word's list that may be similar and are of different components, or whose later one is
+def other_pairs(
+    records: np.ndarray, component: np.ndarray, open_: np.ndarray, inner: int, similarity: float, every: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """(later, earlier) names of all lines of one word's list that may be similar and, but for ``every``, are of different components, or whose later one is
     ``open_``. Those before ``inner`` are compared with those from there on; with one another if that is 0."""
     order = np.argsort(records["size"], kind="stable")
     name, none = records["line"], np.zeros(0, np.int64)
-    if len(records) < 2 or (component == component[0]).all() and not open_.any():
+    if len(records) < 2 or not every and (component == component[0]).all() and not open_.any():
         return none, none
     left, right = (order[order < inner], order[order >= inner]) if inner else (order, order)
     size, pos, bits = records["size"].astype(np.int64), records["pos"].astype(np.int64), np.ascontiguousarray(records["bits"])
@@ -234,7 +236,7 @@ def other_pairs(records: np.ndarray, component: np.ndarray, open_: np.ndarray, i
         y = y[(np.minimum(size[x] - pos[x], size[y] - pos[y]) >= need) & (np.bitwise_count(bits[x] ^ bits[y]).sum(1) <= size[x] + size[y] - 2 * need)]
         after = np.where(place[y] < place[x], x, y)
         before = np.where(place[y] < place[x], y, x)
-        kept = (component[after] != component[before]) | open_[after]
+        kept = every | (component[after] != component[before]) | open_[after]
         later.append(after[kept])
         earlier.append(before[kept])
     later, earlier = np.concatenate(later), np.concatenate(earlier)
@@ -349,8 +351,8 @@ def pairs_of(records: np.ndarray, join: Join, first: int) -> pa.Table:
     return pa.concat_tables([filled(len(both), {"later": both["later"], "earlier": both["earlier"]}), listed])
 
 
-def _other_pairs(lists: DataFrame, classes: DataFrame, matched: DataFrame, join: Join) -> DataFrame:
-    """(later, earlier) of all lines that share a list of ``lists`` (word, line, record), may be similar, and are not known to be of one
+def _other_pairs(lists: DataFrame, classes: DataFrame, matched: DataFrame, join: Join, every: bool) -> DataFrame:
+    """(later, earlier) of all lines that share a list of ``lists`` (word, line, record), may be similar, and, but for ``every``, are not known to be of one
     class, or whose later line has no match yet. Long lists are cut into blocks, and every two blocks are compared in a task of
     their own."""
     found = lists.join(classes, "line", "left").join(matched.select(F.col("later").alias("line")).distinct().withColumn("has", F.lit(True)), "line", "left")
@@ -371,7 +373,7 @@ def _other_pairs(lists: DataFrame, classes: DataFrame, matched: DataFrame, join:
         if i != j and inner in (0, len(own)):
             later = earlier = np.zeros(0, np.int64)
         else:
-            later, earlier = other_pairs(records, component, open_, inner, join.similarity)
+            later, earlier = other_pairs(records, component, open_, inner, join.similarity, every)
         return pa.Table.from_arrays([pa.array(later, pa.int64()), pa.array(earlier, pa.int64())], names=["later", "earlier"])
 
     return dealt.groupBy("word", "i", "j").applyInArrow(match, "later long, earlier long").distinct()
@@ -431,7 +433,9 @@ def _classes(matched: DataFrame) -> DataFrame:
     return components(matched.select(F.col("later").alias("a"), F.col("earlier").alias("b"))).withColumnRenamed("node", "line")
 
 
-def removed_lines(documents: DataFrame, join: Join = Join(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def removed_lines(
+    documents: DataFrame, join: Join = Join(), id_column: str = "doc_id", text_column: str = "text", every_link: bool = False
+) -> DataFrame:
     """One row per distinct document (id and text): ``id``, ``text_id`` (a hash of the text), ``n_lines`` (lines with a word), ``removed``, the numbers
     of the lines that go, and ``links``, for each of those (number, name of its set, name of an earlier set it matches; the
     same name if it is a copy; name of its class).
@@ -448,6 +452,9 @@ def removed_lines(documents: DataFrame, join: Join = Join(), id_column: str = "d
     sets that similar ones connect, whatever their number. A class is named by one of its sets; a set that is similar to
     no other is its own.
 
+    With ``every_link`` those lists are gone through without that exception, so every similar pair of different sets is found. ``links`` then have a
+    fifth value, with how many other sets the line's set is similar, and ``n_links`` is the sum of these numbers over the document's lines, also those that stay.
+
     Lines without a word are not counted and stay. Null and empty texts have no lines. Rows with the same id and
     text are one document here. Order of words and repeats in a line do not matter."""
     chosen = documents.select(
@@ -464,7 +471,7 @@ def removed_lines(documents: DataFrame, join: Join = Join(), id_column: str = "d
     matched = _matches(stored(found.where(F.col("later").isNotNull()).select("later", "earlier").distinct()), chosen, join)
     classes = _classes(matched)
     lists = found.where(F.col("records").isNotNull()).select(F.col("id").alias("word"), F.col("earlier").alias("line"), F.col("records").alias("record"))
-    others = stored(_other_pairs(lists, classes, matched, join))
+    others = stored(_other_pairs(lists, classes, matched, join, every_link))
     if not others.isEmpty():
         more = _matches(others, chosen, join, lines)
         if not more.isEmpty():
@@ -474,19 +481,27 @@ def removed_lines(documents: DataFrame, join: Join = Join(), id_column: str = "d
     match = matched.groupBy(F.col("later").alias("line")).agg(F.min("earlier").alias("match"))
     place = F.struct(F.coalesce(F.col("id"), F.lit(_NO_ID)).alias("id"), "at", "text_id")
     match = match.join(classes, "line", "full").select("line", "match", F.col("component").alias("class"))
+    if every_link:
+        matched = matched.distinct()
+        ends = matched.select(F.col("later").alias("line")).union(matched.select("earlier"))
+        match = match.join(ends.groupBy("line").agg(F.count("*").alias("n")), "line", "left")
     sets = lines.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies")).join(match, "line", "left")
     # Only sets that have copies or a match can lose lines.
-    losing = sets.where((F.col("copies") > 1) | F.col("match").isNotNull()).select("line", "first", "match", F.coalesce("class", "line").alias("class"))
+    more = [F.coalesce("n", F.lit(0)).cast("long").alias("n_links")] if every_link else []
+    linked = F.col("n").isNotNull() if every_link else F.col("match").isNotNull()
+    losing = sets.where((F.col("copies") > 1) | linked).select("line", "first", "match", F.coalesce("class", "line").alias("class"), *more)
     decided = join_account(lines, losing, ["line"], "left").withColumn(
         "match", F.coalesce("match", F.when(F.col("first") != place, F.col("line")))
     )
-    link = F.struct("at", "line", "match", "class")
+    link = F.struct("at", "line", "match", "class", *(["n_links"] if every_link else []))
+    total = [F.sum(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links")] if every_link else []
     by_document = decided.groupBy("id", "text_id").agg(
-        F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(F.col("match").isNotNull(), link))).alias("links")
+        F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(F.col("match").isNotNull(), link))).alias("links"), *total
     )
     empty = chosen.where(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")) == 0).select("id", "text_id").distinct()
-    empty = empty.select("id", "text_id", F.lit(0).cast("long").alias("n_lines"), F.array().cast(by_document.schema["links"].dataType).alias("links"))
-    return by_document.union(empty).select("id", "text_id", "n_lines", F.transform("links", lambda x: x["at"]).alias("removed"), "links")
+    empty = empty.select("id", "text_id", F.lit(0).cast("long").alias("n_lines"), F.array().cast(by_document.schema["links"].dataType).alias("links"), *([F.lit(0).cast("long").alias("n_links")] if every_link else []))
+    last = ["n_links"] if every_link else []
+    return by_document.union(empty).select("id", "text_id", "n_lines", F.transform("links", lambda x: x["at"]).alias("removed"), "links", *last)
 
 
 def deduped(

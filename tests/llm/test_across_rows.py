@@ -277,6 +277,17 @@ def test_a_text_with_very_many_lines(spark):
     assert {r.id: (r.n_lines, len(r.removed)) for r in out} == {0: (2**20 + 6, 2**20 + 4), 1: (2, 1)}
 
 
+@pytest.mark.parametrize("block", [20_000, 7])
+def test_every_link_of_similar_lines_is_counted(spark, block):
+    words = [f"word{i}" for i in range(20)]
+    # Each without another word: 18 of 20 words shared, so all are similar to all.
+    texts = ["\n".join(" ".join(words[:i] + words[i + 1 :]) for i in range(k, 20, 2)) + f"\nalone{k}" for k in (0, 1)]
+    found = line_dedup.removed_lines(documents(spark, *texts), line_dedup.Join(first=2, block=block), every_link=True).collect()
+    assert sum(r.n_links for r in found) == 20 * 19
+    links = [x for r in found for x in r.links]
+    assert len(links) == 19 and {x.n_links for x in links} == {19} and len({x["class"] for x in links}) == 1
+
+
 def test_line_dedup_of_awkward_rows(spark):
     df = awkward(spark)
     out = line_dedup.deduped(df)

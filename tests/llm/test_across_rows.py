@@ -317,6 +317,17 @@ def test_class_ngrams(spark):
     assert brown.score(df, empty).count() == df.count()
 
 
+def test_words_that_are_not_frequent_have_classes_by_their_places(spark):
+    """Two kinds of words of one ending, none frequent, of which training has each in the places of other, frequent words."""
+    choose = random.Random(4)
+    kinds = [[*often, *(f"{often[0]}{i}abc" for i in range(50))] for often in (["man"] * 20 + ["car"] * 20, ["go"] * 20 + ["sit"] * 20)]
+    texts = [" ".join(f"the {choose.choice(kinds[0])} to {choose.choice(kinds[1])}" for _ in range(8)) for _ in range(120)]
+    model = brown.train(documents(spark, *texts).repartition(3), brown.Size(frequent=6, endings=1, classes=6, local=10))
+    as_trained = ["the man7abc to go9abc the man30abc to go4abc", "the go9abc to man7abc the go4abc to man30abc"]
+    right, wrong = (r.score for r in brown.score(documents(spark, *as_trained), model).orderBy("doc_id").collect())
+    assert right > wrong + 3
+
+
 def test_exchange_never_lowers_the_likelihood():
     rng = np.random.default_rng(1)
     pairs = rng.poisson(0.3, (40, 40)) + np.kron(np.eye(4), rng.poisson(3, (10, 10)))

@@ -4,7 +4,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,14 +20,12 @@ _SHIFT = np.uint64(WORD_BITS)
 #: Words from this number on are frequent ones, by how frequent they are.
 _FREQUENT = 1 << (WORD_BITS - 1)
 RECORD = np.dtype([("word", "<i8"), ("line", "<i8"), ("doc", "<i8"), ("at", "<i4"), ("size", "<i4"), ("pos", "<i4"), ("bits", "<u8", 2)])
-#: How many candidates of a line in a list are looked at before the likeliest are taken.
-LOOK = 16
 
 
 @dataclass(frozen=True)
 class Join:
     """``similarity``: the least Jaccard similarity of two lines' word sets. ``ranked``: words whose rank every task gets.
-    ``first``: of the earlier lines in a word's list that may match, as many are verified at first, those that look most alike.
+    ``first``: lists in which no line has more earlier ones that may match give pairs of lines; the others are gone through again.
     ``bucket``: records of the prefix index that are worked on together. ``block``: lines of one list that are compared with as many others at
     once, where a list is gone through again."""
 
@@ -154,9 +151,8 @@ def prefix_records(lines: Lines, names: np.ndarray, doc: np.ndarray, chosen: np.
 
 
 def likely_pairs(records: np.ndarray, similarity: float, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(later, earlier) names of lines that share a word of the index and may be similar: for each line of a word's list,
-    of the earliest ones that pass the filters, ``LOOK`` times ``first`` at most, the ``first`` that differ least.
-    Also the names of lines that had more, and the records of their lists.
+    """(later, earlier) names of lines that share a word of the index and may be similar, with that word, of all lists in which no line has more than
+    ``first`` earlier ones that pass the filters, and the records of the other lists, which have none here.
 
     The filters lose no similar pair: sizes; what the words after the shared one can add; and the bits, of which each
     word turns one, so that two sets differ by as many words at least as bits."""
@@ -180,67 +176,105 @@ def likely_pairs(records: np.ndarray, similarity: float, first: int) -> tuple[np
     place = np.arange(len(records)) - head
     size, pos, bits = records["size"].astype(np.int64), records["pos"].astype(np.int64), np.ascontiguousarray(records["bits"])
     found = np.zeros(len(records), np.int64)
+    long = np.zeros(len(records) + 1, bool)  # by the first record of a list
     open_ = np.flatnonzero(place > 0)
-    later, earlier, apart, more = [], [], [], []
-    step, most = 0, LOOK * first
+    later, earlier, step = [], [], 0
     while len(open_):
         other = head[open_] + step
         a, b = size[open_], size[other]
         need = overlap(a, b, similarity)
         some = np.flatnonzero(np.minimum(a - pos[open_], b - pos[other]) >= need)
         x, y = open_[some], other[some]
-        differ = np.bitwise_count(bits[x] ^ bits[y]).sum(1).astype(np.int64)
-        passed = differ <= (a + b - 2 * need)[some]
-        x, y, differ = x[passed], y[passed], differ[passed]
-        room = found[x] < most
-        later.append(x[room])
-        earlier.append(y[room])
-        apart.append(differ[room])
-        more.append(x[~room])
+        passed = np.bitwise_count(bits[x] ^ bits[y]).sum(1) <= (a + b - 2 * need)[some]
+        x, y = x[passed], y[passed]
+        later.append(x)
+        earlier.append(y)
         found[x] += 1
+        long[head[x[found[x] > first]]] = True
         step += 1
-        open_ = open_[(place[open_] > step) & (found[open_] <= most)]
-    name, none = records["line"], np.zeros(0, np.int64)
-    if not later:
-        return none, none, none, records[:0]
-    x, y, differ, more = (np.concatenate(c) for c in (later, earlier, apart, more))
-    order = np.lexsort((y, differ, x))
-    x, y = x[order], y[order]
-    begin = np.maximum.accumulate(np.where(np.r_[True, x[1:] != x[:-1]], np.arange(len(x)), 0)) if len(x) else none
-    best = np.arange(len(x)) - begin < first
-    more = np.unique(np.concatenate([more, x[~best]]))
-    lists = np.isin(head, head[more])
-    return name[x[best]], name[y[best]], np.unique(name[more]), records[lists]
-
-
-def other_pairs(
-    records: np.ndarray, component: np.ndarray, open_: np.ndarray, inner: int, similarity: float, every: bool = False
-) -> tuple[np.ndarray, np.ndarray]:
-    """(later, earlier) names of all lines of one word's list that may be similar and, but for ``every``, are of different components, or whose later one is
-    ``open_``. Those before ``inner`` are compared with those from there on; with one another if that is 0."""
-    order = np.argsort(records["size"], kind="stable")
-    name, none = records["line"], np.zeros(0, np.int64)
-    if len(records) < 2 or not every and (component == component[0]).all() and not open_.any():
-        return none, none
-    left, right = (order[order < inner], order[order >= inner]) if inner else (order, order)
+        open_ = open_[(place[open_] > step) & ~long[head[open_]]]
+    x, y = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (later, earlier))
+    short = ~long[head[x]]
+    x, y = x[short], y[short]
+    return records["line"][x], records["line"][y], records["word"][x], records[long[head]]
+
+
+def joined_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label``, by which items are in groups named by their least, with the groups of each ``a`` and ``b`` put together."""
+    while True:
+        a, b = label[a], label[b]
+        apart = a != b
+        if not apart.any():
+            return label
+        a, b = a[apart], b[apart]
+        to = np.arange(len(label))
+        np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+        label = to[label]
+        while (label != label[label]).any():
+            label = label[label]
+
+
+#: Pairs that are held until they are added to the sums of their lines.
+HELD = 500_000
+
+
+def links_in(records: np.ndarray, words: list[np.ndarray], inner: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of one word's list, all lines that are similar to others of it: the name, how many they are, the least name of the earlier ones (its own if there is none), and the name
+    of one that similar lines connect it with. Those before ``inner`` are compared with those from there on; with one another if that is 0. ``words``: the lines' sets in
+    ascending order. A pair counts in the list of the first word that both have, and only there, so it counts once."""
+    name, n_lines = records["line"], len(records)
     size, pos, bits = records["size"].astype(np.int64), records["pos"].astype(np.int64), np.ascontiguousarray(records["bits"])
-    place = np.empty(len(records), np.int64)
-    place[np.lexsort((name, records["at"], records["doc"]))] = np.arange(len(records))
-    later, earlier = [], []
+    flat = np.concatenate(words)
+    known, flat = np.unique(flat, return_inverse=True)
+    before_word = np.searchsorted(known, records["word"][0])
+    lengths = np.array([len(w) for w in words])
+    start = np.cumsum(lengths) - lengths
+    order = np.argsort(size, kind="stable")
+    left, right = (order[order < inner], order[order >= inner]) if inner else (order, order)
+    place = np.empty(n_lines, np.int64)
+    place[np.lexsort((name, records["at"], records["doc"]))] = np.arange(n_lines)
+    n, match, label, mark = np.zeros(n_lines, np.int64), name.copy(), np.arange(n_lines), np.zeros(len(known), np.int64)
+    matched = np.zeros(n_lines, bool)
+    held, n_held = [], 0
+
+    def add() -> np.ndarray:
+        x, y = (np.concatenate(c) for c in zip(*held))
+        after, before = np.where(place[y] < place[x], x, y), np.where(place[y] < place[x], y, x)
+        n[:] += np.bincount(x, minlength=n_lines) + np.bincount(y, minlength=n_lines)
+        fresh = np.unique(after)
+        match[fresh[~matched[fresh]]] = np.iinfo(np.int64).max
+        matched[fresh] = True
+        np.minimum.at(match, after, name[before])
+        return joined_labels(label, x, y)
+
     for x in left.tolist():
         # Of similar sets neither has less than its share of the other's size; each pair is met once.
         least = np.searchsorted(size[right], np.ceil(similarity * size[x] - 1e-9))
         y = right[least : np.searchsorted(size[right], np.floor(size[x] / similarity + 1e-9), "right")]
         y = y[(name[y] != name[x]) & ((inner > 0) | (place[y] < place[x]))]
         need = overlap(size[x], size[y], similarity)
-        y = y[(np.minimum(size[x] - pos[x], size[y] - pos[y]) >= need) & (np.bitwise_count(bits[x] ^ bits[y]).sum(1) <= size[x] + size[y] - 2 * need)]
-        after = np.where(place[y] < place[x], x, y)
-        before = np.where(place[y] < place[x], y, x)
-        kept = every | (component[after] != component[before]) | open_[after]
-        later.append(after[kept])
-        earlier.append(before[kept])
-    later, earlier = np.concatenate(later), np.concatenate(earlier)
-    return name[later], name[earlier]
+        some = (np.minimum(size[x] - pos[x], size[y] - pos[y]) >= need) & (np.bitwise_count(bits[x] ^ bits[y]).sum(1) <= size[x] + size[y] - 2 * need)
+        y, need = y[some], need[some]
+        if not len(y):
+            continue
+        own = flat[start[x] : start[x] + lengths[x]]
+        mark[own] = np.where(own < before_word, 1 << 40, 1)
+        ends = np.cumsum(lengths[y])
+        theirs = flat[np.repeat(start[y] - (ends - lengths[y]), lengths[y]) + np.arange(ends[-1])]
+        # A word that both have before this list's is as much as makes any sum too large.
+        shared = np.add.reduceat(mark[theirs], ends - lengths[y])
+        mark[own] = 0
+        y = y[(shared >= need) & (shared < 1 << 40)]
+        if len(y):
+            held.append((np.full(len(y), x), y))
+            n_held += len(y)
+            if n_held > HELD:
+                label = add()
+                held, n_held = [], 0
+    if held:
+        label = add()
+    some = np.flatnonzero(n)
+    return name[some], n[some], match[some], name[label[some]]
 
 
 def _word_counts(documents: DataFrame) -> DataFrame:
@@ -271,7 +305,7 @@ FOUND = "later long, earlier long, records binary, line long, id long, text_id l
 
 def _matched(documents: DataFrame, ranks: np.ndarray, join: Join, buckets: int) -> DataFrame:
     """One pass over the texts. Tasks send two kinds of records, packed by bucket: the prefix index by word, and all lines' places by text.
-    A bucket of words gives (later, earlier), and of lists in which a line had more each of the ``records`` with its word, as ``id``, and its
+    A bucket of words gives (later, earlier) with the word of their list, as ``id``, and of lists in which a line had more each of the ``records`` with its word, as ``id``, and its
     line, as ``earlier``. Places only pass through, spread by text: (``line``, ``id``, ``text_id``, ``at``)."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,58 +377,47 @@ def filled(n: int, columns: dict) -> pa.Table:
 
 
 def pairs_of(records: np.ndarray, join: Join, first: int) -> pa.Table:
-    later, earlier, _, lists = likely_pairs(records, join.similarity, first)
-    both = pd.DataFrame({"later": later, "earlier": earlier}).drop_duplicates()
+    later, earlier, word, lists = likely_pairs(records, join.similarity, first)
     data = np.ascontiguousarray(lists).tobytes()
     each = [data[i : i + RECORD.itemsize] for i in range(0, len(data), RECORD.itemsize)]
     listed = filled(len(lists), {"records": each, "id": lists["word"], "earlier": lists["line"]})
-    return pa.concat_tables([filled(len(both), {"later": both["later"], "earlier": both["earlier"]}), listed])
+    return pa.concat_tables([filled(len(later), {"later": later, "earlier": earlier, "id": word}), listed])
 
 
-def _other_pairs(lists: DataFrame, classes: DataFrame, matched: DataFrame, join: Join, every: bool) -> DataFrame:
-    """(later, earlier) of all lines that share a list of ``lists`` (word, line, record), may be similar, and, but for ``every``, are not known to be of one
-    class, or whose later line has no match yet. Long lists are cut into blocks, and every two blocks are compared in a task of
-    their own."""
-    found = lists.join(classes, "line", "left").join(matched.select(F.col("later").alias("line")).distinct().withColumn("has", F.lit(True)), "line", "left")
-    found = found.select("word", "record", F.coalesce("component", "line").alias("component"), F.col("has").isNull().alias("open"), F.xxhash64("line").alias("h"))
+def _linked(lists: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """(line, n, match, link) of the lines that are similar to others in a list of ``lists`` (word, line, record), of a line some rows: with how many, the least name of the earlier
+    ones (null if there is none), and the name of a line of the same class. ``sets``: (line, words). Pairs are added up where they are found. Long lists are cut into blocks,
+    and every two blocks are compared in a task of their own."""
+    found = lists.join(sets, "line").withColumn("h", F.xxhash64("line"))
     sizes = lists.groupBy("word").agg(F.ceil(F.count("*") / join.block).cast("int").alias("blocks"))
     dealt = found.join(sizes, "word").withColumn("own", F.pmod("h", "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("word", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "component", "open", "record")
+    dealt = dealt.select("word", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "record", "words")
 
     def match(key, table):
         own = table.column("own").to_numpy()
         order = np.argsort(own, kind="stable")
-        records = np.frombuffer(b"".join(table.column("record").to_pylist()), RECORD)[order]
-        component = table.column("component").to_numpy()[order]
-        open_ = np.asarray(table.column("open").to_pylist(), bool)[order]
         i, j = key[1].as_py(), key[2].as_py()
         inner = 0 if i == j else int((own == i).sum())
-        if i != j and inner in (0, len(own)):
-            later = earlier = np.zeros(0, np.int64)
+        if len(own) < 2 or i != j and inner in (0, len(own)):
+            line = n = match = link = np.zeros(0, np.int64)
         else:
-            later, earlier = other_pairs(records, component, open_, inner, join.similarity, every)
-        return pa.Table.from_arrays([pa.array(later, pa.int64()), pa.array(earlier, pa.int64())], names=["later", "earlier"])
+            records = np.frombuffer(b"".join(table.column("record").to_pylist()), RECORD)[order]
+            words = table.column("words").to_pylist()
+            line, n, match, link = links_in(records, [np.frombuffer(words[k], np.int64) for k in order.tolist()], inner, join.similarity)
+        return pa.Table.from_arrays([pa.array(line), pa.array(n), pa.array(match, mask=match == line), pa.array(link)], names=["line", "n", "match", "link"])
 
-    return dealt.groupBy("word", "i", "j").applyInArrow(match, "later long, earlier long").distinct()
+    return dealt.groupBy("word", "i", "j").applyInArrow(match, "line long, n long, match long, link long")
 
 
-def _word_sets(documents: DataFrame, names: DataFrame, lines: DataFrame | None = None) -> DataFrame:
-    """(line, words) of the lines with these names, and of few others: a filter of them goes to every task. With ``lines``, the places of
-    all lines, only texts that are the first to have one are cut into words; that is for few names."""
+def _word_sets(documents: DataFrame, names: DataFrame, ranks: np.ndarray) -> DataFrame:
+    """(line, words) of the lines with these names, and of few others: a filter of them goes to every task."""
     names = stored(names)
-    wanted, texts = filter_of(names, names.count()), None
-    if lines is not None:
-        first = lines.join(names.withColumnRenamed("name", "line"), "line").groupBy("line").agg(F.min("text_id").alias("text_id"))
-        first = stored(first.select("text_id").distinct())
-        texts = filter_of(first, first.count())
+    wanted = filter_of(names, names.count())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Only equality counts here, so no word needs its rank.
-        number, seen = Numbers(np.zeros(0, np.uint64)), set()
+        number, seen = Numbers(ranks), set()
         for batch in in_slices(batches, "text", SLICE):
-            if texts is not None:
-                batch = batch.filter(pa.array(passing(texts, batch.column("text_id").to_numpy())))
             lines = lines_of(bytes_of(batch.column("text")), number)
             names = number.names(lines)
             kept = [i for i in np.flatnonzero(passing(wanted, names)).tolist() if not (names[i] in seen or seen.add(names[i]))]
@@ -403,29 +426,23 @@ def _word_sets(documents: DataFrame, names: DataFrame, lines: DataFrame | None =
             words = [lines.words[lines.start[i] : lines.start[i + 1]].tobytes() for i in kept]
             yield pa.RecordBatch.from_arrays([pa.array(names[kept], pa.int64()), pa.array(words, pa.binary())], names=["line", "words"])
 
-    return documents.mapInArrow(sets, "line long, words binary").groupBy("line").agg(F.first("words").alias("words"))
+    return documents.select("text").mapInArrow(sets, "line long, words binary").groupBy("line").agg(F.first("words").alias("words"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose word sets have the similarity."""
+    """(later, earlier) of the ``pairs`` (later, earlier, word) whose word sets have the similarity and whose first common word this is, so each comes once."""
     a = sets.select(F.col("line").alias("later"), F.col("words").alias("a"))
     b = sets.select(F.col("line").alias("earlier"), F.col("words").alias("b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                shared = len(np.intersect1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True))
-                keep.append(shared >= similarity * ((len(x) + len(y)) // 8 - shared) - 1e-9)
+            for word, x, y in zip(*(batch.column(c).to_pylist() for c in ("word", "a", "b"))):
+                shared = np.intersect1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True)
+                keep.append(len(shared) > 0 and shared[0] == word and len(shared) >= similarity * ((len(x) + len(y)) // 8 - len(shared)) - 1e-9)
             yield batch.select(["later", "earlier"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(a, "later").join(b, "earlier").select("later", "earlier", "a", "b").mapInArrow(check, "later long, earlier long")
-
-
-def _matches(pairs: DataFrame, chosen: DataFrame, join: Join, lines: DataFrame | None = None) -> DataFrame:
-    """The pairs that are similar, written."""
-    names = pairs.select(F.col("later").alias("name")).union(pairs.select("earlier")).distinct()
-    return stored(_verified(pairs, _word_sets(chosen, names, lines), join.similarity))
+    return pairs.join(a, "later").join(b, "earlier").select("later", "earlier", "word", "a", "b").mapInArrow(check, "later long, earlier long")
 
 
 def _classes(matched: DataFrame) -> DataFrame:
@@ -445,14 +462,14 @@ def removed_lines(
     numbers, null last), then a lower line number; whether the earlier line itself goes does not matter.
 
     Copies are gathered first, with their first place. Each distinct set is indexed by its rarest
-    words, as many as a similar set must share one of. In a word's list each set is compared with the earliest
-    ones that pass the filters, and the ``first`` likeliest of them are verified. Lists in which a set had more are gone through once more: every
-    two sets that may be similar are verified unless their links have put them into one class already, or if the later one
-    has no match. So a group of near copies gives few pairs each and not all, yet no removal is missed, and a class holds all
-    sets that similar ones connect, whatever their number. A class is named by one of its sets; a set that is similar to
+    words, as many as a similar set must share one of. In a word's list each set is compared with the earlier
+    ones, and the pairs that pass the filters are verified. Lists in which a set had more than ``first`` of those are gone through once more, and
+    their pairs are verified, counted and connected where they are found: a group of near copies gives a row for each line and not for each pair.
+    Every similar pair of different sets is met, once, in the list of the first word that both have. A class holds all
+    sets that similar ones connect, whatever their number. It is named by one of its sets; a set that is similar to
     no other is its own.
 
-    With ``every_link`` those lists are gone through without that exception, so every similar pair of different sets is found. ``links`` then have a
+    With ``every_link``, ``links`` have a
     fifth value, with how many other sets the line's set is similar, and ``n_links`` is the sum of these numbers over the document's lines, also those that stay.
 
     Lines without a word are not counted and stay. Null and empty texts have no lines. Rows with the same id and
@@ -468,28 +485,23 @@ def removed_lines(
 
     found = _matched(chosen, ranks, join, buckets)
     lines = found.where(F.col("line").isNotNull()).select("line", "id", "text_id", "at")
-    matched = _matches(stored(found.where(F.col("later").isNotNull()).select("later", "earlier").distinct()), chosen, join)
-    classes = _classes(matched)
+    pairs = found.where(F.col("later").isNotNull()).select("later", "earlier", F.col("id").alias("word"))
     lists = found.where(F.col("records").isNotNull()).select(F.col("id").alias("word"), F.col("earlier").alias("line"), F.col("records").alias("record"))
-    others = stored(_other_pairs(lists, classes, matched, join, every_link))
-    if not others.isEmpty():
-        more = _matches(others, chosen, join, lines)
-        if not more.isEmpty():
-            matched = matched.unionByName(more)
-            # What was one class stays one.
-            classes = _classes(more.unionByName(classes.select(F.col("line").alias("later"), F.col("component").alias("earlier"))))
-    match = matched.groupBy(F.col("later").alias("line")).agg(F.min("earlier").alias("match"))
+    names = pairs.select(F.col("later").alias("name")).union(pairs.select("earlier")).union(lists.select("line")).distinct()
+    words = stored(_word_sets(chosen, names, ranks))
+    matched = stored(_verified(pairs, words, join.similarity))
+    linked = stored(_linked(lists, words, join))
+    classes = _classes(matched.unionByName(linked.select(F.col("line").alias("later"), F.col("link").alias("earlier"))))
+    match = matched.select(F.col("later").alias("line"), F.lit(1).alias("n"), F.col("earlier").alias("match")).union(linked.select("line", "n", "match"))
+    match = match.union(matched.select("earlier", F.lit(1), F.lit(None).cast("long")))
+    match = match.groupBy("line").agg(F.sum("n").alias("n"), F.min("match").alias("match")).join(classes, "line", "left")
+    match = match.select("line", "match", F.col("component").alias("class"), "n")
     place = F.struct(F.coalesce(F.col("id"), F.lit(_NO_ID)).alias("id"), "at", "text_id")
-    match = match.join(classes, "line", "full").select("line", "match", F.col("component").alias("class"))
-    if every_link:
-        matched = matched.distinct()
-        ends = matched.select(F.col("later").alias("line")).union(matched.select("earlier"))
-        match = match.join(ends.groupBy("line").agg(F.count("*").alias("n")), "line", "left")
     sets = lines.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies")).join(match, "line", "left")
     # Only sets that have copies or a match can lose lines.
     more = [F.coalesce("n", F.lit(0)).cast("long").alias("n_links")] if every_link else []
-    linked = F.col("n").isNotNull() if every_link else F.col("match").isNotNull()
-    losing = sets.where((F.col("copies") > 1) | linked).select("line", "first", "match", F.coalesce("class", "line").alias("class"), *more)
+    has_link = F.col("n").isNotNull() if every_link else F.col("match").isNotNull()
+    losing = sets.where((F.col("copies") > 1) | has_link).select("line", "first", "match", F.coalesce("class", "line").alias("class"), *more)
     decided = join_account(lines, losing, ["line"], "left").withColumn(
         "match", F.coalesce("match", F.when(F.col("first") != place, F.col("line")))
     )

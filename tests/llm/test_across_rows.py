@@ -288,6 +288,30 @@ def test_every_link_of_similar_lines_is_counted(spark, block):
     assert len(links) == 19 and {x.n_links for x in links} == {19} and len({x["class"] for x in links}) == 1
 
 
+@pytest.mark.parametrize(("first", "block", "ranked"), [(1, 7, 40), (4, 20_000, 10_000)])
+def test_links_by_brute_force(spark, first, block, ranked):
+    """Lines that share several rare words are linked once, whichever lists they meet in."""
+    choose = random.Random(first)
+    base = [[f"w{choose.randrange(80)}" for _ in range(choose.choice([2, 6, 12, 25]))] for _ in range(12)]
+    texts = ["\n".join(" ".join([*line[: -choose.randint(1, 2)], *choose.choice([[], ["x"], [f"y{choose.randrange(9)}"]])]) for line in choose.choices(base, k=5)) for _ in range(60)]
+    out = line_dedup.removed_lines(documents(spark, *texts).repartition(3), line_dedup.Join(first=first, ranked=ranked, bucket=300, block=block), every_link=True)
+    sets = [[frozenset(line.split()) for line in t.split("\n") if line.split()] for t in texts]
+    different = {x for t in sets for x in t}
+    links = {x: sum(x != y and len(x & y) >= 0.8 * len(x | y) - 1e-9 for y in different) for x in different}
+    assert sum(links.values()) > 100
+    assert {r.id: r.n_links for r in out.collect()} == {i: sum(links[x] for x in t) for i, t in enumerate(sets)}
+
+
+def test_a_group_of_similar_lines_gives_rows_for_lines_and_not_for_pairs(spark):
+    records = np.zeros(60, line_dedup.RECORD)
+    words = [np.array([5, *range(100, 120), 1000 + i]) for i in range(60)]
+    records["word"], records["line"], records["doc"], records["size"] = 5, np.arange(60) + 7, np.arange(60), 22
+    line, n, match, link = line_dedup.links_in(records, words, 0, 0.8)
+    assert line.tolist() == list(range(7, 67)) and set(n.tolist()) == {59} and set(match.tolist()) == {7} and set(link.tolist()) == {7}
+    pairs = line_dedup.pairs_of(records, line_dedup.Join(), 4)
+    assert len(pairs) == 60 and pairs.column("later").null_count == 60
+
+
 def test_line_dedup_of_awkward_rows(spark):
     df = awkward(spark)
     out = line_dedup.deduped(df)

@@ -13,11 +13,13 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swipeledger.llm.common import stored
+from swipeledger.llm.common import give_back, stored
 
 #: Fixed value: how the byte-level vocabulary cuts a text before its merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END_ID = 0
+#: How many words and their ids a task remembers.
+REMEMBERED = 400_000
 PIECES = "piece int, start long, length long, ids_crc32 long, salt long"
 
 
@@ -41,7 +43,7 @@ def added_tokens(path: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in added}
 
 
-def encoder(path: str, remembered: int = 400_000, added: bool = False) -> Callable[[str], list[bytes]]:
+def encoder(path: str, remembered: int = REMEMBERED, added: bool = False) -> Callable[[str], list[bytes]]:
     """A function from a text to its ids, as runs of little-endian 32-bit numbers. A single space before
     something that is no white space always begins a new token, so the parts between such spaces are
     encoded one by one and remembered, ``remembered`` at most. With ``added``, names of added tokens in a text are those
@@ -90,13 +92,14 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, size) for at in range(first, n, size))]
 
 
-def tokenised(documents: DataFrame, tokenizer: str, size: int, id_column: str = "doc_id", text_column: str = "text", added: bool = False) -> DataFrame:
+def tokenised(documents: DataFrame, tokenizer: str, size: int, id_column: str = "doc_id", text_column: str = "text", added: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece of every document: the id, ``piece``, ``start``, ``length``, ``ids_crc32``
     and ``salt``, a number that spreads pieces evenly, also those of repeated rows."""
     chosen = documents.select(id_column, text_column)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded = encoder(tokenizer, added=added)
+        give_back()
+        encoded = encoder(tokenizer, remembered, added)
         end, row = np.array([END_ID], "<u4").tobytes(), 0
         for batch in batches:
             taken, found = [], []
@@ -199,7 +202,7 @@ def swapped(lengths: np.ndarray, where: np.ndarray, size: int) -> np.ndarray:
     return where
 
 
-def packed(documents: DataFrame, tokenizer: str, size: int = 2048, block_items: int = 8192, id_column: str = "doc_id", text_column: str = "text", added: bool = False) -> DataFrame:
+def packed(documents: DataFrame, tokenizer: str, size: int = 2048, block_items: int = 8192, id_column: str = "doc_id", text_column: str = "text", added: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece of every document: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``,
     ``sequence_id`` and ``offset``, the place in its sequence. Sequences have at most ``size`` tokens.
 
@@ -211,7 +214,7 @@ def packed(documents: DataFrame, tokenizer: str, size: int = 2048, block_items:
     any length is cut, never shortened. Columns beyond the id and the text are left out. An
     empty table gives an empty result."""
     spark = documents.sparkSession
-    pieces = stored(tokenised(documents, tokenizer, size, id_column, text_column, added))
+    pieces = stored(tokenised(documents, tokenizer, size, id_column, text_column, added, remembered))
     id_type = pieces.dtypes[0][1]
     schema = f"`{id_column}` {id_type}, {PIECES}, sequence_id long, offset long, fill long"
 

@@ -2,6 +2,7 @@
 
 import html
 import random
+import tracemalloc
 import zlib
 
 import duckdb
@@ -273,3 +274,13 @@ def test_word_hashes_are_those_of_the_words():
         for w, h in zip(words, found.tolist()):
             assert seen.setdefault(w, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_the_encoder_of_the_pipeline_holds_few_words():
+    encode = packing.encoder(TOKENIZER, corpus_pipeline.REMEMBERED)
+    tracemalloc.start()
+    for k in range(500):
+        encode(" ".join(f"{k}w{i}" for i in range(500)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000

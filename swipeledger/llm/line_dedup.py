@@ -19,13 +19,15 @@ _LOW = np.uint64((1 << WORD_BITS) - 1)
 _SHIFT = np.uint64(WORD_BITS)
 #: Words from this number on are frequent ones, by how frequent they are.
 _FREQUENT = 1 << (WORD_BITS - 1)
+#: What the index sends, and the same with the line's first place, which comes with its words.
+INDEX = np.dtype([("word", "<i8"), ("line", "<i8"), ("size", "<i4"), ("pos", "<i4"), ("bits", "<u8", 2)])
 RECORD = np.dtype([("word", "<i8"), ("line", "<i8"), ("doc", "<i8"), ("at", "<i4"), ("size", "<i4"), ("pos", "<i4"), ("bits", "<u8", 2)])
 
 
 @dataclass(frozen=True)
 class Join:
     """``similarity``: the least Jaccard similarity of two lines' word sets. ``ranked``: words whose rank every task gets.
-    ``first``: lists in which no line has more earlier ones that may match give pairs of lines; the others are gone through again.
+    ``first``: lists in which no line has more before it that may match give pairs of lines; the others are gone through again.
     ``bucket``: records of the prefix index that are worked on together. ``block``: lines of one list that are compared with as many others at
     once, where a list is gone through again."""
 
@@ -56,16 +58,18 @@ class Numbers:
     def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         hashes, start = self.hashes(data)
         found = hashes & np.uint64(_FREQUENT - 1)
-        cell, out = (found & self.mask).astype(np.int64), found
-        for k, ranks in enumerate(self.tables):
-            # Few words share a cell with others, so few go beyond the first table.
-            some = None if k == 0 else np.flatnonzero(ranks[cell] >= 0)
-            rank = ranks[cell] if k == 0 else ranks[cell[some]]
-            same = (rank >= 0) & (self.by_rank[rank] == (found if k == 0 else found[some]))
-            if k == 0:
+        cell, out, left = (found & self.mask).astype(np.int64), found, None
+        for ranks in self.tables:
+            # Few words share a cell with others, and only those that no table has yet go on to the next.
+            here = found if left is None else found[left]
+            rank = ranks[cell if left is None else cell[left]]
+            same = (rank >= 0) & (self.by_rank[rank] == here)
+            if left is None:
                 out = np.where(same, np.uint64(_FREQUENT) + rank.astype(np.uint64), found)
+                left = np.flatnonzero(~same)
             else:
-                out[some[same]] = np.uint64(_FREQUENT) + rank[same].astype(np.uint64)
+                out[left[same]] = np.uint64(_FREQUENT) + rank[same].astype(np.uint64)
+                left = left[~same]
         return out, start
 
     def names(self, lines: "Lines") -> np.ndarray:
@@ -99,10 +103,9 @@ def lines_of(texts: list[bytes], number: Numbers) -> Lines:
     ids, begin = number(data)
     if not len(ids):
         return Lines(*(np.zeros(0, np.int64),) * 3, np.zeros(1, np.int64))
-    breaks = np.frombuffer(data, np.uint8) == 10
-    ends = np.flatnonzero(breaks)
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
     first = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-    line = np.cumsum(breaks, dtype=np.int32)[begin].astype(np.int64)
+    line = np.repeat(np.arange(len(ends) + 1), np.diff(np.r_[0, np.searchsorted(begin, ends), len(begin)]))
     changes = np.r_[True, line[1:] != line[:-1]]
     new = np.flatnonzero(changes)
     of_word, n = line[new], np.cumsum(changes) - 1
@@ -120,10 +123,8 @@ def lines_of(texts: list[bytes], number: Numbers) -> Lines:
     return Lines(row.astype(np.int64), at.astype(np.int64), words, np.searchsorted(parts, np.arange(len(of_word) + 1)))
 
 
-#: About as many characters make a word, to size the buckets.
-CHARS_PER_WORD = 6
 #: Texts of about as many bytes are worked on at once, and so many lines are numbered beside a word's number.
-SLICE, MOST_LINES = 1 << 20, 1 << (64 - WORD_BITS)
+SLICE, MOST_LINES = 1 << 18, 1 << (64 - WORD_BITS)
 
 
 def overlap(a, b, similarity: float):
@@ -131,72 +132,84 @@ def overlap(a, b, similarity: float):
     return np.ceil(similarity / (1 + similarity) * (a + b) - 1e-9).astype(np.int64)
 
 
-def prefix_records(lines: Lines, names: np.ndarray, doc: np.ndarray, chosen: np.ndarray, similarity: float) -> np.ndarray:
-    """A record for each of the rarest words of the ``chosen`` lines: two similar sets share one of these."""
+def prefix_records(lines: Lines, names: np.ndarray, chosen: np.ndarray, again: np.ndarray, similarity: float) -> np.ndarray:
+    """A record for each of the rarest words of the ``chosen`` lines: two similar sets share one of these; and one for the rarest word of those that come ``again``.
+    ``bits`` are those that the words from this one on turn."""
     size = lines.size
-    length = np.where(chosen, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
+    length = np.where(chosen, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, again)
     which = np.repeat(np.arange(len(size)), length)
     pos = np.arange(len(which)) - np.repeat(np.cumsum(length) - length, length)
     spread = mixed(lines.words.astype(np.uint64))
     bit = np.uint64(1) << (spread & np.uint64(63))
     half = (spread >> np.uint64(6)) & np.uint64(1)
-    out = np.zeros(len(which), RECORD)
-    out["word"], out["line"], out["doc"] = lines.words[lines.start[which] + pos], names[which], doc[which]
-    out["at"], out["size"], out["pos"] = lines.at[which], size[which], pos
-    if len(size):
-        for h in (0, 1):
-            parity = np.bitwise_xor.reduceat(np.where(half == h, bit, np.uint64(0)), lines.start[:-1])
-            out["bits"][:, h] = parity[which]
+    out = np.zeros(len(which), INDEX)
+    out["word"], out["line"] = lines.words[lines.start[which] + pos], names[which]
+    out["size"], out["pos"] = size[which], pos
+    for h in (0, 1):
+        turned = np.zeros(len(bit) + 1, np.uint64)
+        np.bitwise_xor.accumulate(np.where(half == h, bit, np.uint64(0)), out=turned[1:])
+        out["bits"][:, h] = turned[lines.start[which + 1]] ^ turned[lines.start[which] + pos]
     return out
 
 
-def likely_pairs(records: np.ndarray, similarity: float, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(later, earlier) names of lines that share a word of the index and may be similar, with that word, of all lists in which no line has more than
-    ``first`` earlier ones that pass the filters, and the records of the other lists, which have none here.
-
-    The filters lose no similar pair: sizes; what the words after the shared one can add; and the bits, of which each
-    word turns one, so that two sets differ by as many words at least as bits."""
+#: Bits for a line's size beside its word while records are sorted, and the longest lists of which every pair meets the filters at once.
+SIZE_BITS, LOOKED = 64 - WORD_BITS, 4_000
+
+
+def likely_pairs(records: np.ndarray, similarity: float, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two names of lines that share a word of the index and may be similar, with that word, of all lists in which no line has more than
+    ``first`` before it that pass the filters; the records of the other lists, which have none here, without those that no filter lets pass with any; and the names that came more
+    than once. Of lists with more than ``LOOKED`` records all are returned once a line has more: they are not looked at to their end here.
+
+    The filters lose no similar pair in the list of the first word that both have, where it counts: sizes; what the words after the shared one can add; and the bits, of which each
+    word from the shared one on turns one, so that two sets differ there by as many words at least as bits. The words before it are in one of the sets only."""
+    word, line = (np.ascontiguousarray(records[c]) for c in ("word", "line"))
+    # The same set from several tasks is one record. Lists are in order of sizes, so that those a line may match stand right before it.
+    order = np.argsort(mixed(word.view(np.uint64)) ^ line.view(np.uint64))
+    same = np.zeros(len(records), bool)
+    same[1:] = (word[order][1:] == word[order][:-1]) & (line[order][1:] == line[order][:-1])
+    copied = np.unique(line[order[same]])
+    records = records[order[~same]]
+    size = records["size"].astype(np.int64)
+    key = (records["word"].view(np.uint64) << np.uint64(SIZE_BITS)) | np.minimum(size, (1 << SIZE_BITS) - 1).astype(np.uint64)
+    order = np.argsort(key)
+    word = records["word"][order]
     # Words that one record alone has give no pair.
-    word = np.ascontiguousarray(records["word"])
-    order = np.argsort(word, kind="stable")
-    word = word[order]
-    same = word[1:] == word[:-1]
-    records = records[order[np.r_[False, same] | np.r_[same, False]]] if len(word) > 1 else records[:0]
-    # The same set from several tasks: its first place counts.
-    word, line, doc, at = (np.ascontiguousarray(records[c]) for c in ("word", "line", "doc", "at"))
-    order = np.lexsort((at, doc, line, word))
-    new = np.ones(len(records), bool)
-    new[1:] = (word[order][1:] != word[order][:-1]) | (line[order][1:] != line[order][:-1])
-    order = order[new]
-    order = order[np.lexsort((line[order], at[order], doc[order], word[order]))]
-    records = records[order]
+    alike = word[1:] == word[:-1]
+    order = order[np.r_[False, alike] | np.r_[alike, False]] if len(word) > 1 else order[:0]
+    records, size, key = records[order], size[order], key[order]
     begins = np.ones(len(records), bool)
     begins[1:] = records["word"][1:] != records["word"][:-1]
     head = np.maximum.accumulate(np.where(begins, np.arange(len(records)), 0))
-    place = np.arange(len(records)) - head
-    size, pos, bits = records["size"].astype(np.int64), records["pos"].astype(np.int64), np.ascontiguousarray(records["bits"])
-    found = np.zeros(len(records), np.int64)
+    least = np.minimum(np.ceil(similarity * size - 1e-9).astype(np.int64), (1 << SIZE_BITS) - 1).astype(np.uint64)
+    place = np.arange(len(records))
+    place -= np.searchsorted(key, (records["word"].view(np.uint64) << np.uint64(SIZE_BITS)) | least)
+    pos, bits = records["pos"].astype(np.int64), np.ascontiguousarray(records["bits"])
+    found, near = np.zeros(len(records), np.int64), np.zeros(len(records), bool)
     long = np.zeros(len(records) + 1, bool)  # by the first record of a list
+    whole = np.bincount(head, minlength=len(records) + 1) <= LOOKED  # lists that are looked at to their end
     open_ = np.flatnonzero(place > 0)
-    later, earlier, step = [], [], 0
+    ones, others, step = [], [], 1
     while len(open_):
-        other = head[open_] + step
+        other = open_ - step
         a, b = size[open_], size[other]
         need = overlap(a, b, similarity)
         some = np.flatnonzero(np.minimum(a - pos[open_], b - pos[other]) >= need)
         x, y = open_[some], other[some]
-        passed = np.bitwise_count(bits[x] ^ bits[y]).sum(1) <= (a + b - 2 * need)[some]
+        passed = np.bitwise_count(bits[x] ^ bits[y]).sum(1) <= (a + b - 2 * need)[some] - pos[x] - pos[y]
         x, y = x[passed], y[passed]
-        later.append(x)
-        earlier.append(y)
+        near[x] = near[y] = True
         found[x] += 1
         long[head[x[found[x] > first]]] = True
+        kept = ~long[head[x]]
+        ones.append(x[kept])
+        others.append(y[kept])
         step += 1
-        open_ = open_[(place[open_] > step) & ~long[head[open_]]]
-    x, y = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (later, earlier))
+        open_ = open_[(place[open_] >= step) & (whole | ~long)[head[open_]]]
+    x, y = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (ones, others))
     short = ~long[head[x]]
     x, y = x[short], y[short]
-    return records["line"][x], records["line"][y], records["word"][x], records[long[head]]
+    return records["line"][x], records["line"][y], records["word"][x], records[long[head] & (near | ~whole[head])], copied
 
 
 def joined_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -214,8 +227,21 @@ def joined_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
             label = label[label]
 
 
-#: Pairs that are held until they are added to the sums of their lines.
-HELD = 500_000
+#: Pairs that are held until they are added to the sums of their lines; pairs, marks of words and words that are looked at together.
+HELD, PAIRS, MARKS, WORDS = 500_000, 50_000, 1 << 21, 1_000_000
+
+
+def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All places of the spans that begin at ``start``, one span after the other."""
+    ends = np.cumsum(length)
+    return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _split(length: np.ndarray, most: int) -> Iterator[slice]:
+    """Items that follow each other, of at most about ``most`` in length together."""
+    part = np.cumsum(length) // most
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(length)]
+    return (slice(a, b) for a, b in zip(edges, edges[1:]) if b > a)
 
 
 def links_in(records: np.ndarray, words: list[np.ndarray], inner: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -233,7 +259,7 @@ def links_in(records: np.ndarray, words: list[np.ndarray], inner: int, similarit
     left, right = (order[order < inner], order[order >= inner]) if inner else (order, order)
     place = np.empty(n_lines, np.int64)
     place[np.lexsort((name, records["at"], records["doc"]))] = np.arange(n_lines)
-    n, match, label, mark = np.zeros(n_lines, np.int64), name.copy(), np.arange(n_lines), np.zeros(len(known), np.int64)
+    n, match, label = np.zeros(n_lines, np.int64), name.copy(), np.arange(n_lines)
     matched = np.zeros(n_lines, bool)
     held, n_held = [], 0
 
@@ -247,30 +273,44 @@ def links_in(records: np.ndarray, words: list[np.ndarray], inner: int, similarit
         np.minimum.at(match, after, name[before])
         return joined_labels(label, x, y)
 
-    for x in left.tolist():
-        # Of similar sets neither has less than its share of the other's size; each pair is met once.
-        least = np.searchsorted(size[right], np.ceil(similarity * size[x] - 1e-9))
-        y = right[least : np.searchsorted(size[right], np.floor(size[x] / similarity + 1e-9), "right")]
-        y = y[(name[y] != name[x]) & ((inner > 0) | (place[y] < place[x]))]
+    # Of similar sets neither has less than its share of the other's size; each pair is met once.
+    ordered = size[right]
+    least = np.searchsorted(ordered, np.ceil(similarity * size[left] - 1e-9))
+    most = np.searchsorted(ordered, np.floor(size[left] / similarity + 1e-9), "right")
+    # As many lines at once as have about so many pairs before the filters, one at least.
+    until = np.cumsum(np.maximum(most - least, 1))
+    begin = 0
+    while begin < len(left):
+        end = max(begin + 1, int(np.searchsorted(until, (until[begin - 1] if begin else 0) + PAIRS, "right")))
+        end = min(end, begin + max(1, MARKS // len(known)))
+        times = most[begin:end] - least[begin:end]
+        row = np.repeat(np.arange(end - begin), times)
+        y = right[np.arange(len(row)) + np.repeat(least[begin:end] - np.cumsum(times) + times, times)]
+        own = left[begin:end]
+        begin = end
+        x = own[row]
         need = overlap(size[x], size[y], similarity)
-        some = (np.minimum(size[x] - pos[x], size[y] - pos[y]) >= need) & (np.bitwise_count(bits[x] ^ bits[y]).sum(1) <= size[x] + size[y] - 2 * need)
-        y, need = y[some], need[some]
+        some = (name[y] != name[x]) & ((inner > 0) | (place[y] < place[x])) & (np.minimum(size[x] - pos[x], size[y] - pos[y]) >= need)
+        row, x, y, need = row[some], x[some], y[some], need[some]
+        some = np.bitwise_count(bits[x] ^ bits[y]).sum(1) <= size[x] + size[y] - 2 * need - pos[x] - pos[y]
+        row, x, y, need = row[some], x[some], y[some], need[some]
         if not len(y):
             continue
-        own = flat[start[x] : start[x] + lengths[x]]
-        mark[own] = np.where(own < before_word, 1 << 40, 1)
-        ends = np.cumsum(lengths[y])
-        theirs = flat[np.repeat(start[y] - (ends - lengths[y]), lengths[y]) + np.arange(ends[-1])]
-        # A word that both have before this list's is as much as makes any sum too large.
-        shared = np.add.reduceat(mark[theirs], ends - lengths[y])
-        mark[own] = 0
-        y = y[(shared >= need) & (shared < 1 << 40)]
-        if len(y):
-            held.append((np.full(len(y), x), y))
-            n_held += len(y)
-            if n_held > HELD:
-                label = add()
-                held, n_held = [], 0
+        mark = np.zeros((len(own), len(known)), np.int64)
+        each = _spans(start[own], lengths[own])
+        mark[np.repeat(np.arange(len(own)), lengths[own]), flat[each]] = np.where(flat[each] < before_word, 1 << 40, 1)
+        for some in _split(lengths[y], WORDS):
+            ends = np.cumsum(lengths[y[some]])
+            theirs = flat[_spans(start[y[some]], lengths[y[some]])]
+            # A word that both have before this list's is as much as makes any sum too large.
+            shared = np.add.reduceat(mark[np.repeat(row[some], lengths[y[some]]), theirs], ends - lengths[y[some]])
+            similar = (shared >= need[some]) & (shared < 1 << 40)
+            if similar.any():
+                held.append((x[some][similar], y[some][similar]))
+                n_held += len(held[-1][0])
+                if n_held > HELD:
+                    label = add()
+                    held, n_held = [], 0
     if held:
         label = add()
     some = np.flatnonzero(n)
@@ -278,13 +318,13 @@ def links_in(records: np.ndarray, words: list[np.ndarray], inner: int, similarit
 
 
 def _word_counts(documents: DataFrame) -> DataFrame:
-    """(word, n): the hashes of words and how often they come, of those that a block of a task has twice or more. They are for
+    """(word, n): the hashes of words and how often they come, of those that a block of a task has twice or more, and at null how many all are. They are for
     the order of words only, and any order is right."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, n_held = WordHashes(), [], 0
         for batch in in_slices(batches, "text", SLICE):
-            held.append(hashes(b"\n".join(bytes_of(batch.column("text"))))[0] % np.uint64(_FREQUENT))
+            held.append(hashes(b"\n".join(bytes_of(batch.column("text"))))[0] & np.uint64(_FREQUENT - 1))
             n_held += len(held[-1])
             if n_held > 2_000_000:
                 yield out(held)
@@ -294,40 +334,55 @@ def _word_counts(documents: DataFrame) -> DataFrame:
 
     def out(held: list[np.ndarray]) -> pa.RecordBatch:
         words, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(words[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["word", "n"])
+        total, words, n = n.sum(), words[n > 1].view(np.int64), n[n > 1]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(words)]), pa.array(np.r_[total, n])], names=["word", "n"])
 
     return documents.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 PLACE = np.dtype([("line", "<i8"), ("doc", "<i8"), ("text", "<i8"), ("at", "<i4")])
-FOUND = "later long, earlier long, records binary, line long, id long, text_id long, at long"
+FOUND = "later long, earlier long, word long, records binary, copied long, places binary"
+
+
+def planes(rows: np.ndarray) -> bytes:
+    """The rows, all first bytes, then all second ones and so on: what is equal in most rows packs well so."""
+    return np.ascontiguousarray(np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1).T).tobytes()
+
+
+def rows_of(data: list[bytes], kind: np.dtype) -> np.ndarray:
+    """The rows of several ``planes``."""
+    parts = [np.ascontiguousarray(np.frombuffer(d, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel() for d in data]
+    return np.concatenate([np.zeros(0, kind), *parts])
 
 
 def _matched(documents: DataFrame, ranks: np.ndarray, join: Join, buckets: int) -> DataFrame:
     """One pass over the texts. Tasks send two kinds of records, packed by bucket: the prefix index by word, and all lines' places by text.
-    A bucket of words gives (later, earlier) with the word of their list, as ``id``, and of lists in which a line had more each of the ``records`` with its word, as ``id``, and its
-    line, as ``earlier``. Places only pass through, spread by text: (``line``, ``id``, ``text_id``, ``at``)."""
+    A bucket of words gives two lines with the ``word`` of their list, of lists in which a line had more each of the ``records`` with its word and its
+    line, as ``earlier``, and the lines that are ``copied``: those that come twice or more. Places only pass through, packed, all of a text together."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, seen, held, places, n_held = Numbers(ranks), {}, [], [], 0
         for batch in in_slices(batches, "text", SLICE):
             lines = lines_of(bytes_of(batch.column("text")), number)
             names = number.names(lines)
-            ids = batch.column("id").fill_null(_NO_ID).to_numpy(zero_copy_only=False)[lines.row]
             place = np.zeros(len(names), PLACE)
-            place["line"], place["doc"], place["at"] = names, ids, lines.at
+            place["line"], place["at"] = names, lines.at
+            place["doc"] = batch.column("id").fill_null(_NO_ID).to_numpy(zero_copy_only=False)[lines.row]
             place["text"] = batch.column("text_id").to_numpy()[lines.row]
-            places.append(place)
-            # Of a task's copies only the first counts, and an earlier one that comes later.
-            fresh = np.zeros(len(names), bool)
-            for i, at in enumerate(zip(names.tolist(), ids.tolist(), lines.at.tolist())):
-                known = seen.get(at[0])
-                if known is None or at[1:] < known:
-                    seen[at[0]] = at[1:]
-                    fresh[i] = True
+            # A text without lines has one place, before the first.
+            bare = np.ones(len(batch), bool)
+            bare[lines.row] = False
+            none = np.zeros(int(bare.sum()), PLACE)
+            none["doc"] = batch.column("id").fill_null(_NO_ID).to_numpy(zero_copy_only=False)[bare]
+            none["text"], none["at"] = batch.column("text_id").to_numpy()[bare], -1
+            places += [place, none]
+            # Of a task's copies the first counts, and the second tells that there are some.
+            times = np.zeros(len(names), np.int8)
+            for i, name in enumerate(names.tolist()):
+                times[i] = seen[name] = min(seen.get(name, 0) + 1, 3)
             if len(seen) > 80_000:
                 seen.clear()
-            held.append(prefix_records(lines, names, ids, fresh, join.similarity))
+            held.append(prefix_records(lines, names, times == 1, times == 2, join.similarity))
             n_held += len(held[-1])
             if n_held > 200_000:
                 yield packed(np.concatenate(held), np.concatenate(places))
@@ -338,22 +393,21 @@ def _matched(documents: DataFrame, ranks: np.ndarray, join: Join, buckets: int)
     def packed(records: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
         numbers, parts = [], []
         places = once(places)
+        records = records[np.argsort(records["word"])]
         by_word = 1 + (mixed(records["word"].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         by_text = -1 - (mixed((places["doc"] ^ places["text"]).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         for rows, bucket in ((records, by_word), (places, by_text)):
             order = np.argsort(bucket, kind="stable")
             there, start = np.unique(bucket[order], return_index=True)
             numbers += there.tolist()
-            parts += [p.tobytes() for p in np.split(rows[order], start[1:])] if len(there) else []
+            parts += [planes(p) for p in np.split(rows[order], start[1:])] if len(there) else []
         return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(parts, pa.binary())], names=["bucket", "records"])
 
     def match(key, table):
-        data = b"".join(table.column("records").to_pylist())
+        data = table.column("records").to_pylist()
         if key[0].as_py() > 0:
-            return pairs_of(np.frombuffer(data, RECORD), join, join.first)
-        places = once(np.frombuffer(data, PLACE))
-        ids = pa.array(places["doc"], mask=places["doc"] == _NO_ID)
-        return filled(len(places), {"line": places["line"], "id": ids, "text_id": places["text"], "at": places["at"].astype(np.int64)})
+            return pairs_of(rows_of(data, INDEX), join, join.first)
+        return filled(1, {"places": [planes(once(rows_of(data, PLACE)))]})
 
     return stored(documents.mapInArrow(index, "bucket long, records binary").groupBy("bucket").applyInArrow(match, FOUND))
 
@@ -377,22 +431,47 @@ def filled(n: int, columns: dict) -> pa.Table:
 
 
 def pairs_of(records: np.ndarray, join: Join, first: int) -> pa.Table:
-    later, earlier, word, lists = likely_pairs(records, join.similarity, first)
-    data = np.ascontiguousarray(lists).tobytes()
-    each = [data[i : i + RECORD.itemsize] for i in range(0, len(data), RECORD.itemsize)]
-    listed = filled(len(lists), {"records": each, "id": lists["word"], "earlier": lists["line"]})
-    return pa.concat_tables([filled(len(later), {"later": later, "earlier": earlier, "id": word}), listed])
+    later, earlier, word, lists, copied = likely_pairs(records, join.similarity, first)
+    data, size = np.ascontiguousarray(lists).tobytes(), lists.dtype.itemsize
+    each = [data[i : i + size] for i in range(0, len(data), size)]
+    listed = filled(len(lists), {"records": each, "word": lists["word"], "earlier": lists["line"]})
+    return pa.concat_tables([filled(len(later), {"later": later, "earlier": earlier, "word": word}), listed, filled(len(copied), {"copied": copied})])
+
+
+def _opened(places: DataFrame, losing: DataFrame) -> DataFrame:
+    """Of the packed ``places`` a row for each document, with ``n_lines``, and one for each place, with ``line`` and ``at``, of the lines named in the one column of ``losing``, and
+    of few others: a filter of them goes to every task."""
+    losing = stored(losing)
+    wanted = filter_of(losing, losing.count())
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("places").to_pylist():
+                rows = rows_of([data], PLACE)
+                rows = rows[np.lexsort((rows["text"], rows["doc"]))]
+                new = np.flatnonzero(np.r_[True, (rows["doc"][1:] != rows["doc"][:-1]) | (rows["text"][1:] != rows["text"][:-1])])
+                yield out(rows[new], np.add.reduceat(rows["at"] >= 0, new, dtype=np.int64))
+                yield out(rows[passing(wanted, np.ascontiguousarray(rows["line"])) & (rows["at"] >= 0)])
+
+    def out(rows: np.ndarray, n_lines: np.ndarray | None = None) -> pa.RecordBatch:
+        none = pa.nulls(len(rows), pa.int64())
+        columns = {"id": pa.array(rows["doc"], mask=rows["doc"] == _NO_ID), "text_id": pa.array(rows["text"])}
+        columns["n_lines"] = none if n_lines is None else pa.array(n_lines, pa.int64())
+        columns |= {"line": none, "at": none} if n_lines is not None else {"line": pa.array(rows["line"]), "at": pa.array(rows["at"].astype(np.int64))}
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return stored(places.mapInArrow(opened, "id long, text_id long, n_lines long, line long, at long"))
 
 
 def _linked(lists: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """(line, n, match, link) of the lines that are similar to others in a list of ``lists`` (word, line, record), of a line some rows: with how many, the least name of the earlier
-    ones (null if there is none), and the name of a line of the same class. ``sets``: (line, words). Pairs are added up where they are found. Long lists are cut into blocks,
+    ones (null if there is none), and the name of a line of the same class. ``sets``: (line, words, id, at). Pairs are added up where they are found. Long lists are cut into blocks,
     and every two blocks are compared in a task of their own."""
     found = lists.join(sets, "line").withColumn("h", F.xxhash64("line"))
     sizes = lists.groupBy("word").agg(F.ceil(F.count("*") / join.block).cast("int").alias("blocks"))
     dealt = found.join(sizes, "word").withColumn("own", F.pmod("h", "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("word", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "record", "words")
+    dealt = dealt.select("word", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "record", "words", "id", "at")
 
     def match(key, table):
         own = table.column("own").to_numpy()
@@ -402,47 +481,77 @@ def _linked(lists: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
         if len(own) < 2 or i != j and inner in (0, len(own)):
             line = n = match = link = np.zeros(0, np.int64)
         else:
-            records = np.frombuffer(b"".join(table.column("record").to_pylist()), RECORD)[order]
+            there = np.frombuffer(b"".join(table.column("record").to_pylist()), INDEX)
+            records = np.zeros(len(there), RECORD)
+            for column in INDEX.names:
+                records[column] = there[column]
+            records["doc"], records["at"] = table.column("id").to_numpy(), table.column("at").to_numpy()
             words = table.column("words").to_pylist()
-            line, n, match, link = links_in(records, [np.frombuffer(words[k], np.int64) for k in order.tolist()], inner, join.similarity)
+            line, n, match, link = links_in(records[order], [np.frombuffer(words[k], np.int64) for k in order.tolist()], inner, join.similarity)
         return pa.Table.from_arrays([pa.array(line), pa.array(n), pa.array(match, mask=match == line), pa.array(link)], names=["line", "n", "match", "link"])
 
     return dealt.groupBy("word", "i", "j").applyInArrow(match, "line long, n long, match long, link long")
 
 
 def _word_sets(documents: DataFrame, names: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """(line, words) of the lines with these names, and of few others: a filter of them goes to every task."""
+    """(line, words, id, at) of the lines with these names, and of few others: a filter of them goes to every task. ``id`` and ``at`` are those of the line's first
+    place; a null id is ``_NO_ID`` here."""
     names = stored(names)
     wanted = filter_of(names, names.count())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, seen = Numbers(ranks), set()
+        number, seen = Numbers(ranks), {}
         for batch in in_slices(batches, "text", SLICE):
             lines = lines_of(bytes_of(batch.column("text")), number)
             names = number.names(lines)
-            kept = [i for i in np.flatnonzero(passing(wanted, names)).tolist() if not (names[i] in seen or seen.add(names[i]))]
+            ids = batch.column("id").fill_null(_NO_ID).to_numpy(zero_copy_only=False)[lines.row]
+            some, kept = np.flatnonzero(passing(wanted, names)), []
+            # Of a task's copies only the first counts, and an earlier one that comes later.
+            for i, name, place in zip(some.tolist(), names[some].tolist(), zip(ids[some].tolist(), lines.at[some].tolist())):
+                known = seen.get(name)
+                if known is None or place < known:
+                    seen[name] = place
+                    kept.append(i)
             if len(seen) > 100_000:
                 seen.clear()
             words = [lines.words[lines.start[i] : lines.start[i + 1]].tobytes() for i in kept]
-            yield pa.RecordBatch.from_arrays([pa.array(names[kept], pa.int64()), pa.array(words, pa.binary())], names=["line", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(names[kept], pa.int64()), pa.array(words, pa.binary()), pa.array(ids[kept], pa.int64()), pa.array(lines.at[kept], pa.int64())], names=["line", "words", "id", "at"])
 
-    return documents.select("text").mapInArrow(sets, "line long, words binary").groupBy("line").agg(F.first("words").alias("words"))
+    found = documents.select("text", "id").mapInArrow(sets, "line long, words binary, id long, at long")
+    return found.groupBy("line").agg(F.first("words").alias("words"), F.min(F.struct("id", "at")).alias("place")).select("line", "words", "place.id", "place.at")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(later, earlier) of the ``pairs`` (later, earlier, word) whose word sets have the similarity and whose first common word this is, so each comes once."""
-    a = sets.select(F.col("line").alias("later"), F.col("words").alias("a"))
-    b = sets.select(F.col("line").alias("earlier"), F.col("words").alias("b"))
+    """(later, earlier) of the ``pairs`` (later, earlier, word), in either order, whose word sets have the similarity and whose first common word this is, so each comes once."""
+    a, b = (sets.select(F.col("line").alias(to), F.struct("words", "id", "at").alias(x)) for to, x in (("later", "a"), ("earlier", "b")))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for word, x, y in zip(*(batch.column(c).to_pylist() for c in ("word", "a", "b"))):
-                shared = np.intersect1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True)
-                keep.append(len(shared) > 0 and shared[0] == word and len(shared) >= similarity * ((len(x) + len(y)) // 8 - len(shared)) - 1e-9)
-            yield batch.select(["later", "earlier"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.join(a, "later").join(b, "earlier").select("later", "earlier", "word", "a", "b").mapInArrow(check, "later long, earlier long")
+            for some in range(0, len(batch), 4096):
+                yield similar(batch.slice(some, 4096))
+
+    def similar(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n = len(batch)
+        one, other, word = (batch.column(c).to_numpy() for c in ("later", "earlier", "word"))
+        texts = batch.column("a").to_pylist() + batch.column("b").to_pylist()
+        size = np.array([len(t) // 8 for t in texts], np.int64).reshape(2, n).sum(0)
+        # The words of both sides by pair: those that come twice are shared.
+        of = np.tile(np.arange(n, dtype=np.uint64), 2)
+        keyed = np.sort(np.frombuffer(b"".join(texts), np.uint64) | (np.repeat(of, [len(t) // 8 for t in texts]) << _SHIFT))
+        keyed = keyed[1:][keyed[1:] == keyed[:-1]]
+        pair, start, shared = np.unique(keyed >> _SHIFT, return_index=True, return_counts=True)
+        pair = pair.astype(np.int64)
+        keep = ((keyed[start] & _LOW).astype(np.int64) == word[pair]) & (shared >= similarity * (size[pair] - shared) - 1e-9)
+        pair = pair[keep]
+        # Earlier is a lower place, then a lower name.
+        a_id, a_at, b_id, b_at = (batch.column(c).to_numpy()[pair] for c in ("a_id", "a_at", "b_id", "b_at"))
+        one, other = one[pair], other[pair]
+        later = np.where(a_id != b_id, a_id > b_id, np.where(a_at != b_at, a_at > b_at, one > other))
+        return pa.RecordBatch.from_arrays([pa.array(np.where(later, one, other)), pa.array(np.where(later, other, one))], names=["later", "earlier"])
+
+    both = pairs.join(a, "later").join(b, "earlier")
+    both = both.select("later", "earlier", "word", "a.words", "b.words", "a.id", "a.at", "b.id", "b.at").toDF("later", "earlier", "word", "a", "b", "a_id", "a_at", "b_id", "b_at")
+    return both.mapInArrow(check, "later long, earlier long")
 
 
 def _classes(matched: DataFrame) -> DataFrame:
@@ -462,8 +571,8 @@ def removed_lines(
     numbers, null last), then a lower line number; whether the earlier line itself goes does not matter.
 
     Copies are gathered first, with their first place. Each distinct set is indexed by its rarest
-    words, as many as a similar set must share one of. In a word's list each set is compared with the earlier
-    ones, and the pairs that pass the filters are verified. Lists in which a set had more than ``first`` of those are gone through once more, and
+    words, as many as a similar set must share one of. In a word's list each set is compared with the smaller
+    ones, and the pairs that pass the filters are verified. Sets that pass them in lists in which one had more than ``first`` others are gone through once more, and
     their pairs are verified, counted and connected where they are found: a group of near copies gives a row for each line and not for each pair.
     Every similar pair of different sets is met, once, in the list of the first word that both have. A class holds all
     sets that similar ones connect, whatever their number. It is named by one of its sets; a set that is similar to
@@ -477,16 +586,15 @@ def removed_lines(
     chosen = documents.select(
         F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     ).withColumn("text_id", F.xxhash64("text"))
-    counted = _word_counts(chosen)
-    words = chosen.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"] / CHARS_PER_WORD
-    top = most_frequent(stored(counted), join.ranked)
+    counted = stored(_word_counts(chosen))
+    words = counted.where(F.col("word").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    top = most_frequent(counted.where(F.col("word").isNotNull()), join.ranked)
     ranks = np.array([w for w, _ in reversed(top)], np.uint64)
     buckets = max(1, int((1.2 - join.similarity) * words) // join.bucket)
 
     found = _matched(chosen, ranks, join, buckets)
-    lines = found.where(F.col("line").isNotNull()).select("line", "id", "text_id", "at")
-    pairs = found.where(F.col("later").isNotNull()).select("later", "earlier", F.col("id").alias("word"))
-    lists = found.where(F.col("records").isNotNull()).select(F.col("id").alias("word"), F.col("earlier").alias("line"), F.col("records").alias("record"))
+    pairs = found.where(F.col("later").isNotNull()).select("later", "earlier", "word")
+    lists = found.where(F.col("records").isNotNull()).select("word", F.col("earlier").alias("line"), F.col("records").alias("record"))
     names = pairs.select(F.col("later").alias("name")).union(pairs.select("earlier")).union(lists.select("line")).distinct()
     words = stored(_word_sets(chosen, names, ranks))
     matched = stored(_verified(pairs, words, join.similarity))
@@ -495,10 +603,13 @@ def removed_lines(
     match = matched.select(F.col("later").alias("line"), F.lit(1).alias("n"), F.col("earlier").alias("match")).union(linked.select("line", "n", "match"))
     match = match.union(matched.select("earlier", F.lit(1), F.lit(None).cast("long")))
     match = match.groupBy("line").agg(F.sum("n").alias("n"), F.min("match").alias("match")).join(classes, "line", "left")
-    match = match.select("line", "match", F.col("component").alias("class"), "n")
+    match = stored(match.select("line", "match", F.col("component").alias("class"), "n"))
+    # Only sets that have copies or a match can lose lines.
+    copied = found.where(F.col("copied").isNotNull()).select("copied")
+    opened = _opened(found.where(F.col("places").isNotNull()).select("places"), match.select("line").union(copied).distinct())
+    lines = opened.where(F.col("line").isNotNull()).select("line", "id", "text_id", "at")
     place = F.struct(F.coalesce(F.col("id"), F.lit(_NO_ID)).alias("id"), "at", "text_id")
     sets = lines.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies")).join(match, "line", "left")
-    # Only sets that have copies or a match can lose lines.
     more = [F.coalesce("n", F.lit(0)).cast("long").alias("n_links")] if every_link else []
     has_link = F.col("n").isNotNull() if every_link else F.col("match").isNotNull()
     losing = sets.where((F.col("copies") > 1) | has_link).select("line", "first", "match", F.coalesce("class", "line").alias("class"), *more)
@@ -506,14 +617,16 @@ def removed_lines(
         "match", F.coalesce("match", F.when(F.col("first") != place, F.col("line")))
     )
     link = F.struct("at", "line", "match", "class", *(["n_links"] if every_link else []))
-    total = [F.sum(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links")] if every_link else []
-    by_document = decided.groupBy("id", "text_id").agg(
-        F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(F.col("match").isNotNull(), link))).alias("links"), *total
-    )
-    empty = chosen.where(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")) == 0).select("id", "text_id").distinct()
-    empty = empty.select("id", "text_id", F.lit(0).cast("long").alias("n_lines"), F.array().cast(by_document.schema["links"].dataType).alias("links"), *([F.lit(0).cast("long").alias("n_links")] if every_link else []))
+    link = F.when(F.col("match").isNotNull(), link).alias("link")
+    own = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if every_link else []
+    # Lines that neither go nor have links add nothing.
+    of_lines = decided.select("id", "text_id", F.lit(0).cast("long").alias("n_lines"), link, *own).where(F.expr("link IS NOT NULL" + " OR n_links > 0" * every_link))
+    n_links = [F.lit(0).cast("long").alias("n_links")] if every_link else []
+    of_documents = opened.where(F.col("n_lines").isNotNull()).select("id", "text_id", "n_lines", F.lit(None).cast(of_lines.schema["link"].dataType).alias("link"), *n_links)
+    total = [F.sum("n_links").alias("n_links")] if every_link else []
+    by_document = of_documents.union(of_lines).groupBy("id", "text_id").agg(F.sum("n_lines").alias("n_lines"), F.sort_array(F.collect_list("link")).alias("links"), *total)
     last = ["n_links"] if every_link else []
-    return by_document.union(empty).select("id", "text_id", "n_lines", F.transform("links", lambda x: x["at"]).alias("removed"), "links", *last)
+    return by_document.select("id", "text_id", "n_lines", F.transform("links", lambda x: x["at"]).alias("removed"), "links", *last)
 
 
 def deduped(

@@ -312,6 +312,106 @@ def test_a_group_of_similar_lines_gives_rows_for_lines_and_not_for_pairs(spark):
     assert len(pairs) == 60 and pairs.column("later").null_count == 60
 
 
+def index_of(sets, chosen=None):
+    """The prefix index of these sets of numbers, each a line named by its place."""
+    sizes = [len(x) for x in sets]
+    words = np.concatenate([np.sort(np.array(list(x), np.int64)) for x in sets])
+    lines = line_dedup.Lines(np.arange(len(sets)), np.zeros(len(sets), np.int64), words, np.cumsum([0, *sizes]))
+    chosen = np.ones(len(sets), bool) if chosen is None else chosen
+    return line_dedup.prefix_records(lines, np.arange(len(sets)), chosen, ~chosen, 0.8)
+
+
+def sets_with_groups(choose, n, size):
+    sets = []
+    for _ in range(n // 3):
+        base = choose.sample(range(400), size)
+        sets += [frozenset(base), frozenset([*base[1:], *[500 + choose.randrange(9)] * (size > 9)]), frozenset(choose.sample(range(400), size))]
+    return list(dict.fromkeys(sets))
+
+
+@pytest.mark.parametrize(("size", "looked"), [(6, 4000), (20, 4000), (150, 4000), (20, 5)])
+def test_the_index_loses_no_similar_pair(monkeypatch, size, looked):
+    monkeypatch.setattr(line_dedup, "LOOKED", looked)
+    sets = sets_with_groups(random.Random(size), 150, size)
+    similar = {(i, j) for j, x in enumerate(sets) for i in range(j) if len(x & sets[i]) >= 0.8 * len(x | sets[i]) - 1e-9}
+    assert similar
+    one, other, word, lists, copied = line_dedup.likely_pairs(index_of(sets), 0.8, 1)
+    assert not len(copied)
+    met = {(min(p), max(p), w) for *p, w in zip(one.tolist(), other.tolist(), word.tolist())}
+    listed = set(zip(lists["line"].tolist(), lists["word"].tolist()))
+    for i, j in similar:
+        first = min(sets[i] & sets[j])
+        assert (i, j, first) in met or {(i, first), (j, first)} <= listed
+
+
+def test_only_records_that_may_match_go_through_a_long_list_again(monkeypatch):
+    """Most of a frequent word's list has nothing to do with the group that makes it long."""
+    choose = random.Random(3)
+    group = [frozenset([1, *range(10, 40), 900 + i]) for i in range(10)]
+    others = [frozenset([1, *choose.sample(range(1000, 9000), 31)]) for _ in range(200)]
+    records = np.zeros(210, line_dedup.RECORD)
+    index = index_of(group + others)
+    index = index[index["word"] == 1]
+    for column in ("word", "line", "size", "pos", "bits"):
+        records[column] = index[column]
+    found = line_dedup.pairs_of(records, line_dedup.Join(), 4)
+    assert sorted(found.column("earlier").drop_null().to_pylist()) == list(range(10))
+    monkeypatch.setattr(line_dedup, "LOOKED", 100)
+    found = line_dedup.pairs_of(records, line_dedup.Join(), 4)
+    assert sorted(found.column("earlier").drop_null().to_pylist()) == list(range(210))
+
+
+def test_a_record_of_the_index_is_sent_in_forty_bytes_and_those_that_are_zero_together():
+    records = index_of(sets_with_groups(random.Random(1), 300, 30))
+    data = line_dedup.planes(records)
+    assert len(data) == 40 * len(records) and b"\0" * (3 * len(records)) in data
+    parts = [line_dedup.planes(x) for x in (records[:7], records[7:])]
+    assert line_dedup.rows_of(parts, records.dtype).tobytes() == records.tobytes()
+    assert len(line_dedup.rows_of([], records.dtype)) == 0
+
+
+def test_copies_are_told_by_their_rarest_word():
+    sets = sets_with_groups(random.Random(2), 30, 12)
+    again = np.arange(len(sets)) % 4 > 0
+    index = index_of(sets)
+    second = index_of(sets, ~again)
+    second = second[again[second["line"]]]
+    assert (second["pos"] == 0).all() and second["line"].tolist() == np.flatnonzero(again).tolist()
+    assert line_dedup.likely_pairs(np.concatenate([index, second]), 0.8, 4)[4].tolist() == np.flatnonzero(again).tolist()
+    assert not len(line_dedup.likely_pairs(index, 0.8, 4)[4])
+
+
+@pytest.mark.parametrize("inner", [0, 30])
+def test_lists_in_blocks_of_any_size(monkeypatch, inner):
+    sets = [x | {-1} for x in sets_with_groups(random.Random(5), 90, 10)]
+    sets += [x - {min(x - {-1})} | {700} for x in sets]
+    words = [np.sort(np.array(list(x), np.int64)) for x in sets]
+    index = index_of(sets)
+    index = index[index["word"] == -1]
+    records = np.zeros(len(sets), line_dedup.RECORD)
+    for column in index.dtype.names:
+        records[column] = index[column]
+    records["doc"] = np.random.default_rng(1).permutation(len(sets))
+    whole = [x.tolist() for x in line_dedup.links_in(records, words, inner, 0.8)]
+    n = [sum(j != i and (not inner or (i < inner) != (j < inner)) and len(x & y) >= 0.8 * len(x | y) - 1e-9 for j, y in enumerate(sets)) for i, x in enumerate(sets)]
+    assert dict(zip(*whole[:2])) == {i: k for i, k in enumerate(n) if k} and sum(n) > 50
+    for name, value in (("PAIRS", 3), ("MARKS", 1), ("WORDS", 15), ("HELD", 2)):
+        monkeypatch.setattr(line_dedup, name, value)
+    assert [x.tolist() for x in line_dedup.links_in(records, words, inner, 0.8)] == whole
+
+
+def test_line_dedup_of_null_ids_and_bare_texts(spark):
+    words = [f"word{i}" for i in range(12)]
+    rows = [(None, "x y\n\n" + " ".join(words[1:])), (7, " ".join(words)), (7, " ".join(words)), (None, " ".join(words[:-1])), (2, " \t\n"), (2, None), (None, ""), (None, "x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = line_dedup.removed_lines(df, every_link=True).collect()
+    got = sorted((r.id if r.id is not None else 99, r.n_lines, list(r.removed), r.n_links) for r in out)
+    # Null ids come last; of copies in the same place of two texts without an id, one goes.
+    copy, whole = got[4][2], got[6][2]
+    assert got == [(2, 0, [], 0), (2, 0, [], 0), (7, 1, [], 2), (99, 0, [], 0), (99, 1, copy, 0), (99, 1, [0], 2), (99, 2, whole, 2)]
+    assert (copy, whole) in (([0], [2]), ([], [0, 2]))
+
+
 def test_line_dedup_of_awkward_rows(spark):
     df = awkward(spark)
     out = line_dedup.deduped(df)
